@@ -1,0 +1,7 @@
+"""Streaming.
+
+The library is batch only: every layer is a full rebuild from its
+input, as the marts' semantics (global ranks, exact distinct counts over
+the whole history) require. There is no stream source, watermark or
+stateful operator to provide, so this package is intentionally empty.
+"""
