@@ -179,3 +179,27 @@ def country_sales(silver: DataFrame, *, grain: DataFrame | None = None,
 def top_ranked(mart: DataFrame, rank_col: str, k: int = 10) -> DataFrame:
     """The k best-ranked rows (a top-k report; the cut is the feature)."""
     return mart.filter(F.col(rank_col) <= k)
+
+
+def all_marts(silver: DataFrame, *, ranked: bool = True, rounded: bool = True) -> dict[str, DataFrame]:
+    """The four marts over one Silver input.
+
+    Daily, customer and country share one invoice-grain pre-aggregate
+    (Spark reuses its shuffle within a plan). ``ranked=False`` returns
+    the unranked, unrounded measures, which is what row counts, grain and
+    reconciliation checks need.
+    """
+    grain = invoice_grain(silver)
+    if not ranked:
+        return {
+            "daily": daily_sales(silver, grain=grain, rounded=False),
+            "product": product_unranked(silver),
+            "customer": customer_unranked(silver, grain=grain),
+            "country": country_unranked(silver, grain=grain),
+        }
+    return {
+        "daily": daily_sales(silver, grain=grain, rounded=rounded),
+        "product": product_performance(silver, rounded=rounded),
+        "customer": customer_mart(silver, grain=grain, rounded=rounded),
+        "country": country_sales(silver, grain=grain, rounded=rounded),
+    }

@@ -12,8 +12,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.operators import marts, silver
+from pyspark.sql import functions as F
+
+from tillroll.functions.measures import line_metrics
+from tillroll.operators import checks, enrich, marts, profile, silver
 from tillroll.plans import oracle as O
+from tillroll.schemas import DAILY_COLUMNS, RAW_COLUMNS
+from tillroll.session import scratch_path
+from tillroll.sources.layers import read_layer, row_count_check, write_layer
+from tillroll.sources.raw import read_raw, write_raw_csv
 from tillroll.sources.testtables import retail_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +99,179 @@ def q_customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("country_sales", O.with_ctes(O.CTE_COUNTRY, "SELECT * FROM country"))
 def q_country_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.country_sales(silver_of(spark, sf_dir))
+
+
+# Small test fixtures have ~1,000-2,000 products and customers; these
+# force the multi-bucket path of the distributed rank on them.
+DISTRIBUTED_TEST_ROWS_PER_TASK = 150
+
+
+@register("customer_rank_distributed", O.with_ctes(O.CTE_CUSTOMER, "SELECT * FROM customer_m"))
+def q_customer_rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.customer_mart(silver_of(spark, sf_dir), rows_per_task=DISTRIBUTED_TEST_ROWS_PER_TASK)
+
+
+@register("product_rank_distributed", O.with_ctes(O.CTE_PRODUCT, "SELECT * FROM product"))
+def q_product_rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.product_performance(silver_of(spark, sf_dir),
+                                     rows_per_task=DISTRIBUTED_TEST_ROWS_PER_TASK)
+
+
+@register("invoice_grain", O.INVOICE_GRAIN)
+def q_invoice_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.invoice_grain(silver_of(spark, sf_dir))
+
+
+@register("top_products", O.TOP_PRODUCTS)
+def q_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.top_ranked(q_product_performance(spark, sf_dir), "RevenueRank")
+
+
+@register("top_customers", O.TOP_CUSTOMERS)
+def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.top_ranked(q_customer_mart(spark, sf_dir), "CustomerRank")
+
+
+@register("top_countries", O.TOP_COUNTRIES)
+def q_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.top_ranked(q_country_sales(spark, sf_dir), "CountryRank")
+
+
+# --- profiling of raw lines ------------------------------------------------
+
+def _raw_query(fn):
+    return lambda spark, sf_dir: fn(raw_lines(spark, sf_dir))
+
+
+register("null_counts", O.NULL_COUNTS)(_raw_query(profile.null_counts))
+register("distinct_counts", O.DISTINCT_COUNTS)(_raw_query(profile.distinct_counts))
+register("date_range", O.DATE_RANGE)(_raw_query(profile.date_range))
+register("duplicate_rows", O.DUPLICATE_ROWS)(_raw_query(profile.duplicate_rows))
+register("quantity_price_stats", O.QUANTITY_PRICE_STATS)(
+    _raw_query(lambda raw: profile.column_stats(raw, ["Quantity", "Price"]))
+)
+register("price_quality_counts", O.PRICE_QUALITY_COUNTS)(_raw_query(profile.price_quality_counts))
+register("cancelled_rows", O.CANCELLED_ROWS)(_raw_query(profile.cancelled_rows))
+register("negative_quantity_rows", O.NEGATIVE_QUANTITY_ROWS)(
+    _raw_query(profile.negative_quantity_rows)
+)
+register("rows_by_country", O.ROWS_BY_COUNTRY)(_raw_query(profile.rows_by_country))
+register("rows_by_invoice_type", O.ROWS_BY_INVOICE_TYPE)(_raw_query(profile.rows_by_invoice_type))
+
+
+# --- Silver reports ----------------------------------------------------------
+
+def _clean_query(fn):
+    return lambda spark, sf_dir: fn(clean_of(spark, sf_dir))
+
+
+register("silver_type_counts", O.SILVER_TYPE_COUNTS)(_clean_query(silver.type_counts))
+register("quality_report", O.QUALITY_REPORT)(_clean_query(silver.quality_report))
+register("rejects_by_reason", O.REJECTS_BY_REASON)(_clean_query(silver.rejects_by_reason))
+register("clean_line_stats", O.CLEAN_LINE_STATS)(
+    _clean_query(lambda clean: profile.column_stats(clean, ["Quantity", "Price", "Revenue"]))
+)
+
+
+@register("overlap_check", O.OVERLAP_CHECK)
+def q_overlap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.overlap_count(silver_of(spark, sf_dir))
+
+
+# --- validation ------------------------------------------------------------
+
+@register("reconciliation", O.RECONCILIATION)
+def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = silver_of(spark, sf_dir)
+    return checks.reconciliation(s, marts.all_marts(s, ranked=False))
+
+
+@register("reconciliation_gate", O.RECONCILIATION_GATE)
+def q_reconciliation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = silver_of(spark, sf_dir)
+    published = marts.all_marts(s, ranked=False)
+    published = {m: df.withColumns({c: F.round(c, 2) for c in
+                                    ("GrossSales", "ReturnAmount", "CancelledAmount")})
+                 for m, df in published.items()}
+    return checks.gate_rows(s, published)
+
+
+@register("grain_checks", O.GRAIN_CHECKS)
+def q_grain_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.grain_checks(marts.all_marts(silver_of(spark, sf_dir), ranked=False))
+
+
+@register("null_key_checks", O.NULL_KEY_CHECKS)
+def q_null_key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.null_key_checks(marts.all_marts(silver_of(spark, sf_dir), ranked=False))
+
+
+@register("negative_net", O.NEGATIVE_NET)
+def q_negative_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.negative_net(marts.all_marts(silver_of(spark, sf_dir), ranked=False))
+
+
+@register("rank_checks", O.RANK_CHECKS)
+def q_rank_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.rank_checks(marts.all_marts(silver_of(spark, sf_dir)))
+
+
+@register("layer_counts", O.LAYER_COUNTS)
+def q_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_lines(spark, sf_dir)
+    s = silver.silver_lines(raw)
+    return checks.layer_counts({"raw": raw, "silver": s, **marts.all_marts(s, ranked=False)})
+
+
+# --- dimension join, skew, layout, ingestion ----------------------------------
+
+@register("country_region_sales", O.COUNTRY_REGION_SALES)
+def q_country_region_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.with_region(q_country_sales(spark, sf_dir), enrich.country_regions(spark, sf_dir))
+
+
+@register("country_skew", O.COUNTRY_SKEW)
+def q_country_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.key_share(silver_of(spark, sf_dir), "Country")
+
+
+@register("country_units_salted", O.COUNTRY_UNITS_SALTED)
+def q_country_units_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = silver_of(spark, sf_dir).withColumns(line_metrics())
+    out = enrich.salted_sum(
+        lines, "Country",
+        {"UnitsSold": F.col("SoldUnits"), "GrossSales": F.col("GrossSales")},
+        salt_columns=["Invoice", "StockCode"],
+    )
+    return out.select(
+        "Country",
+        F.col("UnitsSold").cast("bigint").alias("UnitsSold"),
+        F.col("GrossSales").cast("decimal(28,4)").alias("GrossSales"),
+    )
+
+
+@register("daily_sales_year", O.DAILY_SALES_YEAR)
+def q_daily_sales_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart written by Year/Month, read back for one year: the
+    scan lists only that year's folders."""
+    path = scratch_path(spark, "daily")
+    write_layer(q_daily_sales(spark, sf_dir), path, partition_by=["Year", "Month"])
+    return read_layer(spark, path).filter(F.col("Year") == 1998).select(*DAILY_COLUMNS)
+
+
+@register("csv_roundtrip", O.CSV_ROUNDTRIP)
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as quoted CSV and read back with the raw schema."""
+    path = scratch_path(spark, "csv")
+    write_raw_csv(raw_lines(spark, sf_dir), path)
+    return read_raw(spark, path).select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
+
+
+@register("bronze_row_check", O.BRONZE_ROW_CHECK)
+def q_bronze_row_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines copied to a Parquet Bronze layer; source and copy must
+    agree on rows and columns."""
+    raw = raw_lines(spark, sf_dir)
+    path = scratch_path(spark, "bronze")
+    write_layer(raw, path)
+    return row_count_check(raw, read_layer(spark, path), "bronze")

@@ -64,7 +64,7 @@ def row_count_check(source: DataFrame, target: DataFrame, name: str) -> DataFram
             F.count_if(~F.col("_src")).alias("TargetRows"),
         )
         .select(
-            F.lit(name).alias("Check"),
+            F.lit(name).alias("CheckName"),
             "SourceRows",
             "TargetRows",
             F.lit(len(source.columns)).alias("SourceColumns"),
