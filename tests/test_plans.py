@@ -38,7 +38,7 @@ def test_price_filter_reaches_parquet_scan(spark, raw_lines, scratch):
 def test_column_pruning_for_country_mart(spark, raw_lines, scratch):
     path = os.path.join(scratch, "silver")
     write_layer(silver.silver_lines(raw_lines), path)
-    country = marts.country_sales(read_layer(spark, path))
+    country = marts.country_unranked(read_layer(spark, path))
     plan = _plan(country)
     read_schema = plan[plan.index("ReadSchema:"):].split("\n")[0]
     for unused in ("Description", "StockCode", "Price", "IsReturn"):
@@ -73,3 +73,13 @@ def test_run_layers_end_to_end(spark, raw_csv_path, scratch):
     paths = LayerPaths(out)
     years = {r["Year"] for r in read_layer(spark, paths.mart("daily")).collect()}
     assert years == {2009, None}
+
+
+def test_silver_report_is_observed_during_write(spark, raw_csv_path, scratch):
+    from tillroll.plans.medallion import run_bronze, run_silver
+
+    paths = LayerPaths(os.path.join(scratch, "obs"))
+    run_bronze(spark, raw_csv_path, paths)
+    report = run_silver(spark, paths).first().asDict()
+    assert report["TotalRows"] == 17 and report["KeptRows"] == 12 and report["RejectedRows"] == 5
+    assert read_layer(spark, paths.silver).count() == 12

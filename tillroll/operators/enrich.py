@@ -12,7 +12,7 @@ not ``rand()``, so a retried task recomputes the same salts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,12 +51,12 @@ def with_region(country_mart: DataFrame, regions: DataFrame, **kw) -> DataFrame:
 def key_share(df: DataFrame, key: str) -> DataFrame:
     """Rows per key value and its share of all rows.
 
-    The share is taken over the aggregated table (one row per key value),
-    so the single-partition total runs over the distinct keys only; use
-    it for keys with a bounded domain.
+    The total is a scalar subquery over the per-key counts: Spark runs it
+    as its own small job and inlines the number, so no single task ever
+    holds all key values and no join is needed.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("RowCount"))
-    total = F.sum("RowCount").over(Window.partitionBy())
+    total = counts.select(F.sum("RowCount")).scalar()
     return counts.withColumn("RowShare", (F.col("RowCount") / total).cast(SHARE_TYPE))
 
 

@@ -35,7 +35,7 @@ from tillroll.functions.measures import (
     round_money,
     transaction_class,
 )
-from tillroll.operators.ranking import rank_global, rank_rows, revenue_order
+from tillroll.operators.ranking import rank_rows, revenue_order
 from tillroll.schemas import (
     COUNTRY_COLUMNS,
     CUSTOMER_COLUMNS,
@@ -168,9 +168,10 @@ def country_unranked(silver: DataFrame, *, grain: DataFrame | None = None) -> Da
 
 def country_sales(silver: DataFrame, *, grain: DataFrame | None = None,
                   rounded: bool = True) -> DataFrame:
-    """Country mart. One row per country: the domain is bounded (a few
-    hundred at most), so the rank runs as a single small window."""
-    ranked = rank_global(country_unranked(silver, grain=grain), revenue_order("Country"), "CountryRank")
+    """Country mart. Real data has a few dozen countries, so the rank
+    normally runs as one small window; Country is free text, though, so
+    the size is checked rather than assumed (``rank_rows``)."""
+    ranked = rank_rows(country_unranked(silver, grain=grain), revenue_order("Country"), "CountryRank")
     if rounded:
         return _round(ranked, COUNTRY_COLUMNS)
     return ranked.select(*COUNTRY_COLUMNS)

@@ -82,15 +82,11 @@ def silver_lines(raw: DataFrame) -> DataFrame:
     return quality_filter(clean_lines(raw)).select(*[F.col(f"`{c}`") for c in SILVER_COLUMNS])
 
 
-def quality_report(clean: DataFrame) -> DataFrame:
-    """One row over the cleaned lines, in a single scan.
-
-    Issue counts (non-positive price, zero quantity, missing customer,
-    description, date), rows rejected and kept by the quality filter, and
-    the post-filter assertion that no kept row has Price <= 0.
-    """
+def quality_metrics() -> list[F.Column]:
+    """The quality-report aggregates over cleaned lines (usable in
+    ``agg`` or in ``observe`` during the Silver write)."""
     keep = passes_quality()
-    return clean.agg(
+    return [
         F.count(F.lit(1)).alias("TotalRows"),
         F.count_if(F.col("Price") <= 0).alias("InvalidPriceRows"),
         F.count_if(F.col("Quantity") == 0).alias("ZeroQuantityRows"),
@@ -100,7 +96,17 @@ def quality_report(clean: DataFrame) -> DataFrame:
         F.count_if(keep).alias("KeptRows"),
         F.count_if(~keep).alias("RejectedRows"),
         F.count_if(keep & (F.col("Price") <= 0)).alias("RemainingInvalidPriceRows"),
-    )
+    ]
+
+
+def quality_report(clean: DataFrame) -> DataFrame:
+    """One row over the cleaned lines, in a single scan.
+
+    Issue counts (non-positive price, zero quantity, missing customer,
+    description, date), rows rejected and kept by the quality filter, and
+    the post-filter assertion that no kept row has Price <= 0.
+    """
+    return clean.agg(*quality_metrics())
 
 
 def rejects_by_reason(clean: DataFrame) -> DataFrame:

@@ -16,10 +16,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import checks, marts, silver
+from tillroll.schemas import SILVER_COLUMNS
 from tillroll.sources.layers import read_layer, row_count_check, write_layer
 from tillroll.sources.raw import read_raw
 
@@ -62,11 +63,22 @@ def run_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPaths)
 
 def run_silver(spark: SparkSession, paths: LayerPaths) -> DataFrame:
     """Dedup, clean, filter and write Silver; return the quality report
-    of the cleaned lines (one scan of Bronze for the report, one for the
-    write)."""
+    of the cleaned lines as one row.
+
+    The report is observed during the write (``observe``): its counts
+    are accumulated by the same tasks that write Silver, so Bronze is
+    read and deduplicated once. Each task's metrics are applied once,
+    even when tasks are retried.
+    """
     bronze = read_layer(spark, paths.bronze)
-    write_layer(silver.silver_lines(bronze), paths.silver)
-    return silver.quality_report(silver.clean_lines(bronze))
+    obs = Observation("silver_quality")
+    observed = silver.clean_lines(bronze).observe(obs, *silver.quality_metrics())
+    write_layer(
+        silver.quality_filter(observed).select(*[F.col(f"`{c}`") for c in SILVER_COLUMNS]),
+        paths.silver,
+    )
+    report = obs.get
+    return spark.createDataFrame([report], schema=silver.quality_report(observed).schema)
 
 
 def run_gold(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]:
