@@ -1,10 +1,12 @@
 """Readers and writers: raw CSV, Parquet layers, the test-table view."""
 
 from tillroll.sources.layers import layer_profile, read_layer, row_count_check, write_layer
-from tillroll.sources.raw import read_raw, write_raw_csv
+from tillroll.sources.raw import conform_raw, read_raw, read_raw_parquet, write_raw_csv
 from tillroll.sources.testtables import retail_lines, table
 
 __all__ = [
+    "conform_raw",
+    "read_raw_parquet",
     "layer_profile",
     "read_layer",
     "read_raw",

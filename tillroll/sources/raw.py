@@ -43,6 +43,22 @@ def read_raw(spark: SparkSession, path: str | list[str], *,
     return reader.csv(path)
 
 
+def conform_raw(df: DataFrame) -> DataFrame:
+    """Any raw-shaped DataFrame (e.g. Parquet with a double price or a
+    string date) cast to the fixed 8-column schema, in schema order.
+
+    Unparsable values become null (``try_cast``), as the CSV reader does.
+    """
+    return df.select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields]
+    )
+
+
+def read_raw_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw lines delivered as Parquet, conformed to the raw schema."""
+    return conform_raw(spark.read.parquet(*([path] if isinstance(path, str) else path)))
+
+
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write lines as quoted CSV that ``read_raw`` reads back unchanged.
 
