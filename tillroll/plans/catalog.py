@@ -275,3 +275,22 @@ def q_bronze_row_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bronze")
     write_layer(raw, path)
     return row_count_check(raw, read_layer(spark, path), "bronze")
+
+
+@register("layered_run", O.LAYERED_RUN)
+def q_layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every layer written in turn (Bronze, Silver, Gold), the blocking
+    Gold checks enforced, and the row count of each written layer."""
+    from tillroll.plans.medallion import run_layers
+
+    return run_layers(spark, raw_lines(spark, sf_dir), scratch_path(spark, "layers"))
+
+
+@register("quality_report_observed", O.QUALITY_REPORT)
+def q_quality_report_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver quality report as observed while Silver is written."""
+    from tillroll.plans.medallion import LayerPaths, run_bronze, run_silver
+
+    paths = LayerPaths(scratch_path(spark, "observed"))
+    run_bronze(spark, raw_lines(spark, sf_dir), paths)
+    return run_silver(spark, paths)

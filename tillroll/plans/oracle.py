@@ -459,3 +459,11 @@ BRONZE_ROW_CHECK = with_ctes(CTE_RAW, """
 SELECT 'bronze' AS CheckName, count(*) AS SourceRows, count(*) AS TargetRows,
        8 AS SourceColumns, 8 AS TargetColumns, true AS Passed
 FROM raw""")
+
+LAYERED_RUN = with_ctes(CTE_MARTS, """
+SELECT 'bronze' AS Stage, 'bronze' AS Layer, CAST(count(*) AS BIGINT) AS RowCount FROM raw
+UNION ALL SELECT 'silver', 'silver', count(*) FROM silver
+UNION ALL SELECT 'gold', 'daily', count(*) FROM daily_agg
+UNION ALL SELECT 'gold', 'product', count(*) FROM product_agg
+UNION ALL SELECT 'gold', 'customer', count(*) FROM customer_agg
+UNION ALL SELECT 'gold', 'country', count(*) FROM country_agg""")

@@ -39,7 +39,8 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def layer_profile(df: DataFrame) -> DataFrame:
-    """One row: rows, non-empty partitions, column count and schema.
+    """One row: rows, non-empty partitions, column count, schema and the
+    Spark version.
 
     One scan; partitions are counted from ``spark_partition_id`` rather
     than through the RDD API.
@@ -49,6 +50,7 @@ def layer_profile(df: DataFrame) -> DataFrame:
         F.countDistinct("_pid").alias("Partitions"),
         F.lit(len(df.columns)).alias("Columns"),
         F.lit(df.schema.simpleString()).alias("Schema"),
+        F.lit(df.sparkSession.version).alias("SparkVersion"),
     )
 
 
