@@ -18,14 +18,15 @@ def write_layer(df: DataFrame, path: str, *, partition_by: list[str] | None = No
                 max_records_per_file: int | None = None) -> None:
     """Write a layer as Parquet.
 
-    With ``partition_by`` the rows are first clustered on those columns
-    (one shuffle on low-cardinality keys), so each task writes a few
-    large files per partition value instead of one small file per value
-    per input task.
+    With ``partition_by`` the rows are first rebalanced on those columns
+    (the REBALANCE hint), so each task writes few, large files per
+    partition value instead of one small file per value per input task;
+    AQE splits a partition value that is too big for one task and merges
+    small ones (advisory partition size).
     """
     out = df
     if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
+        out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode).option("compression", codec)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
