@@ -5,8 +5,8 @@ Spark runs in a single task. That is fine for a table whose size is
 bounded (countries) but not for one that grows with the data (products,
 customers). ``rank_rows`` therefore:
 
-1. checkpoints the input (it is an aggregate; this computes it once and
-   cuts its lineage, in the shared checkpoint folder),
+1. materializes the input as Parquet in the shared checkpoint folder
+   (it is an aggregate: this computes it once and cuts its lineage),
 2. counts it; up to ``rows_per_task`` rows it ranks in one task,
 3. otherwise draws a bounded sample, picks B-1 boundary rows in rank
    order, assigns every row to a bucket by comparing it with those
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.session import checkpoint_dir
+from tillroll.session import materialize
 
 DEFAULT_ROWS_PER_TASK = 2_000_000
 SAMPLES_PER_BUCKET = 64
@@ -159,8 +159,7 @@ def rank_rows(df: DataFrame, keys: list[SortKey], rank_col: str, *,
               checkpoint: bool = True) -> DataFrame:
     """Exact global rank that stays distributed when the input is large."""
     if checkpoint:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = materialize(df, "rank-input")
     n = df.count()
     buckets = max(1, math.ceil(n / rows_per_task))
     if buckets == 1:
