@@ -104,3 +104,21 @@ def test_grain_and_rank_checks(silver_df):
     failed = {r["Mart"] for r in checks.grain_checks(dup).collect() if not r["Passed"]}
     assert failed == {"country"}
     assert not all(r["Passed"] for r in checks.rank_checks(dup).collect())
+
+
+def test_top_k_equals_full_rank_prefix(spark):
+    import datetime as dt
+
+    from tillroll.schemas import RAW_SCHEMA
+
+    ts = dt.datetime(2010, 1, 4, 8, 0)
+    rows = [(str(100 + i), f"{20000 + i % 37:05d}", "X", 1 + i % 3, ts, Decimal("2.00"),
+             f"{i % 11}.0", "UK") for i in range(300)]
+    s = silver.silver_lines(spark.createDataFrame(rows, RAW_SCHEMA))
+    full = {r["StockCode"]: r.asDict() for r in marts.product_performance(s).collect()
+            if r["RevenueRank"] <= 5}
+    top = {r["StockCode"]: r.asDict() for r in marts.top_products(s, k=5).collect()}
+    assert top == full
+    fullc = [r.asDict() for r in marts.customer_mart(s).collect() if r["CustomerRank"] <= 4]
+    topc = [r.asDict() for r in marts.top_customers(s, k=4).collect()]
+    assert sorted(topc, key=lambda r: r["CustomerRank"]) == sorted(fullc, key=lambda r: r["CustomerRank"])

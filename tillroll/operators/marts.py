@@ -35,7 +35,7 @@ from tillroll.functions.measures import (
     round_money,
     transaction_class,
 )
-from tillroll.operators.ranking import rank_rows, revenue_order
+from tillroll.operators.ranking import rank_global, rank_rows, revenue_order
 from tillroll.schemas import (
     COUNTRY_COLUMNS,
     CUSTOMER_COLUMNS,
@@ -178,10 +178,35 @@ def country_sales(silver: DataFrame, *, grain: DataFrame | None = None,
 
 
 def top_ranked(mart: DataFrame, rank_col: str, k: int = 10) -> DataFrame:
-    """The k best-ranked rows (a top-k report; the cut is the feature)."""
+    """The k best-ranked rows of an already ranked mart (e.g. a written
+    layer); the cut is the feature of the report."""
     return mart.filter(F.col(rank_col) <= k)
 
 
+def _top_k(unranked: DataFrame, keys, rank_col: str, columns: list[str], k: int) -> DataFrame:
+    """Rows ranked 1..k without ranking the rest: a distributed top-k
+    (each task keeps its best k, then one merge of k-row lists), then
+    row_number over those k rows. Same order, same ranks as the full
+    rank."""
+    best = unranked.orderBy(*[key.order() for key in keys]).limit(k)
+    return _round(rank_global(best, keys, rank_col), columns)
+
+
+def top_products(silver: DataFrame, k: int = 10) -> DataFrame:
+    return _top_k(product_unranked(silver), revenue_order("StockCode"), "RevenueRank",
+                  PRODUCT_COLUMNS, k)
+
+
+def top_customers(silver: DataFrame, k: int = 10) -> DataFrame:
+    return _top_k(customer_unranked(silver), revenue_order(CUSTOMER_ID, "Country"),
+                  "CustomerRank", CUSTOMER_COLUMNS, k)
+
+
+def top_countries(silver: DataFrame, k: int = 10) -> DataFrame:
+    return _top_k(country_unranked(silver), revenue_order("Country"), "CountryRank",
+                  COUNTRY_COLUMNS, k)
+
+
 def all_marts(silver: DataFrame, *, ranked: bool = True, rounded: bool = True) -> dict[str, DataFrame]:
     """The four marts over one Silver input.
 

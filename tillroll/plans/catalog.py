@@ -124,17 +124,17 @@ def q_invoice_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("top_products", O.TOP_PRODUCTS)
 def q_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.top_ranked(q_product_performance(spark, sf_dir), "RevenueRank")
+    return marts.top_products(silver_of(spark, sf_dir))
 
 
 @register("top_customers", O.TOP_CUSTOMERS)
 def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.top_ranked(q_customer_mart(spark, sf_dir), "CustomerRank")
+    return marts.top_customers(silver_of(spark, sf_dir))
 
 
 @register("top_countries", O.TOP_COUNTRIES)
 def q_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.top_ranked(q_country_sales(spark, sf_dir), "CountryRank")
+    return marts.top_countries(silver_of(spark, sf_dir))
 
 
 # --- profiling of raw lines ------------------------------------------------
