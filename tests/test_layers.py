@@ -41,3 +41,30 @@ def test_csv_round_trip_keeps_values(spark, raw_lines, scratch):
 
 def test_sample_rows(raw_lines):
     assert len(raw_lines.limit(5).collect()) == 5
+
+
+def test_read_raw_with_other_date_format(spark, scratch):
+    path = os.path.join(scratch, "us.csv")
+    with open(path, "w") as f:
+        f.write("Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n")
+        f.write("536365,85123A,HEART,6,12/1/2010 8:26,2.55,17850.0,United Kingdom\n")
+    r = read_raw(spark, path, timestamp_format="M/d/yyyy H:mm").first()
+    assert str(r["InvoiceDate"]) == "2010-12-01 08:26:00"
+
+
+def test_validation_blocks_a_corrupted_mart(spark, raw_csv_path, scratch):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tillroll.operators.checks import ValidationError
+    from tillroll.plans.medallion import LayerPaths, run_layers, run_validation
+
+    out = os.path.join(scratch, "gate")
+    run_layers(spark, raw_csv_path, out).collect()
+    paths = LayerPaths(out)
+    product = read_layer(spark, paths.mart("product"))
+    bad = product.withColumn("UnitsSold", F.col("UnitsSold") + 1).collect()
+    write_layer(spark.createDataFrame(bad, product.schema), paths.mart("product"))
+    with pytest.raises(ValidationError):
+        run_validation(spark, paths)
+    assert run_validation(spark, paths, enforce=False)["gate"].filter("NOT Passed").count() == 1

@@ -19,11 +19,15 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def read_raw(spark: SparkSession, path: str | list[str], *,
-             keep_corrupt: bool = False) -> DataFrame:
+             keep_corrupt: bool = False,
+             timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
     """Read raw lines with the fixed 8-column schema.
 
     ``keep_corrupt`` adds ``_corrupt_record``, non-null on lines whose
     cells did not all parse (their unparsable cells are null).
+    ``timestamp_format`` is a Spark datetime pattern (e.g. ``M/d/yyyy H:mm``
+    for exports that write dates that way). Uncompressed CSV splits into
+    many tasks; gzip files do not, so deliver those as many files.
     """
     schema = RAW_SCHEMA
     if keep_corrupt:
@@ -36,7 +40,7 @@ def read_raw(spark: SparkSession, path: str | list[str], *,
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        .option("timestampNTZFormat", timestamp_format)
     )
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
