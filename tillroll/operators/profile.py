@@ -122,3 +122,22 @@ def rows_by_invoice_type(raw: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("RowCount"))
         .orderBy(F.col("RowCount").desc(), "InvoiceType")
     )
+
+
+def raw_overview(raw: DataFrame) -> DataFrame:
+    """Row count, nulls per column, date range, price and quantity issues
+    and cancelled rows: six exploration questions in one scan."""
+    p, q = F.col("Price"), F.col("Quantity")
+    return raw.agg(
+        F.count(F.lit(1)).alias("TotalRows"),
+        *[F.count_if(_c(c).isNull()).alias(f"Null{c.replace(' ', '')}") for c in RAW_COLUMNS],
+        F.min("InvoiceDate").alias("MinInvoiceDate"),
+        F.max("InvoiceDate").alias("MaxInvoiceDate"),
+        F.count_if(p == 0).alias("ZeroPriceRows"),
+        F.count_if(p < 0).alias("NegativePriceRows"),
+        F.count_if(q < 0).alias("NegativeQuantityRows"),
+        F.count_if(q == 0).alias("ZeroQuantityRows"),
+        F.min(q).alias("MinQuantity"),
+        F.max(q).alias("MaxQuantity"),
+        F.count_if(F.col("Invoice").startswith("C")).alias("CancelledRows"),
+    )

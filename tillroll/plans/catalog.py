@@ -155,6 +155,7 @@ register("cancelled_rows", O.CANCELLED_ROWS)(_raw_query(profile.cancelled_rows))
 register("negative_quantity_rows", O.NEGATIVE_QUANTITY_ROWS)(
     _raw_query(profile.negative_quantity_rows)
 )
+register("raw_overview", O.RAW_OVERVIEW)(_raw_query(profile.raw_overview))
 register("rows_by_country", O.ROWS_BY_COUNTRY)(_raw_query(profile.rows_by_country))
 register("rows_by_invoice_type", O.ROWS_BY_INVOICE_TYPE)(_raw_query(profile.rows_by_invoice_type))
 

@@ -467,3 +467,15 @@ UNION ALL SELECT 'gold', 'daily', count(*) FROM daily_agg
 UNION ALL SELECT 'gold', 'product', count(*) FROM product_agg
 UNION ALL SELECT 'gold', 'customer', count(*) FROM customer_agg
 UNION ALL SELECT 'gold', 'country', count(*) FROM country_agg""")
+
+RAW_OVERVIEW = with_ctes(CTE_RAW, "SELECT count(*) AS TotalRows, " + ", ".join(
+    f"count(*) FILTER (WHERE {_q(c)} IS NULL) AS Null{c.replace(' ', '')}" for c in RAW_COLUMN_NAMES
+) + """,
+       min(InvoiceDate) AS MinInvoiceDate, max(InvoiceDate) AS MaxInvoiceDate,
+       count(*) FILTER (WHERE Price = 0) AS ZeroPriceRows,
+       count(*) FILTER (WHERE Price < 0) AS NegativePriceRows,
+       count(*) FILTER (WHERE Quantity < 0) AS NegativeQuantityRows,
+       count(*) FILTER (WHERE Quantity = 0) AS ZeroQuantityRows,
+       min(Quantity) AS MinQuantity, max(Quantity) AS MaxQuantity,
+       count(*) FILTER (WHERE starts_with(Invoice, 'C')) AS CancelledRows
+FROM raw""")
