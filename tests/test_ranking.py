@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
-from tillroll.operators.ranking import SortKey, rank_distributed, rank_global, rank_rows
+from tillroll.operators.ranking import SortKey, bucket_of, rank_distributed, rank_global, rank_rows
 
 
 def _data(spark, n=3000, seed=7):
@@ -40,11 +40,14 @@ def test_distributed_rank_equals_global(spark):
 
 
 def test_heavy_tie_is_split_across_buckets(spark):
-    from tillroll.operators.ranking import bucket_of  # noqa: F401
-
+    """34% of the rows share NetRevenue 0; boundaries on the whole sort
+    key still cut that tie, so buckets stay equal in size."""
     df = _data(spark)
-    got = rank_distributed(df, KEYS, "Rank", buckets=8, total_rows=3000)
-    assert got.count() == 3000
+    ordered = rank_global(df, KEYS, "Rank").orderBy("Rank").select("NetRevenue", "Key").collect()
+    boundaries = [tuple(ordered[i * 375]) for i in range(1, 8)]
+    assert sum(1 for b in boundaries if b[0] == 0) >= 2  # several cuts inside the tie
+    sizes = [r["count"] for r in df.groupBy(bucket_of(KEYS, boundaries).alias("b")).count().collect()]
+    assert sorted(sizes) == [375] * 8
 
 
 def test_rank_rows_chooses_path(spark):
