@@ -103,16 +103,25 @@ def product_unranked(silver: DataFrame) -> DataFrame:
     blank ones exist, else null; deterministic unlike "first".
     """
     lines = silver.select(
-        "StockCode", "Description", "Invoice",
-        *[expr.alias(name) for name, expr in line_metrics().items()],
+        "StockCode", "Invoice", *[expr.alias(name) for name, expr in line_metrics().items()]
     )
-    agg = lines.groupBy("StockCode").agg(
-        F.coalesce(
-            F.min(F.nullif(F.col("Description"), F.lit(""))), F.min("Description")
-        ).alias("Description"),
+    measures = lines.groupBy("StockCode").agg(
         F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
         *mart_sums("UnitsSold"),
     )
+    # A string min has no fixed-width buffer, so it would turn the whole
+    # aggregation above into a sort-based one. Take it over the
+    # (StockCode, Description) pairs instead: a hash aggregate shrinks the
+    # lines to distinct pairs, and only that small table is sort-aggregated.
+    # The min reads the pair count (always > 0) so that Catalyst keeps the
+    # pair aggregate rather than folding it into the duplicate-insensitive
+    # min over all lines.
+    pairs = silver.groupBy("StockCode", "Description").agg(F.count(F.lit(1)).alias("_lines"))
+    text = F.when(F.col("_lines") > 0, F.col("Description"))
+    descriptions = pairs.groupBy("StockCode").agg(
+        F.coalesce(F.min(F.nullif(text, F.lit(""))), F.min(text)).alias("Description")
+    )
+    agg = measures.join(descriptions, "StockCode", "left")
     return agg.withColumns(
         {"NetRevenue": net_revenue(), "ReturnRate": return_rate("ReturnUnits", "UnitsSold")}
     )
