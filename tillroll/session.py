@@ -33,6 +33,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(total_cores: int, checkpoint_dir: str) -> dict[str, str]:
+    """Suggested session settings for very large inputs on a cluster.
+
+    Shuffle width starts at ~3x the cores and AQE merges partitions up to
+    the advisory size (so small stages do not run thousands of tiny
+    tasks) and splits skewed join partitions. ``checkpoint_dir`` must be a
+    shared folder (HDFS, object store): rank inputs and scratch tables are
+    written there.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.parquet.compression.codec": "snappy",
+        "spark.checkpoint.dir": checkpoint_dir,
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
