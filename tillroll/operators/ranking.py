@@ -156,9 +156,9 @@ def rank_distributed(df: DataFrame, keys: list[SortKey], rank_col: str, *,
 
 def rank_rows(df: DataFrame, keys: list[SortKey], rank_col: str, *,
               rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-              checkpoint: bool = True) -> DataFrame:
+              materialize_input: bool = True) -> DataFrame:
     """Exact global rank that stays distributed when the input is large."""
-    if checkpoint:
+    if materialize_input:
         df = materialize(df, "rank-input")
     n = df.count()
     buckets = max(1, math.ceil(n / rows_per_task))
