@@ -31,6 +31,14 @@ def test_unparsable_cells_become_null_and_are_reported(spark, raw_csv_path):
     assert bad[0]["InvoiceDate"] is None
 
 
+def test_read_report_counts_rejected_lines(spark, raw_csv_path):
+    from tillroll.sources.raw import read_report
+
+    rep = read_report(read_raw(spark, raw_csv_path, keep_corrupt=True)).first()
+    assert (rep["TotalRows"], rep["CorruptRows"], rep["CorruptInvoiceDateNull"]) == (18, 1, 1)
+    assert rep["CorruptPriceNull"] == 0
+
+
 def test_dedup_runs_before_cleaning(raw_lines):
     deduped = silver.dedup_lines(raw_lines)
     assert deduped.count() == 17  # only the exact pair collapses

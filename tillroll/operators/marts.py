@@ -11,7 +11,11 @@ Plan shape, with scale in mind:
   because the set of invoices and customers per group is unchanged.
 * The product mart needs StockCode, so it aggregates the lines itself:
   Catalyst keys the first level by (StockCode, Invoice) for the distinct
-  count, which spreads a hot product over all tasks.
+  count, which spreads a hot product over all tasks. Its Description
+  comes from the distinct (StockCode, Description) pairs, so the string
+  min does not turn the aggregation over all lines into a sort-based one.
+* Ranks go through ``rank_rows`` (size-checked, distributed when large);
+  top-k reports use a distributed top-k instead of ranking every row.
 * Year, Month and MonthName are functions of SaleDate: the daily mart
   groups by (SaleDate, Country) only and derives them afterwards.
 * Ranks are computed on the unrounded NetRevenue and only then are the

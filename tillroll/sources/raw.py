@@ -47,6 +47,21 @@ def read_raw(spark: SparkSession, path: str | list[str], *,
     return reader.csv(path)
 
 
+def read_report(df: DataFrame) -> DataFrame:
+    """One row over lines read with ``keep_corrupt=True``: total lines,
+    lines that did not fully parse, and per raw column how many of those
+    have that cell null (which cell failed). One scan."""
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    return df.agg(
+        F.count(F.lit(1)).alias("TotalRows"),
+        F.count_if(bad).alias("CorruptRows"),
+        *[
+            F.count_if(bad & F.col(f"`{c}`").isNull()).alias(f"Corrupt{c.replace(' ', '')}Null")
+            for c in RAW_COLUMNS
+        ],
+    )
+
+
 def conform_raw(df: DataFrame) -> DataFrame:
     """Any raw-shaped DataFrame (e.g. Parquet with a double price or a
     string date) cast to the fixed 8-column schema, in schema order.
