@@ -92,3 +92,16 @@ def test_dimension_broadcast_only_within_bound(spark):
         assert small.count() == big.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_empty_input_flows_through(spark):
+    empty = spark.createDataFrame([], RAW_SCHEMA)
+    s = silver.silver_lines(empty)
+    m = marts.all_marts(s)
+    assert all(df.count() == 0 for df in m.values())
+    from tillroll.operators import checks
+
+    rec = checks.reconciliation(s, marts.all_marts(s, ranked=False)).collect()
+    assert len(rec) == 24 and all(r["Passed"] for r in rec)
+    assert all(r["Passed"] for r in checks.rank_checks(m).collect())
+    assert marts.top_products(s).count() == 0
