@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from tillroll.functions.measures import line_metrics
 from tillroll.operators import checks, enrich, marts, profile, silver
 from tillroll.plans import oracle as O
+from tillroll.plans.medallion import LayerPaths, run_bronze, run_layers, run_silver
 from tillroll.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from tillroll.session import scratch_path
 from tillroll.sources.layers import read_layer, row_count_check, write_layer
@@ -282,16 +282,12 @@ def q_bronze_row_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every layer written in turn (Bronze, Silver, Gold), the blocking
     Gold checks enforced, and the row count of each written layer."""
-    from tillroll.plans.medallion import run_layers
-
     return run_layers(spark, raw_lines(spark, sf_dir), scratch_path(spark, "layers"))
 
 
 @register("quality_report_observed", O.QUALITY_REPORT)
 def q_quality_report_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Silver quality report as observed while Silver is written."""
-    from tillroll.plans.medallion import LayerPaths, run_bronze, run_silver
-
     paths = LayerPaths(scratch_path(spark, "observed"))
     run_bronze(spark, raw_lines(spark, sf_dir), paths)
     return run_silver(spark, paths)
