@@ -7,7 +7,8 @@ customers). ``rank_rows`` therefore:
 
 1. materializes the input as Parquet in the shared checkpoint folder
    (it is an aggregate: this computes it once and cuts its lineage),
-2. counts it; up to ``rows_per_task`` rows it ranks in one task,
+2. counts it (observed during that write); up to ``rows_per_task`` rows
+   it ranks in one task,
 3. otherwise draws a bounded sample, picks B-1 boundary rows in rank
    order, assigns every row to a bucket by comparing it with those
    literal boundaries (a binary search written as nested CASE), ranks
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.session import materialize
+from tillroll.session import materialize_counted
 
 DEFAULT_ROWS_PER_TASK = 2_000_000
 SAMPLES_PER_BUCKET = 64
@@ -159,8 +160,9 @@ def rank_rows(df: DataFrame, keys: list[SortKey], rank_col: str, *,
               materialize_input: bool = True) -> DataFrame:
     """Exact global rank that stays distributed when the input is large."""
     if materialize_input:
-        df = materialize(df, "rank-input")
-    n = df.count()
+        df, n = materialize_counted(df, "rank-input")
+    else:
+        n = df.count()
     buckets = max(1, math.ceil(n / rows_per_task))
     if buckets == 1:
         return rank_global(df, keys, rank_col)

@@ -93,8 +93,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and
     return it read back: a lineage cut that is columnar and compressed
-    (cheaper than an RDD checkpoint of serialized rows), and whose row
-    count comes from file metadata."""
+    (cheaper than an RDD checkpoint of serialized rows)."""
+    return materialize_counted(df, name)[0]
+
+
+def materialize_counted(df, name: str):
+    """``materialize`` plus the number of rows written, observed during
+    the write itself (no second job)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    obs = Observation(f"rows-{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), int(obs.get["n"])
