@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tillroll.session import local_session  # noqa: E402
+from tillroll.session import checkpoint_dir, local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
@@ -41,7 +41,7 @@ C489450,22088,PAPER BUNTING RED,5,2009-12-01 10:34:00,1.00,16321.0,Australia
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cores=4, shuffle_partitions=8)
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-test-ckpt-"))
+    checkpoint_dir(s)  # keeps spark.checkpoint.dir if set, else a temporary folder
     yield s
 
 

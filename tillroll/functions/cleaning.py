@@ -9,19 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillroll.constants import (  # noqa: F401  (re-exported)
+    CANCELLED,
+    CANCELLED_PREFIX,
+    CUSTOMER_ID_SUFFIX,
+    NORMAL,
+    STOCK_CODE_PATTERN,
+)
 from tillroll.schemas import REVENUE_TYPE
 
-# Fixed values that define the rules (they must not change):
-# a stock code is kept when it starts with five letters or digits; an
-# invoice is a cancellation when its cleaned number starts with "C"; a
-# customer id read from a float column loses a trailing ".0".
-STOCK_CODE_PATTERN = "^[a-zA-Z0-9]{5,}"
-CANCELLED_PREFIX = "C"
-CUSTOMER_ID_SUFFIX = r"\.0$"
-
-CANCELLED = "Cancelled"
-NORMAL = "Normal"
-
 # Reject reasons, in the order the quality filter applies them.
 REASON_PRICE = "NonPositivePrice"
 REASON_STOCK_CODE = "InvalidStockCode"

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.cleaning import CANCELLED, NORMAL
+from tillroll.constants import CANCELLED, MONEY_PLACES, MONTH_NAME_FORMAT, NORMAL
 from tillroll.schemas import MONEY_TYPE, REVENUE_TYPE, SUM_TYPE
 
 
@@ -30,7 +30,7 @@ def calendar_columns(ts: str = "InvoiceDate") -> dict[str, Column]:
         "SaleDate": F.to_date(c),
         "Year": F.year(c).cast(T.IntegerType()),
         "Month": F.month(c).cast(T.IntegerType()),
-        "MonthName": F.date_format(c, "MMMM"),
+        "MonthName": F.date_format(c, MONTH_NAME_FORMAT),
     }
 
 
@@ -137,4 +137,4 @@ def average_order_value(gross: str = "GrossSales", orders: str = "Orders") -> Co
 def round_money(c: str | Column) -> Column:
     """Half-up (away from zero) to 2 places, as decimal(18,2)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col, 2).cast(MONEY_TYPE)
+    return F.round(col, MONEY_PLACES).cast(MONEY_TYPE)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.constants import GATE_NET_TOLERANCE, GATE_UNITS_TOLERANCE
 from tillroll.functions.measures import line_metrics, round_money
 from tillroll.schemas import CUSTOMER_ID, SUM_TYPE
 
@@ -123,8 +124,8 @@ def gate_rows(silver: DataFrame, rounded_marts: dict[str, DataFrame]) -> DataFra
     rec = reconciliation(silver, {"product": rounded_marts["product"]})
     return rec.withColumn(
         "Passed",
-        F.when(F.col("Metric") == "NetRevenue", F.abs(F.col("Difference")) <= 1)
-        .when(F.col("Metric") == "UnitsSold", F.col("Difference") == 0)
+        F.when(F.col("Metric") == "NetRevenue", F.abs(F.col("Difference")) <= GATE_NET_TOLERANCE)
+        .when(F.col("Metric") == "UnitsSold", F.abs(F.col("Difference")) <= GATE_UNITS_TOLERANCE)
         .otherwise(F.lit(True)),
     )
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.constants import MONTH_NAME_FORMAT, TOP_K
 from tillroll.functions.measures import (
     average_order_value,
     calendar_columns,
@@ -92,7 +93,7 @@ def daily_sales(silver: DataFrame, *, grain: DataFrame | None = None,
             "NetRevenue": net_revenue(),
             "Year": F.year("SaleDate").cast(T.IntegerType()),
             "Month": F.month("SaleDate").cast(T.IntegerType()),
-            "MonthName": F.date_format("SaleDate", "MMMM"),
+            "MonthName": F.date_format("SaleDate", MONTH_NAME_FORMAT),
         }
     )
     if rounded:
@@ -190,7 +191,7 @@ def country_sales(silver: DataFrame, *, grain: DataFrame | None = None,
     return ranked.select(*COUNTRY_COLUMNS)
 
 
-def top_ranked(mart: DataFrame, rank_col: str, k: int = 10) -> DataFrame:
+def top_ranked(mart: DataFrame, rank_col: str, k: int = TOP_K) -> DataFrame:
     """The k best-ranked rows of an already ranked mart (e.g. a written
     layer); the cut is the feature of the report."""
     return mart.filter(F.col(rank_col) <= k)
@@ -205,17 +206,17 @@ def _top_k(unranked: DataFrame, keys, rank_col: str, columns: list[str], k: int)
     return _round(rank_global(best, keys, rank_col), columns)
 
 
-def top_products(silver: DataFrame, k: int = 10) -> DataFrame:
+def top_products(silver: DataFrame, k: int = TOP_K) -> DataFrame:
     return _top_k(product_unranked(silver), revenue_order("StockCode"), "RevenueRank",
                   PRODUCT_COLUMNS, k)
 
 
-def top_customers(silver: DataFrame, k: int = 10) -> DataFrame:
+def top_customers(silver: DataFrame, k: int = TOP_K) -> DataFrame:
     return _top_k(customer_unranked(silver), revenue_order(CUSTOMER_ID, "Country"),
                   "CustomerRank", CUSTOMER_COLUMNS, k)
 
 
-def top_countries(silver: DataFrame, k: int = 10) -> DataFrame:
+def top_countries(silver: DataFrame, k: int = TOP_K) -> DataFrame:
     return _top_k(country_unranked(silver), revenue_order("Country"), "CountryRank",
                   COUNTRY_COLUMNS, k)
 
