@@ -142,15 +142,30 @@ def product_performance(silver: DataFrame, *, rounded: bool = True,
 
 
 def customer_unranked(silver: DataFrame, *, grain: DataFrame | None = None) -> DataFrame:
-    g = grain if grain is not None else invoice_grain(silver)
-    agg = (
-        g.filter(F.col(CID).isNotNull())
-        .groupBy(CUSTOMER_ID, "Country")
-        .agg(
-            F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
-            *mart_sums("UnitsPurchased"),
+    """Customer measures before rank and rounding (lines with a customer).
+
+    Alone, the customer filter is a plain predicate that Catalyst pushes
+    to the scan, before the dedup. With a ``grain`` shared by other marts
+    it is applied after aggregating instead (on the count of customer
+    ids, which cannot be pushed), so the shared shuffle stays identical
+    and is reused; the cost is one null-customer group per country.
+    """
+    measures = [
+        F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
+        *mart_sums("UnitsPurchased"),
+    ]
+    if grain is None:
+        agg = (
+            invoice_grain(silver).filter(F.col(CID).isNotNull())
+            .groupBy(CUSTOMER_ID, "Country").agg(*measures)
+        )
+    else:
+        agg = (
+            grain.groupBy(CUSTOMER_ID, "Country")
+            .agg(*measures, F.count(F.col(CID)).alias("_ids"))
+            .filter(F.col("_ids") > 0)
+            .drop("_ids")
         )
-    )
     return agg.withColumns(
         {"NetRevenue": net_revenue(), "AverageOrderValue": average_order_value("GrossSales", "Orders")}
     )
