@@ -49,6 +49,7 @@ from tillroll.schemas import (
     MONEY_COLUMNS,
     PRODUCT_COLUMNS,
 )
+from tillroll.session import materialize
 
 CID = f"`{CUSTOMER_ID}`"
 
@@ -239,19 +240,25 @@ def top_countries(silver: DataFrame, k: int = TOP_K) -> DataFrame:
 def all_marts(silver: DataFrame, *, ranked: bool = True, rounded: bool = True) -> dict[str, DataFrame]:
     """The four marts over one Silver input.
 
-    Daily, customer and country share one invoice-grain pre-aggregate
-    (Spark reuses its shuffle within a plan). ``ranked=False`` returns
-    the unranked, unrounded measures, which is what row counts, grain and
-    reconciliation checks need.
+    Daily, customer and country share one invoice-grain pre-aggregate.
+    ``ranked=False`` returns the unranked, unrounded measures in one plan
+    (Spark reuses the shared shuffles), which is what row counts, grain
+    and reconciliation checks need; ranked marts are built from Silver and
+    the grain written once to the shared checkpoint folder.
     """
-    grain = invoice_grain(silver)
     if not ranked:
+        grain = invoice_grain(silver)
         return {
             "daily": daily_sales(silver, grain=grain, rounded=False),
             "product": product_unranked(silver),
             "customer": customer_unranked(silver, grain=grain),
             "country": country_unranked(silver, grain=grain),
         }
+    # Each ranked mart runs its own jobs (materialize, rank), and shuffle
+    # reuse does not cross jobs: write Silver and the grain once, as the
+    # layer run does, so no job recomputes them.
+    silver = materialize(silver, "silver")
+    grain = materialize(invoice_grain(silver), "invoice-grain")
     return {
         "daily": daily_sales(silver, grain=grain, rounded=rounded),
         "product": product_performance(silver, rounded=rounded),
