@@ -19,7 +19,7 @@ from tillroll.plans import oracle as O
 from tillroll.plans.medallion import LayerPaths, run_bronze, run_layers, run_silver
 from tillroll.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from tillroll.session import scratch_path
-from tillroll.sources.layers import read_layer, row_count_check, write_layer
+from tillroll.sources.layers import read_layer, write_checked, write_layer
 from tillroll.sources.raw import read_raw, write_raw_csv
 from tillroll.sources.testtables import retail_lines
 
@@ -272,10 +272,7 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bronze_row_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines copied to a Parquet Bronze layer; source and copy must
     agree on rows and columns."""
-    raw = raw_lines(spark, sf_dir)
-    path = scratch_path(spark, "bronze")
-    write_layer(raw, path)
-    return row_count_check(raw, read_layer(spark, path), "bronze")
+    return write_checked(raw_lines(spark, sf_dir), scratch_path(spark, "bronze"), "bronze")
 
 
 @register("layered_run", O.LAYERED_RUN)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import checks, marts, silver
 from tillroll.schemas import SILVER_COLUMNS
-from tillroll.sources.layers import read_layer, row_count_check, write_layer
+from tillroll.sources.layers import read_layer, write_checked, write_layer
 from tillroll.sources.raw import conform_raw, read_raw
 
 
@@ -55,10 +55,9 @@ class LayerPaths:
 
 def run_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPaths) -> DataFrame:
     """Copy raw lines (a CSV path or a DataFrame) to Parquet; return the
-    source-to-target row check."""
+    source-to-target row check (source counted during the copy)."""
     raw = read_raw(spark, source) if isinstance(source, str) else conform_raw(source)
-    write_layer(raw, paths.bronze)
-    return row_count_check(raw, read_layer(spark, paths.bronze), "bronze")
+    return write_checked(raw, paths.bronze, "bronze")
 
 
 def run_silver(spark: SparkSession, paths: LayerPaths) -> DataFrame:

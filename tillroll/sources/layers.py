@@ -79,3 +79,29 @@ def row_count_check(source: DataFrame, target: DataFrame, name: str) -> DataFram
             & (F.col("SourceColumns") == F.col("TargetColumns")),
         )
     )
+
+
+def write_checked(df: DataFrame, path: str, name: str, **write_kw) -> DataFrame:
+    """Write a layer and return its source-to-target check row.
+
+    The source rows are counted by an observation on the write itself, so
+    the source (e.g. a large CSV) is read once; the target rows come from
+    the written Parquet files.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(f"source-{name}")
+    write_layer(df.observe(obs, F.count(F.lit(1)).alias("n")), path, **write_kw)
+    source_rows = int(obs.get["n"])
+    target = read_layer(df.sparkSession, path)
+    return target.agg(F.count(F.lit(1)).alias("TargetRows")).select(
+        F.lit(name).alias("CheckName"),
+        F.lit(source_rows).cast("bigint").alias("SourceRows"),
+        "TargetRows",
+        F.lit(len(df.columns)).alias("SourceColumns"),
+        F.lit(len(target.columns)).alias("TargetColumns"),
+    ).withColumn(
+        "Passed",
+        (F.col("SourceRows") == F.col("TargetRows"))
+        & (F.col("SourceColumns") == F.col("TargetColumns")),
+    )
