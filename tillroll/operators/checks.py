@@ -71,6 +71,26 @@ def _metric_sums(units: str, suffix: str = "", where: Column | None = None) -> l
     ]
 
 
+def mart_stats(mart: str, df: DataFrame) -> DataFrame:
+    """Every scalar a check needs from one mart, in one aggregate (one
+    scan): row count, measure totals, null keys, rank range and distinct
+    ranks, rows with negative published revenue. The checks below select
+    what they need from it (Catalyst prunes the other aggregates), so the
+    definitions live in one place; each check scans a mart once."""
+    aggs = [F.count(F.lit(1)).cast(T.LongType()).alias("RowCount"), *_metric_sums(UNITS[mart])]
+    if mart in KEY:
+        aggs.append(F.count_if(_c(KEY[mart]).isNull()).cast(T.LongType()).alias("NullKeys"))
+        aggs.append(F.count_if(round_money("NetRevenue") < 0).cast(T.LongType()).alias("NegativeRows"))
+    if mart in RANK and RANK[mart] in df.columns:
+        r = F.col(RANK[mart])
+        aggs += [
+            F.min(r).alias("MinRank"),
+            F.max(r).alias("MaxRank"),
+            F.countDistinct(r).cast(T.LongType()).alias("DistinctRanks"),
+        ]
+    return _with_net(df.agg(*aggs))
+
+
 def _with_net(df: DataFrame, suffix: str = "") -> DataFrame:
     return df.withColumn(
         f"NetRevenue{suffix}",
@@ -102,7 +122,7 @@ def reconciliation(silver: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
     ).withColumn("Side", F.lit("source"))
     gold = _union(
         [
-            _long(_with_net(marts[m].agg(*_metric_sums(UNITS[m]))), [(m, k, k) for k in METRICS])
+            _long(mart_stats(m, marts[m]), [(m, k, k) for k in METRICS])
             for m in names
         ]
     ).withColumn("Side", F.lit("gold"))
@@ -144,8 +164,7 @@ def grain_checks(marts: dict[str, DataFrame]) -> DataFrame:
 
 def null_key_checks(marts: dict[str, DataFrame]) -> DataFrame:
     frames = [
-        marts[m].agg(F.count_if(_c(KEY[m]).isNull()).cast(T.LongType()).alias("NullKeys"))
-        .select(F.lit(m).alias("Mart"), F.lit(KEY[m]).alias("KeyColumn"), "NullKeys")
+        mart_stats(m, marts[m]).select(F.lit(m).alias("Mart"), F.lit(KEY[m]).alias("KeyColumn"), "NullKeys")
         for m in ("product", "country", "customer")
     ]
     return _union(frames).withColumn("Passed", F.col("NullKeys") == 0)
@@ -155,8 +174,7 @@ def negative_net(marts: dict[str, DataFrame]) -> DataFrame:
     """Rows whose published (2-place) NetRevenue is below zero.
     Informational: net losses are legitimate."""
     frames = [
-        marts[m].agg(F.count_if(round_money("NetRevenue") < 0).cast(T.LongType()).alias("NegativeRows"))
-        .select(F.lit(m).alias("Mart"), "NegativeRows")
+        mart_stats(m, marts[m]).select(F.lit(m).alias("Mart"), "NegativeRows")
         for m in ("product", "customer", "country")
     ]
     return _union(frames)
@@ -164,17 +182,12 @@ def negative_net(marts: dict[str, DataFrame]) -> DataFrame:
 
 def rank_checks(marts: dict[str, DataFrame]) -> DataFrame:
     """A rank column must be a permutation of 1..rows."""
-    frames = []
-    for m in ("product", "customer", "country"):
-        r = F.col(RANK[m])
-        frames.append(
-            marts[m].agg(
-                F.count(F.lit(1)).cast(T.LongType()).alias("RowCount"),
-                F.min(r).alias("MinRank"),
-                F.max(r).alias("MaxRank"),
-                F.countDistinct(r).cast(T.LongType()).alias("DistinctRanks"),
-            ).select(F.lit(m).alias("Mart"), "RowCount", "MinRank", "MaxRank", "DistinctRanks")
+    frames = [
+        mart_stats(m, marts[m]).select(
+            F.lit(m).alias("Mart"), "RowCount", "MinRank", "MaxRank", "DistinctRanks"
         )
+        for m in ("product", "customer", "country")
+    ]
     rc = F.col("RowCount")
     return _union(frames).withColumn(
         "Passed",
