@@ -68,3 +68,17 @@ def test_validation_blocks_a_corrupted_mart(spark, raw_csv_path, scratch):
     with pytest.raises(ValidationError):
         run_validation(spark, paths)
     assert run_validation(spark, paths, enforce=False)["gate"].filter("NOT Passed").count() == 1
+
+
+def test_checks_from_stats_table_equal_direct_checks(spark, raw_lines):
+    from tillroll.operators import checks, marts, silver
+
+    s = silver.silver_lines(raw_lines)
+    m = marts.all_marts(s)
+    st = checks.stats_table(m)
+    for fn in (checks.null_key_checks, checks.rank_checks, checks.negative_net):
+        assert sorted(map(tuple, fn(m).collect())) == sorted(map(tuple, fn(m, st).collect()))
+    assert sorted(map(tuple, checks.gate_rows(s, m).collect())) == \
+        sorted(map(tuple, checks.gate_rows(s, m, st).collect()))
+    rec = lambda x: sorted(map(tuple, x.collect()))
+    assert rec(checks.reconciliation(s, m)) == rec(checks.reconciliation(s, m, st))

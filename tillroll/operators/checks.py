@@ -75,8 +75,9 @@ def mart_stats(mart: str, df: DataFrame) -> DataFrame:
     """Every scalar a check needs from one mart, in one aggregate (one
     scan): row count, measure totals, null keys, rank range and distinct
     ranks, rows with negative published revenue. The checks below select
-    what they need from it (Catalyst prunes the other aggregates), so the
-    definitions live in one place; each check scans a mart once."""
+    what they need from it (Catalyst prunes the other aggregates). Given
+    ``stats_table`` output instead, they read that tiny table and do not
+    scan the marts at all."""
     aggs = [F.count(F.lit(1)).cast(T.LongType()).alias("RowCount"), *_metric_sums(UNITS[mart])]
     if mart in KEY:
         aggs.append(F.count_if(_c(KEY[mart]).isNull()).cast(T.LongType()).alias("NullKeys"))
@@ -91,6 +92,23 @@ def mart_stats(mart: str, df: DataFrame) -> DataFrame:
     return _with_net(df.agg(*aggs))
 
 
+def stats_table(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``mart_stats`` of every mart written once as one tiny table (one
+    job; each mart is scanned once), then read back per mart. Checks given
+    these stats do not scan the marts again."""
+    from tillroll.session import materialize
+
+    rows = [mart_stats(m, df).withColumn("Mart", F.lit(m)) for m, df in marts.items()]
+    table = materialize(
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows), "mart-stats"
+    )
+    return {m: table.filter(F.col("Mart") == m).drop("Mart") for m in marts}
+
+
+def _stats(m: str, marts: dict[str, DataFrame], stats: dict[str, DataFrame] | None) -> DataFrame:
+    return stats[m] if stats is not None else mart_stats(m, marts[m])
+
+
 def _with_net(df: DataFrame, suffix: str = "") -> DataFrame:
     return df.withColumn(
         f"NetRevenue{suffix}",
@@ -100,7 +118,8 @@ def _with_net(df: DataFrame, suffix: str = "") -> DataFrame:
     )
 
 
-def reconciliation(silver: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
+def reconciliation(silver: DataFrame, marts: dict[str, DataFrame],
+                   stats: dict[str, DataFrame] | None = None) -> DataFrame:
     """Silver totals against each mart's totals, exact.
 
     The customer mart is compared with Silver lines that have a customer.
@@ -122,7 +141,7 @@ def reconciliation(silver: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
     ).withColumn("Side", F.lit("source"))
     gold = _union(
         [
-            _long(mart_stats(m, marts[m]), [(m, k, k) for k in METRICS])
+            _long(_stats(m, marts, stats), [(m, k, k) for k in METRICS])
             for m in names
         ]
     ).withColumn("Side", F.lit("gold"))
@@ -138,10 +157,14 @@ def reconciliation(silver: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def gate_rows(silver: DataFrame, rounded_marts: dict[str, DataFrame]) -> DataFrame:
+def gate_rows(silver: DataFrame, rounded_marts: dict[str, DataFrame],
+              stats: dict[str, DataFrame] | None = None) -> DataFrame:
     """The blocking rule on the published (rounded) product mart: net
     revenue may differ from Silver by at most 1.00, units not at all."""
-    rec = reconciliation(silver, {"product": rounded_marts["product"]})
+    rec = reconciliation(
+        silver, {"product": rounded_marts["product"]},
+        None if stats is None else {"product": stats["product"]},
+    )
     return rec.withColumn(
         "Passed",
         F.when(F.col("Metric") == "NetRevenue", F.abs(F.col("Difference")) <= GATE_NET_TOLERANCE)
@@ -162,28 +185,31 @@ def grain_checks(marts: dict[str, DataFrame]) -> DataFrame:
     return _union(frames).withColumn("Passed", F.col("DuplicateKeys") == 0)
 
 
-def null_key_checks(marts: dict[str, DataFrame]) -> DataFrame:
+def null_key_checks(marts: dict[str, DataFrame],
+                    stats: dict[str, DataFrame] | None = None) -> DataFrame:
     frames = [
-        mart_stats(m, marts[m]).select(F.lit(m).alias("Mart"), F.lit(KEY[m]).alias("KeyColumn"), "NullKeys")
+        _stats(m, marts, stats).select(F.lit(m).alias("Mart"), F.lit(KEY[m]).alias("KeyColumn"), "NullKeys")
         for m in ("product", "country", "customer")
     ]
     return _union(frames).withColumn("Passed", F.col("NullKeys") == 0)
 
 
-def negative_net(marts: dict[str, DataFrame]) -> DataFrame:
+def negative_net(marts: dict[str, DataFrame],
+                 stats: dict[str, DataFrame] | None = None) -> DataFrame:
     """Rows whose published (2-place) NetRevenue is below zero.
     Informational: net losses are legitimate."""
     frames = [
-        mart_stats(m, marts[m]).select(F.lit(m).alias("Mart"), "NegativeRows")
+        _stats(m, marts, stats).select(F.lit(m).alias("Mart"), "NegativeRows")
         for m in ("product", "customer", "country")
     ]
     return _union(frames)
 
 
-def rank_checks(marts: dict[str, DataFrame]) -> DataFrame:
+def rank_checks(marts: dict[str, DataFrame],
+                stats: dict[str, DataFrame] | None = None) -> DataFrame:
     """A rank column must be a permutation of 1..rows."""
     frames = [
-        mart_stats(m, marts[m]).select(
+        _stats(m, marts, stats).select(
             F.lit(m).alias("Mart"), "RowCount", "MinRank", "MaxRank", "DistinctRanks"
         )
         for m in ("product", "customer", "country")
