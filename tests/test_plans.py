@@ -72,6 +72,8 @@ def test_run_layers_end_to_end(spark, raw_csv_path, scratch):
     paths = LayerPaths(out)
     years = {r["Year"] for r in read_layer(spark, paths.mart("daily")).collect()}
     assert years == {2009, None}
+    top = marts.top_ranked(read_layer(spark, paths.mart("product")), "RevenueRank")
+    assert sorted(r["RevenueRank"] for r in top.collect()) == list(range(1, 11))
 
 
 def test_silver_report_is_observed_during_write(spark, raw_csv_path, scratch):
