@@ -82,3 +82,17 @@ def test_checks_from_stats_table_equal_direct_checks(spark, raw_lines):
         sorted(map(tuple, checks.gate_rows(s, m, st).collect()))
     rec = lambda x: sorted(map(tuple, x.collect()))
     assert rec(checks.reconciliation(s, m)) == rec(checks.reconciliation(s, m, st))
+
+
+def test_gate_from_observed_totals_equals_gate_from_silver(spark, raw_csv_path, scratch):
+    from tillroll.operators import checks
+    from tillroll.plans.medallion import LayerPaths, read_marts, run_layers
+
+    out = os.path.join(scratch, "totals")
+    run_layers(spark, raw_csv_path, out).collect()
+    paths = LayerPaths(out)
+    s, m = read_layer(spark, paths.silver), read_marts(spark, paths)
+    totals = read_layer(spark, paths.silver_totals)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(checks.gate_rows(s, m, source_totals=totals)) == rows(checks.gate_rows(s, m))
+    assert rows(checks.reconciliation(s, m, source_totals=totals)) == rows(checks.reconciliation(s, m))

@@ -119,21 +119,26 @@ def _with_net(df: DataFrame, suffix: str = "") -> DataFrame:
 
 
 def reconciliation(silver: DataFrame, marts: dict[str, DataFrame],
-                   stats: dict[str, DataFrame] | None = None) -> DataFrame:
+                   stats: dict[str, DataFrame] | None = None,
+                   source_totals: DataFrame | None = None) -> DataFrame:
     """Silver totals against each mart's totals, exact.
 
     The customer mart is compared with Silver lines that have a customer.
     Pass unrounded marts for an exact (zero-difference) reconciliation;
     any subset of the four marts may be given. One scan of Silver
-    computes both source scopes.
+    computes both source scopes, unless ``source_totals`` (the one-row
+    totals observed while Silver was written) is given.
     """
     names = [m for m in MART_NAMES if m in marts]
-    lines = silver.select(_c(CUSTOMER_ID), *[e.alias(n) for n, e in line_metrics().items()])
-    has_customer = _c(CUSTOMER_ID).isNotNull()
-    src = lines.agg(
-        *_metric_sums("SoldUnits"),
-        *_metric_sums("SoldUnits", "_c", has_customer),
-    )
+    if source_totals is not None:
+        src = source_totals
+    else:
+        lines = silver.select(_c(CUSTOMER_ID), *[e.alias(n) for n, e in line_metrics().items()])
+        has_customer = _c(CUSTOMER_ID).isNotNull()
+        src = lines.agg(
+            *_metric_sums("SoldUnits"),
+            *_metric_sums("SoldUnits", "_c", has_customer),
+        )
     src = _with_net(_with_net(src), "_c")
     source = _long(
         src,
@@ -158,12 +163,14 @@ def reconciliation(silver: DataFrame, marts: dict[str, DataFrame],
 
 
 def gate_rows(silver: DataFrame, rounded_marts: dict[str, DataFrame],
-              stats: dict[str, DataFrame] | None = None) -> DataFrame:
+              stats: dict[str, DataFrame] | None = None,
+              source_totals: DataFrame | None = None) -> DataFrame:
     """The blocking rule on the published (rounded) product mart: net
     revenue may differ from Silver by at most 1.00, units not at all."""
     rec = reconciliation(
         silver, {"product": rounded_marts["product"]},
         None if stats is None else {"product": stats["product"]},
+        source_totals,
     )
     return rec.withColumn(
         "Passed",

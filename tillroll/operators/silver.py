@@ -99,6 +99,25 @@ def quality_metrics() -> list[F.Column]:
     ]
 
 
+def kept_totals_metrics() -> list[F.Column]:
+    """Measure totals of the lines the quality filter keeps, for all of
+    them and for those with a customer (the two scopes reconciliation
+    compares against). Usable in ``observe`` on cleaned lines during the
+    Silver write, so validation need not scan Silver for them."""
+    from tillroll.functions.measures import line_metrics
+
+    metrics = line_metrics()
+    keep = passes_quality()
+    scopes = (("", keep), ("_c", keep & F.col(f"`{CUSTOMER_ID}`").isNotNull()))
+    out = []
+    for suffix, cond in scopes:
+        for name, col in (("GrossSales", "GrossSales"), ("ReturnAmount", "ReturnAmount"),
+                          ("CancelledAmount", "CancelledAmount"), ("UnitsSold", "SoldUnits"),
+                          ("ReturnUnits", "ReturnUnits")):
+            out.append(F.sum(F.when(cond, metrics[col])).alias(f"{name}{suffix}"))
+    return out
+
+
 def quality_report(clean: DataFrame) -> DataFrame:
     """One row over the cleaned lines, in a single scan.
 

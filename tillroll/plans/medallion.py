@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,10 @@ class LayerPaths:
     def silver(self) -> str:
         return self._p("silver", "retail_lines")
 
+    @property
+    def silver_totals(self) -> str:
+        return self._p("silver", "_kept_totals")
+
     @property
     def invoice_grain(self) -> str:
         return self._p("gold", "_invoice_grain")
@@ -70,14 +75,23 @@ def run_silver(spark: SparkSession, paths: LayerPaths) -> DataFrame:
     even when tasks are retried.
     """
     bronze = read_layer(spark, paths.bronze)
+    clean = silver.clean_lines(bronze)
+    quality, totals = silver.quality_metrics(), silver.kept_totals_metrics()
     obs = Observation("silver_quality")
-    observed = silver.clean_lines(bronze).observe(obs, *silver.quality_metrics())
+    observed = clean.observe(obs, *quality, *totals)
     write_layer(
         silver.quality_filter(observed).select(*[F.col(f"`{c}`") for c in SILVER_COLUMNS]),
         paths.silver,
     )
-    report = obs.get
-    return spark.createDataFrame([report], schema=silver.quality_report(observed).schema)
+    values = obs.get
+    report_schema = clean.agg(*quality).schema
+    totals_schema = clean.agg(*totals).schema
+    # the kept-line totals feed the validation gate (no Silver scan there)
+    write_layer(
+        spark.createDataFrame([{f.name: values[f.name] for f in totals_schema}], totals_schema),
+        paths.silver_totals,
+    )
+    return spark.createDataFrame([{f.name: values[f.name] for f in report_schema}], report_schema)
 
 
 def run_gold(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]:
@@ -100,15 +114,20 @@ def run_validation(spark: SparkSession, paths: LayerPaths, *, enforce: bool = Tr
     """Checks over the written layers. With ``enforce`` the blocking ones
     (reconciliation gate, grain, null keys, ranks) raise on failure;
     negative revenue and the cancelled/negative overlap are reported only.
-    Silver is scanned once (gate) and each mart twice (its statistics, and
-    the grouping of its grain check)."""
+    The gate reads the kept-line totals observed while Silver was written
+    (no Silver scan); each mart is scanned twice (its statistics, and the
+    grouping of its grain check)."""
     s = read_layer(spark, paths.silver)
     m = read_marts(spark, paths)
     # one job computes every per-mart statistic (each mart scanned once);
     # the checks below read that tiny table, the grain check groups the marts
     st = checks.stats_table(m)
+    try:
+        totals = read_layer(spark, paths.silver_totals)
+    except AnalysisException:  # layers written without the totals table
+        totals = None
     result = {
-        "gate": checks.gate_rows(s, m, st),
+        "gate": checks.gate_rows(s, m, st, totals),
         "grain": checks.grain_checks(m),
         "null_keys": checks.null_key_checks(m, st),
         "ranks": checks.rank_checks(m, st),
