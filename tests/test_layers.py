@@ -96,3 +96,27 @@ def test_gate_from_observed_totals_equals_gate_from_silver(spark, raw_csv_path,
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert rows(checks.gate_rows(s, m, source_totals=totals)) == rows(checks.gate_rows(s, m))
     assert rows(checks.reconciliation(s, m, source_totals=totals)) == rows(checks.reconciliation(s, m))
+
+
+def test_read_raw_parquet_conforms_types(spark, scratch):
+    from decimal import Decimal
+
+    from tillroll.sources.raw import read_raw_parquet
+
+    path = os.path.join(scratch, "rawpq")
+    spark.createDataFrame(
+        [("C1", "85048", "X", 2.0, "2009-12-01 07:45:00", 6.95, "1.0", "UK")],
+        "Invoice string, StockCode string, Description string, Quantity double, "
+        "InvoiceDate string, Price double, `Customer ID` string, Country string",
+    ).write.parquet(path)
+    r = read_raw_parquet(spark, path).first()
+    assert (r["Quantity"], r["Price"], str(r["InvoiceDate"])) == (2, Decimal("6.9500"), "2009-12-01 07:45:00")
+
+
+def test_cluster_conf_names_a_shared_checkpoint_folder():
+    from tillroll.session import cluster_conf
+
+    conf = cluster_conf(4000, "hdfs:///tmp/ckpt")
+    assert conf["spark.checkpoint.dir"] == "hdfs:///tmp/ckpt"
+    assert int(conf["spark.sql.shuffle.partitions"]) == 12000
+    assert conf["spark.sql.adaptive.enabled"] == "true"
