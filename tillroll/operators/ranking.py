@@ -82,12 +82,13 @@ def _precedes(key: SortKey, value) -> tuple[Column, Column]:
 
 def _row_before(keys: list[SortKey], boundary: tuple) -> Column:
     """Lexicographic: the row sorts strictly before the boundary tuple."""
-    result = F.lit(False)
-    prefix_equal = F.lit(True)
+    result: Column | None = None
+    prefix_equal: Column | None = None
     for key, value in zip(keys, boundary):
         before, equal = _precedes(key, value)
-        result = result | (prefix_equal & before)
-        prefix_equal = prefix_equal & equal
+        term = before if prefix_equal is None else prefix_equal & before
+        result = term if result is None else result | term
+        prefix_equal = equal if prefix_equal is None else prefix_equal & equal
     return result
 
 
