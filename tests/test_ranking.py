@@ -55,3 +55,18 @@ def test_rank_rows_chooses_path(spark):
     want = _ranks(rank_global(df, KEYS, "Rank"))
     assert _ranks(rank_rows(df, KEYS, "Rank", rows_per_task=10_000)) == want
     assert _ranks(rank_rows(df, KEYS, "Rank", rows_per_task=60)) == want
+
+
+def test_many_buckets_match_global_rank(spark):
+    from pyspark.sql import functions as F
+
+    n = 50_000
+    df = spark.range(n).select(
+        F.format_string("K%06d", (F.col("id") * 7919) % n).alias("Key"),
+        ((F.col("id") % 700) - 200).cast("decimal(28,4)").alias("NetRevenue"),
+        F.col("id"),
+    )
+    got = rank_rows(df, KEYS, "Rank", rows_per_task=200)  # 250 buckets
+    want = rank_global(df, KEYS, "Rank").select("id", F.col("Rank").alias("W"))
+    assert got.join(want, "id").filter("Rank != W").count() == 0
+    assert got.count() == n
