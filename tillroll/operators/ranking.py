@@ -138,12 +138,10 @@ def rank_distributed(df: DataFrame, keys: list[SortKey], rank_col: str, *,
         "_local_rank",
         F.row_number().over(Window.partitionBy("_bucket").orderBy(*[k.order() for k in keys])),
     )
-    # Bucket sizes from the ranked rows themselves (the largest local rank
-    # is the bucket size): the bucket expression and the shuffle by bucket
-    # run once and both branches reuse them; the rows are already
-    # partitioned by bucket, so this aggregate adds no shuffle. One row per
+    # Bucket sizes: a map-side partial count over the key columns only
+    # (pruned), then a shuffle of one row per bucket per task. One row per
     # bucket: at most len(boundaries)+1 rows, safe to broadcast.
-    sizes = local.groupBy("_bucket").agg(F.max("_local_rank").alias("_n"))
+    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_bucket",
         (
