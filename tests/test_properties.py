@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillroll.functions.measures import average_order_value, return_rate, round_money
-from tillroll.operators.ranking import SortKey, rank_distributed, rank_global
+from tillroll.operators.ranking import SortKey, rank_global, rank_rows
 from tillroll.sources.raw import conform_raw
 
 
@@ -55,7 +55,7 @@ def test_distributed_rank_is_the_global_rank(spark, revenues, buckets):
     keys = [SortKey("NetRevenue", descending=True), SortKey("Key")]
     want = {r["Key"]: r["Rank"] for r in rank_global(df, keys, "Rank").collect()}
     got = {r["Key"]: r["Rank"] for r in
-           rank_distributed(df, keys, "Rank", buckets=buckets, total_rows=len(rows)).collect()}
+           rank_rows(df, keys, "Rank", ranges=buckets).collect()}
     assert got == want
     assert sorted(got.values()) == list(range(1, len(rows) + 1))
 

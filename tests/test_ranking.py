@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
-from tillroll.operators.ranking import SortKey, bucket_of, rank_distributed, rank_global, rank_rows
+from tillroll.operators.ranking import SortKey, rank_global, rank_rows
 
 
 def _data(spark, n=3000, seed=7):
@@ -30,34 +30,33 @@ def _ranks(df):
     return {(r["Key"], r["NetRevenue"]): r["Rank"] for r in df.collect()}
 
 
-def test_distributed_rank_equals_global(spark):
+def test_ranges_equal_the_single_task_rank(spark):
     df = _data(spark)
     want = _ranks(rank_global(df, KEYS, "Rank"))
-    for buckets in (2, 7, 40):
-        got = _ranks(rank_distributed(df, KEYS, "Rank", buckets=buckets, total_rows=3000))
-        assert got == want
+    for ranges in (1, 7, 40):
+        assert _ranks(rank_rows(df, KEYS, "Rank", ranges=ranges)) == want
     assert sorted(want.values()) == list(range(1, 3001))
 
 
-def test_heavy_tie_is_split_across_buckets(spark):
-    """34% of the rows share NetRevenue 0; boundaries on the whole sort
-    key still cut that tie, so buckets stay equal in size."""
-    df = _data(spark)
-    ordered = rank_global(df, KEYS, "Rank").orderBy("Rank").select("NetRevenue", "Key").collect()
-    boundaries = [tuple(ordered[i * 375]) for i in range(1, 8)]
-    assert sum(1 for b in boundaries if b[0] == 0) >= 2  # several cuts inside the tie
-    sizes = [r["count"] for r in df.groupBy(bucket_of(KEYS, boundaries).alias("b")).count().collect()]
-    assert sorted(sizes) == [375] * 8
+def test_default_ranges_empty_and_bigint(spark):
+    df = _data(spark, n=500, seed=3)
+    got = rank_rows(df, KEYS, "Rank")
+    assert dict(got.dtypes)["Rank"] == "bigint"
+    assert _ranks(got) == _ranks(rank_global(df, KEYS, "Rank"))
+    assert rank_rows(df.limit(0), KEYS, "Rank").count() == 0
 
 
-def test_rank_rows_chooses_path(spark):
-    df = _data(spark, n=500, seed=3)
-    want = _ranks(rank_global(df, KEYS, "Rank"))
-    assert _ranks(rank_rows(df, KEYS, "Rank", rows_per_task=10_000)) == want
-    assert _ranks(rank_rows(df, KEYS, "Rank", rows_per_task=60)) == want
+def test_heavy_tie_is_split_across_ranges(spark):
+    """34% of the rows share NetRevenue 0; ranges are cut on the whole sort
+    key, so the tie does not land in one of them."""
+    from pyspark.sql import functions as F
+
+    df = _data(spark).repartitionByRange(8, *[k.order() for k in KEYS])
+    held = df.filter("NetRevenue = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) >= 3
 
 
-def test_many_buckets_match_global_rank(spark):
+def test_many_ranges_match_global_rank(spark):
     from pyspark.sql import functions as F
 
     n = 50_000
@@ -66,7 +65,7 @@ def test_many_buckets_match_global_rank(spark):
         ((F.col("id") % 700) - 200).cast("decimal(28,4)").alias("NetRevenue"),
         F.col("id"),
     )
-    got = rank_rows(df, KEYS, "Rank", rows_per_task=200)  # 250 buckets
+    got = rank_rows(df, KEYS, "Rank", ranges=250)
     want = rank_global(df, KEYS, "Rank").select("id", F.col("Rank").alias("W"))
     assert got.join(want, "id").filter("Rank != W").count() == 0
     assert got.count() == n

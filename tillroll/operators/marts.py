@@ -9,12 +9,10 @@ Plan shape, with scale in mind:
   The daily, customer and country marts all re-aggregate this much
   smaller table; their distinct counts (Orders, Customers) are exact
   because the set of invoices and customers per group is unchanged.
-* The product mart needs StockCode, so it aggregates the lines itself:
-  Catalyst keys the first level by (StockCode, Invoice) for the distinct
-  count, which spreads a hot product over all tasks. Its Description
-  comes from the distinct (StockCode, Description) pairs, so the string
-  min does not turn the aggregation over all lines into a sort-based one.
-* Ranks go through ``rank_rows`` (size-checked, distributed when large);
+* The product mart needs StockCode, so it aggregates the lines itself,
+  to (StockCode, Invoice, Description) by hash aggregation and from there
+  to the product: the string min never sees single lines.
+* Ranks go through ``rank_rows`` (range-partitioned);
   top-k reports use a distributed top-k instead of ranking every row.
 * Year, Month and MonthName are functions of SaleDate: the daily mart
   groups by (SaleDate, Country) only and derives them afterwards.
@@ -108,78 +106,67 @@ def product_unranked(silver: DataFrame) -> DataFrame:
     Description: the smallest non-empty description, else '' if only
     blank ones exist, else null; deterministic unlike "first".
     """
+    # One scan: a hash aggregate shrinks the lines to (StockCode, Invoice,
+    # Description) and spreads a hot product over all tasks; invoices,
+    # sums and the smallest description come from that table.
     lines = silver.select(
-        "StockCode", "Invoice", *[expr.alias(name) for name, expr in line_metrics().items()]
+        "StockCode", "Invoice", "Description", *[expr.alias(name) for name, expr in line_metrics().items()]
     )
-    measures = lines.groupBy("StockCode").agg(
+    grain = lines.groupBy("StockCode", "Invoice", "Description").agg(*partial_sums())
+    text = F.col("Description")
+    agg = grain.groupBy("StockCode").agg(
         F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
+        F.coalesce(F.min(F.nullif(text, F.lit(""))), F.min(text)).alias("Description"),
         *mart_sums("UnitsSold"),
     )
-    # A string min has no fixed-width buffer, so it would turn the whole
-    # aggregation above into a sort-based one. Take it over the
-    # (StockCode, Description) pairs instead: a hash aggregate shrinks the
-    # lines to distinct pairs, and only that small table is sort-aggregated.
-    # The min reads the pair count (always > 0) so that Catalyst keeps the
-    # pair aggregate rather than folding it into the duplicate-insensitive
-    # min over all lines.
-    pairs = silver.groupBy("StockCode", "Description").agg(F.count(F.lit(1)).alias("_lines"))
-    text = F.when(F.col("_lines") > 0, F.col("Description"))
-    descriptions = pairs.groupBy("StockCode").agg(
-        F.coalesce(F.min(F.nullif(text, F.lit(""))), F.min(text)).alias("Description")
-    )
-    agg = measures.join(descriptions, "StockCode", "left")
     return agg.withColumns(
         {"NetRevenue": net_revenue(), "ReturnRate": return_rate("ReturnUnits", "UnitsSold")}
     )
 
 
 def product_performance(silver: DataFrame, *, rounded: bool = True,
-                        rows_per_task: int | None = None) -> DataFrame:
-    kwargs = {} if rows_per_task is None else {"rows_per_task": rows_per_task}
-    ranked = rank_rows(product_unranked(silver), revenue_order("StockCode"), "RevenueRank", **kwargs)
+                        ranges: int | None = None) -> DataFrame:
+    ranked = rank_rows(product_unranked(silver), revenue_order("StockCode"), "RevenueRank", ranges=ranges)
     if rounded:
         return _round(ranked, PRODUCT_COLUMNS)
     return ranked.select(*PRODUCT_COLUMNS)
 
 
-def customer_unranked(silver: DataFrame, *, grain: DataFrame | None = None) -> DataFrame:
+def customer_unranked(silver: DataFrame, *, grain: DataFrame | None = None,
+                      shared_plan: bool = False) -> DataFrame:
     """Customer measures before rank and rounding (lines with a customer).
 
-    Alone, the customer filter is a plain predicate that Catalyst pushes
-    to the scan, before the dedup. With a ``grain`` shared by other marts
-    it is applied after aggregating instead (on the count of customer
-    ids, which cannot be pushed), so the shared shuffle stays identical
-    and is reused; the cost is one null-customer group per country.
+    The customer filter comes first: it reaches the scan of Silver or of a
+    written ``grain``. Only where the grain is part of one plan with other
+    marts (``shared_plan``) does it follow the aggregate, on the count of
+    customer ids, so that the plan has one shuffle for all of them.
     """
     measures = [
         F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
         *mart_sums("UnitsPurchased"),
     ]
-    if grain is None:
-        agg = (
-            invoice_grain(silver).filter(F.col(CID).isNotNull())
-            .groupBy(CUSTOMER_ID, "Country").agg(*measures)
-        )
-    else:
+    g = grain if grain is not None else invoice_grain(silver)
+    if shared_plan:
         agg = (
-            grain.groupBy(CUSTOMER_ID, "Country")
+            g.groupBy(CUSTOMER_ID, "Country")
             .agg(*measures, F.count(F.col(CID)).alias("_ids"))
             .filter(F.col("_ids") > 0)
             .drop("_ids")
         )
+    else:
+        agg = g.filter(F.col(CID).isNotNull()).groupBy(CUSTOMER_ID, "Country").agg(*measures)
     return agg.withColumns(
         {"NetRevenue": net_revenue(), "AverageOrderValue": average_order_value("GrossSales", "Orders")}
     )
 
 
 def customer_mart(silver: DataFrame, *, grain: DataFrame | None = None,
-                  rounded: bool = True, rows_per_task: int | None = None) -> DataFrame:
-    kwargs = {} if rows_per_task is None else {"rows_per_task": rows_per_task}
+                  rounded: bool = True, ranges: int | None = None) -> DataFrame:
     ranked = rank_rows(
         customer_unranked(silver, grain=grain),
         revenue_order(CUSTOMER_ID, "Country"),
         "CustomerRank",
-        **kwargs,
+        ranges=ranges,
     )
     if rounded:
         return _round(ranked, CUSTOMER_COLUMNS)
@@ -198,9 +185,8 @@ def country_unranked(silver: DataFrame, *, grain: DataFrame | None = None) -> Da
 
 def country_sales(silver: DataFrame, *, grain: DataFrame | None = None,
                   rounded: bool = True) -> DataFrame:
-    """Country mart. Real data has a few dozen countries, so the rank
-    normally runs as one small window; Country is free text, though, so
-    the size is checked rather than assumed (``rank_rows``)."""
+    """Country mart. Country is free text, so its number is not bounded and
+    the rank is a distributed one."""
     ranked = rank_rows(country_unranked(silver, grain=grain), revenue_order("Country"), "CountryRank")
     if rounded:
         return _round(ranked, COUNTRY_COLUMNS)
@@ -251,7 +237,7 @@ def all_marts(silver: DataFrame, *, ranked: bool = True, rounded: bool = True) -
         return {
             "daily": daily_sales(silver, grain=grain, rounded=False),
             "product": product_unranked(silver),
-            "customer": customer_unranked(silver, grain=grain),
+            "customer": customer_unranked(silver, grain=grain, shared_plan=True),
             "country": country_unranked(silver, grain=grain),
         }
     # Each ranked mart runs its own jobs (materialize, rank), and shuffle

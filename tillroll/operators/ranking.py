@@ -1,41 +1,31 @@
 """Deterministic revenue ranks: ``row_number`` over a total order.
 
-A rank over the whole table is a window without a partition, which
-Spark runs in a single task. That is fine for a table whose size is
-bounded (countries) but not for one that grows with the data (products,
-customers). ``rank_rows`` therefore:
-
-1. materializes the input as Parquet in the shared checkpoint folder
-   (it is an aggregate: this computes it once and cuts its lineage),
-2. counts it (observed during that write); up to ``rows_per_task`` rows
-   it ranks in one task,
-3. otherwise draws a bounded sample, picks B-1 boundary rows in rank
-   order, assigns every row to a bucket by comparing it with those
-   literal boundaries (a binary search written as nested CASE), ranks
-   inside each bucket with a partitioned window, and adds the number of
-   rows in all earlier buckets (a B-row table, broadcast).
-
-The boundaries are whole sort keys (e.g. NetRevenue *and* StockCode), so
-a revenue value shared by a third of all rows is still split across
-buckets. Because they are literals, bucket membership is a pure
-function of each row, so the count pass and the ranking pass agree and
-the result equals the single-task ``row_number`` exactly.
+A rank over the whole table is a window without a partition, which Spark
+runs in a single task. That is fine for a table whose size is bounded
+(``rank_global``: countries) but not for one that grows with the data
+(products, customers). ``rank_rows`` spreads the work, at every size:
+
+1. range-partition the rows on the *whole* sort key (e.g. NetRevenue and
+   StockCode, so a revenue shared by a third of all rows is still split)
+   and write them once to the shared checkpoint folder with the number of
+   their range,
+2. count the rows of each range from the written files (one row per range:
+   as many as there are partitions, whatever the size of the input),
+3. rank inside each range and add the rows of all earlier ranges.
+
+Ranges follow the order of the key, so the result equals the single-task
+``row_number``. The write pins the assignment: a task that runs again
+after the loss of an executor reads the same range numbers.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tillroll.session import materialize_counted
-
-DEFAULT_ROWS_PER_TASK = 2_000_000
-SAMPLES_PER_BUCKET = 64
-SAMPLE_SEED = 20091201
+from tillroll.session import materialize
 
 
 @dataclass(frozen=True)
@@ -63,110 +53,26 @@ def revenue_order(*keys: str) -> list[SortKey]:
 def rank_global(df: DataFrame, keys: list[SortKey], rank_col: str) -> DataFrame:
     """Single-task rank; only for inputs with a known small size bound."""
     w = Window.orderBy(*[k.order() for k in keys])
-    return df.withColumn(rank_col, F.row_number().over(w).cast(T.IntegerType()))
-
-
-def _precedes(key: SortKey, value) -> tuple[Column, Column]:
-    """(row value strictly before ``value`` in key order, row value equal)."""
-    c = F.col(f"`{key.column}`")
-    if value is None:
-        before = F.lit(False) if key.nulls_come_first else c.isNotNull()
-        return before, c.isNull()
-    lit = F.lit(value)
-    strictly = (c > lit) if key.descending else (c < lit)
-    before = F.coalesce(strictly, F.lit(False))
-    if key.nulls_come_first:
-        before = before | c.isNull()
-    return before, F.coalesce(c == lit, F.lit(False))
-
-
-def _row_before(keys: list[SortKey], boundary: tuple) -> Column:
-    """Lexicographic: the row sorts strictly before the boundary tuple."""
-    result: Column | None = None
-    prefix_equal: Column | None = None
-    for key, value in zip(keys, boundary):
-        before, equal = _precedes(key, value)
-        term = before if prefix_equal is None else prefix_equal & before
-        result = term if result is None else result | term
-        prefix_equal = equal if prefix_equal is None else prefix_equal & equal
-    return result
-
-
-def bucket_of(keys: list[SortKey], boundaries: list[tuple]) -> Column:
-    """Bucket index 0..len(boundaries): how many boundaries sort at or
-    before the row. A nested CASE, so each row makes log2(B) tests."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(_row_before(keys, boundaries[mid - 1]), build(lo, mid - 1)).otherwise(
-            build(mid, hi)
-        )
-
-    return build(0, len(boundaries))
-
-
-def rank_distributed(df: DataFrame, keys: list[SortKey], rank_col: str, *,
-                     buckets: int, total_rows: int,
-                     samples_per_bucket: int = SAMPLES_PER_BUCKET,
-                     seed: int = SAMPLE_SEED) -> DataFrame:
-    """Exact global row_number spread over about ``buckets`` tasks."""
-    cols = [k.column for k in keys]
-    fraction = min(1.0, 2.0 * buckets * samples_per_bucket / max(total_rows, 1))
-    # Bounded by construction: about 2 * buckets * samples_per_bucket rows.
-    sample = [
-        tuple(r)
-        for r in df.select(*[F.col(f"`{c}`") for c in cols])
-        .sample(withReplacement=False, fraction=fraction, seed=seed)
-        .orderBy(*[k.order() for k in keys])
-        .collect()
-    ]
-    if not sample:
-        return rank_global(df, keys, rank_col)
-    step = len(sample) / buckets
-    boundaries: list[tuple] = []
-    for i in range(1, buckets):
-        b = sample[min(len(sample) - 1, int(i * step))]
-        if not boundaries or boundaries[-1] != b:
-            boundaries.append(b)
-    if not boundaries:
-        return rank_global(df, keys, rank_col)
-
-    bucketed = df.withColumn("_bucket", bucket_of(keys, boundaries))
-    local = bucketed.withColumn(
-        "_local_rank",
-        F.row_number().over(Window.partitionBy("_bucket").orderBy(*[k.order() for k in keys])),
-    )
-    # Bucket sizes: a map-side partial count over the key columns only
-    # (pruned), then a shuffle of one row per bucket per task. One row per
-    # bucket: at most len(boundaries)+1 rows, safe to broadcast.
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_bucket",
-        (
-            F.sum("_n").over(
-                Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            - F.col("_n")
-        ).alias("_offset"),
+    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+
+
+def rank_rows(df: DataFrame, keys: list[SortKey], rank_col: str, *, ranges: int | None = None) -> DataFrame:
+    """Exact global rank (bigint, from 1) over ``ranges`` tasks, by default
+    as many as the session has shuffle partitions."""
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [k.order() for k in keys]
+    ranged = materialize(
+        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "rank-input"
     )
+    # one row per range: the only ordered window over all of them
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(*order)
     return (
-        local.join(F.broadcast(offsets), "_bucket")
-        .withColumn(rank_col, (F.col("_offset") + F.col("_local_rank")).cast(T.IntegerType()))
-        .drop("_bucket", "_local_rank", "_offset")
+        ranged.withColumn("_place", F.row_number().over(inside).cast("bigint"))
+        .join(offsets, "_range")
+        .withColumn(rank_col, F.col("_offset") + F.col("_place"))
+        .drop("_range", "_place", "_offset")
     )
-
-
-def rank_rows(df: DataFrame, keys: list[SortKey], rank_col: str, *,
-              rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-              materialize_input: bool = True) -> DataFrame:
-    """Exact global rank that stays distributed when the input is large."""
-    if materialize_input:
-        df, n = materialize_counted(df, "rank-input")
-    else:
-        n = df.count()
-    buckets = max(1, math.ceil(n / rows_per_task))
-    if buckets == 1:
-        return rank_global(df, keys, rank_col)
-    return rank_distributed(df, keys, rank_col, buckets=buckets, total_rows=n)

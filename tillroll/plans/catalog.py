@@ -101,20 +101,18 @@ def q_country_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.country_sales(silver_of(spark, sf_dir))
 
 
-# Small test fixtures have ~1,000-2,000 products and customers; these
-# force the multi-bucket path of the distributed rank on them.
-DISTRIBUTED_TEST_ROWS_PER_TASK = 150
+# More ranges than the session would use: a few dozen rows in each.
+MANY_RANGES = 60
 
 
 @register("customer_rank_distributed", O.with_ctes(O.CTE_CUSTOMER, "SELECT * FROM customer_m"))
 def q_customer_rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.customer_mart(silver_of(spark, sf_dir), rows_per_task=DISTRIBUTED_TEST_ROWS_PER_TASK)
+    return marts.customer_mart(silver_of(spark, sf_dir), ranges=MANY_RANGES)
 
 
 @register("product_rank_distributed", O.with_ctes(O.CTE_PRODUCT, "SELECT * FROM product"))
 def q_product_rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.product_performance(silver_of(spark, sf_dir),
-                                     rows_per_task=DISTRIBUTED_TEST_ROWS_PER_TASK)
+    return marts.product_performance(silver_of(spark, sf_dir), ranges=MANY_RANGES)
 
 
 @register("invoice_grain", O.INVOICE_GRAIN)

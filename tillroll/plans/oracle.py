@@ -4,7 +4,7 @@ test tables (registered as views under their own names).
 The SQL is written straight from the rules, line level, without the
 pre-aggregates and distributed ranks the Spark side uses, so it checks
 them. Shared conventions: units are BIGINT, money sums DECIMAL(28,4),
-published money DECIMAL(18,2), ranks INTEGER, and every rank orders by
+published money DECIMAL(18,2), ranks BIGINT, and every rank orders by
 NetRevenue DESC NULLS LAST, then the grain key ASC NULLS FIRST.
 """
 
@@ -143,7 +143,7 @@ product_agg AS (
 ),
 product_ranked AS (
     SELECT *, CAST(row_number() OVER (ORDER BY NetRevenue DESC NULLS LAST,
-                                      StockCode ASC NULLS FIRST) AS INTEGER) AS RevenueRank
+                                      StockCode ASC NULLS FIRST) AS BIGINT) AS RevenueRank
     FROM (SELECT *, {_NET} FROM product_agg)
 ),
 product AS (
@@ -162,7 +162,7 @@ customer_agg AS (
 customer_ranked AS (
     SELECT *, CAST(row_number() OVER (ORDER BY NetRevenue DESC NULLS LAST,
                                       "Customer ID" ASC NULLS FIRST,
-                                      Country ASC NULLS FIRST) AS INTEGER) AS CustomerRank
+                                      Country ASC NULLS FIRST) AS BIGINT) AS CustomerRank
     FROM (SELECT *, {_NET} FROM customer_agg)
 ),
 customer_m AS (
@@ -181,7 +181,7 @@ country_agg AS (
 ),
 country_ranked AS (
     SELECT *, CAST(row_number() OVER (ORDER BY NetRevenue DESC NULLS LAST,
-                                      Country ASC NULLS FIRST) AS INTEGER) AS CountryRank
+                                      Country ASC NULLS FIRST) AS BIGINT) AS CountryRank
     FROM (SELECT *, {_NET} FROM country_agg)
 ),
 country AS (
