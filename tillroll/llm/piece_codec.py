@@ -37,6 +37,7 @@ from tillroll.llm import flat
 MARK = "▁"  # stands for a space
 NORMAL, UNKNOWN, BYTE = 1, 2, 6  # piece types of the model file that matter here
 LONG_WORD = 256
+SLICE_BYTES = 1 << 20  # text worked on at once: some 100 bytes of arrays for each of its own
 _NONE = np.int32(2**31 - 1)
 
 
@@ -377,21 +378,27 @@ def _from_tables(tables: dict) -> PieceModel:
     return model
 
 
-def encode(docs: DataFrame, raw_model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>): the ids of every whole text."""
+def encode(docs: DataFrame, raw_model: bytes, id_col: str = "doc_id", text_col: str = "text",
+           with_decoded: bool = False) -> DataFrame:
+    """(id, ids array<int>): the ids of every whole text; on request with
+    the text that they decode to, in the same pass."""
     tables = _shared_model(docs.sparkSession, raw_model)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField("id", source.schema["id"].dataType),
-                           T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
+                           T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+                           *([T.StructField("decoded", T.StringType())] if with_decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _from_tables(tables.value)
         for batch in batches:
-            for row, end, data, offsets in flat.text_slices(batch.column("text")):
+            for row, end, data, offsets in flat.text_slices(batch.column("text"), SLICE_BYTES):
                 ids, counts = model.encode_slice(data, offsets)
-                at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(ids.astype(np.int32, copy=False)))
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(row, end - row), lists], ["id", "ids"])
+                at = np.concatenate([[0], np.cumsum(counts)])
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32, copy=False)))
+                columns = [batch.column("id").slice(row, end - row), lists]
+                if with_decoded:
+                    columns.append(model.decode_flat(ids, at))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
@@ -419,8 +426,7 @@ def decode(encoded: DataFrame, raw_model: bytes, ids_col: str = "ids", text_col:
 
 def round_trip(docs: DataFrame, raw_model: bytes) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
-    both = decode(encode(docs, raw_model), raw_model)
-    return both.select(
+    return encode(docs, raw_model, with_decoded=True).select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
