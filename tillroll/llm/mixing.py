@@ -82,27 +82,23 @@ def mix(docs: DataFrame, weights: list[float], budget_ratio: float = 1.5, max_ep
     plan = sources.withColumn("goal_", F.round("target").cast("bigint")).withColumn(
         "whole_", F.when(F.col("source_size") > 0, F.expr("goal_ div source_size")).otherwise(F.lit(0)).cast("bigint")
     ).withColumn("rest_", F.col("goal_") - F.col("whole_") * F.col("source_size"))
-    # the range of each source where its last, partial pass ends
+    # what each range of a source is taken for: words left when it begins
     ranges = sized.groupBy("source", "bucket_").agg(F.sum("size").alias("words_"))
     upto = Window.partitionBy("source").orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("before_", F.coalesce(F.sum("words_").over(upto), F.lit(0)))
-    same = F.col("r.source").eqNullSafe(F.col("p.source"))
-    crossing = (
-        ranges.alias("r").join(plan.alias("p"), same)
-        .filter((F.col("before_") <= F.col("rest_")) & (F.col("before_") + F.col("words_") > F.col("rest_")))
-        .select(F.col("p.source").alias("source"), F.col("bucket_").alias("cross_"), (F.col("rest_") - F.col("before_")).alias("left_"))
+    ranges = (
+        ranges.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
+        .select("r.source", "bucket_", "words_", "source_size", "target", "whole_",
+                F.greatest(F.lit(0), F.col("rest_") - F.col("before_")).alias("left_"))
     )
-    full = (
-        plan.alias("p").join(crossing.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left")
-        .select("p.source", "source_size", "target", "whole_",
-                F.coalesce("cross_", F.lit(BUCKETS)).alias("cross_"), F.coalesce("left_", F.lit(0)).alias("left_"))
-    )
-    rows = sized.alias("d").join(full.alias("f"), F.col("d.source").eqNullSafe(F.col("f.source"))).select("d.*", "source_size", "target", "whole_", "cross_", "left_")
+    # rows find their range, not their source: a hot source is many ranges
+    same = F.col("d.source").eqNullSafe(F.col("f.source")) & (F.col("d.bucket_") == F.col("f.bucket_"))
+    rows = sized.alias("d").join(ranges.alias("f"), same).select("d.*", "words_", "source_size", "target", "whole_", "left_")
     base = F.col("whole_") * F.col("size")
-    easy = rows.filter(F.col("bucket_") != F.col("cross_")).withColumn(
-        "taken", base + F.when(F.col("bucket_") < F.col("cross_"), F.col("size")).otherwise(F.lit(0)))
-    inside = Window.partitionBy("source").orderBy("order_", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    tight = rows.filter(F.col("bucket_") == F.col("cross_")).withColumn(
+    crossing = (F.col("left_") > 0) & (F.col("left_") < F.col("words_"))
+    easy = rows.filter(~crossing).withColumn("taken", base + F.when(F.col("left_") > 0, F.col("size")).otherwise(F.lit(0)))
+    inside = Window.partitionBy("source", "bucket_").orderBy("order_", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    tight = rows.filter(crossing).withColumn(
         "taken", base + F.least(F.col("size"), F.greatest(
             F.lit(0), F.col("left_") - F.coalesce(F.sum("size").over(inside), F.lit(0)))))
     return easy.unionByName(tight).select(
