@@ -51,12 +51,13 @@ from tillroll.llm.elias_fano import EliasFano, mapped
 from tillroll.llm.sorted_groups import group_bounds, key_rows, whole_groups
 from tillroll.session import materialize
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 14 << 20
 VOCABULARY = 8192
 CONTEXTS = 128
 K2 = 400.0
 K3 = 400.0
 STEPS = 512
+LANES = 1 << 18  # tokens looked up at once
 
 END_HASH = np.int64(0x0E4D0E4D0E4D0E4D)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -121,17 +122,17 @@ class Block:
         self.doc_ids, self.trained = row["doc_ids"], np.array(row["trained"], bool)
         self.counts = np.array(row["n_words"], np.int64)
         self.vocab = np.frombuffer(row["vocab"], "<u8").view(np.int64)
-        self.tokens = _unpacked(row["tokens"], row["n_tokens"], "<u4").astype(np.int64)
-        self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
+        self.tokens = _unpacked(row["tokens"], row["n_tokens"], "<u4").astype(np.int32)
+        self.doc = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
 
     def sequence(self, kinds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The classes of all tokens with a start and an end around each
         text, and the text of each place."""
         size = self.counts + 2
         before = np.cumsum(size) - size
-        out = np.full(int(size.sum()), end, np.int64)
+        out = np.full(int(size.sum()), end, np.int32)
         out[flat.positions(before + 1, self.counts)] = kinds[self.tokens]
-        return out, np.repeat(np.arange(len(size)), size)
+        return out, np.repeat(np.arange(len(size), dtype=np.int32), size)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
@@ -186,7 +187,7 @@ class Grams:
         self.contexts = min(CONTEXTS, len(hashes))
 
     def kinds(self, vocab: np.ndarray) -> np.ndarray:
-        out = np.full(len(vocab), self.rare, np.int64)
+        out = np.full(len(vocab), self.rare, np.int32)
         if len(self.sorted):
             at = np.minimum(np.searchsorted(self.sorted, vocab), len(self.sorted) - 1)
             hit = self.sorted[at] == vocab
@@ -195,21 +196,21 @@ class Grams:
 
     def context(self, kinds: np.ndarray) -> np.ndarray:
         """Number of a word in a trigram context, -1 if it is in none."""
-        return np.where(kinds == self.end, self.contexts, np.where(kinds < self.contexts, kinds, -1))
+        return np.where(kinds == self.end, self.contexts, np.where(kinds < self.contexts, kinds, -1)).astype(np.int32)
 
     def numbers(self, sequence: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token (the end included): its bigram, its trigram (-1: its
         context is no trigram context), its text."""
         token = np.flatnonzero(doc[1:] == doc[:-1]) + 1
         a, b = sequence[token - 1], sequence[token]
-        two = a * self.size + b
-        three = np.full(len(token), -1, np.int64)
+        two = a * np.int32(self.size) + b
+        three = np.full(len(token), -1, np.int32)  # 203 million at most
         deep = np.flatnonzero(doc[np.maximum(token - 2, 0)] == doc[token])
         deep = deep[token[deep] >= 2]
         u, v = self.context(sequence[token[deep] - 2]), self.context(a[deep])
         fit = (u >= 0) & (v >= 0)
         deep = deep[fit]
-        three[deep] = self.size**2 + (u[fit] * (self.contexts + 1) + v[fit]) * self.size + b[deep]
+        three[deep] = self.size**2 + (u[fit] * np.int32(self.contexts + 1) + v[fit]) * np.int32(self.size) + b[deep]
         return two, three, doc[token]
 
 
@@ -221,14 +222,14 @@ def _gram_counts(grams: Grams):
             trained = block.trained[np.concatenate([doc, doc[three >= 0]])]
             keys, n = _counted(keys, trained)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(np.full(len(keys), block.number)), pa.array(n)], ["key", "block", "n"])
+                [pa.array(keys.astype(np.int64)), pa.array(np.full(len(keys), block.number)), pa.array(n)], ["key", "block", "n"])
 
     return run
 
 
 def _counted(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys and how often each is trained on."""
-    marked, n = np.unique(keys * 2 + trained, return_counts=True)
+    marked, n = np.unique(keys * np.int32(2) + trained, return_counts=True)
     own = marked >> 1
     new = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
     return own[new], np.add.reduceat(n * (marked & 1), np.flatnonzero(new)) if len(own) else np.zeros(0, np.int64)
@@ -278,6 +279,10 @@ class Trie:
 
     def log_p(self, two: np.ndarray, three: np.ndarray) -> np.ndarray:
         """log10 probability of each token's class in its context."""
+        return np.concatenate([self._log_p(two[a : a + LANES].astype(np.int64), three[a : a + LANES].astype(np.int64))
+                               for a in range(0, len(two), LANES)])
+
+    def _log_p(self, two: np.ndarray, three: np.ndarray) -> np.ndarray:
         size = self.grams.size
         a, b = two // size, two % size
         place = self.level2.find(two)
@@ -326,7 +331,7 @@ def score_block(block: Block, grams: Grams, words: tuple[np.ndarray, np.ndarray]
     two, three, doc = grams.numbers(*block.sequence(kinds, grams.end))
     keys, counts = _counted(np.concatenate([two, three[three >= 0]]), block.trained[np.concatenate([doc, doc[three >= 0]])])
     counts[np.searchsorted(keys, heard[0])] = heard[1]
-    trie = Trie(grams, keys, counts, count1, p1)
+    trie = Trie(grams, keys.astype(np.int64), counts, count1, p1)
     inside = np.where(kinds == grams.rare, log_word[:-1] - np.log10(p1[grams.rare]), 0.0)
     sizes = block.counts + 1
     per_text = lambda values, end: flat.segment_sums(values[block.tokens], block.counts) + end
