@@ -10,7 +10,7 @@ The estimate takes concentration steps over *all* texts of the group: with
 the present centre and spread, the distances of all members are binned,
 per bin one aggregate holds the moments of its members, and the bins of
 smallest distance that make up ``SHARE`` of the group give the next centre
-and spread. The first step starts from medians and absolute deviations.
+and spread. The first step starts from medians and quartiles.
 Only moments travel (a few hundred rows per group), so a hot source costs
 no more than another. ``FLOOR`` keeps the spread of statistics that hardly
 vary (no text of a source has symbols) from becoming zero.
@@ -89,14 +89,12 @@ def squared_distance() -> Column:
 
 
 def _start(vectors: DataFrame) -> DataFrame:
-    """Per group: medians, and absolute deviations as a diagonal spread."""
-    medians = vectors.groupBy("group").agg(*[F.percentile_approx(f"x{j}", 0.5, 1000).alias(f"m{j}") for j in range(P)])
-    away = vectors.join(medians, "group").groupBy("group").agg(
-        *[F.first(f"m{j}").alias(f"m{j}") for j in range(P)],
-        *[F.percentile_approx(F.abs(F.col(f"x{j}") - F.col(f"m{j}")), 0.5, 1000).alias(f"s{j}") for j in range(P)])
-    spread = [F.greatest(1.4826 * F.col(f"s{j}"), F.lit(FLOOR[j])) for j in range(P)]
+    """Per group: medians, and quartile distances as a diagonal spread."""
+    cuts = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    away = vectors.groupBy("group").agg(*[F.percentile_approx(f"x{j}", cuts, 1000).alias(f"q{j}") for j in range(P)])
+    spread = [F.greatest((F.col(f"q{j}")[2] - F.col(f"q{j}")[0]) / 1.349, F.lit(FLOOR[j])) for j in range(P)]
     inverse = [1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i in range(P) for j in range(P)]
-    return away.select("group", F.array(*[F.col(f"m{j}").cast("double") for j in range(P)]).alias("centre"),
+    return away.select("group", F.array(*[F.col(f"q{j}")[1].cast("double") for j in range(P)]).alias("centre"),
                        F.array(*inverse).alias("inverse"))
 
 
