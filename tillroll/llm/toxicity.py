@@ -57,6 +57,7 @@ BATCH = 512  # segments
 RATE = 0.3
 THRESHOLD = 0.7
 SEED = 7
+PORTION = 1 << 15  # distinct words taken apart at once
 
 
 @dataclass
@@ -69,15 +70,9 @@ class Words:
     gram_counts: np.ndarray  # per distinct word
 
 
-def subwords(data: np.ndarray, offsets: np.ndarray) -> Words:
-    starts, ends, first_word = flat.words(data, offsets)
-    if not len(starts):
-        return Words(np.zeros(0, np.int64), first_word, np.zeros(0, np.int64), np.zeros(0, np.int64))
-    hashes = flat.piece_hashes(data, starts, ends)
-    _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-    # the distinct words as code points, each between < and >
-    lengths = (ends - starts)[sample]
-    raw = data[flat.positions(starts[sample], lengths)]
+def word_grams(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """n-gram buckets of words given as flat UTF-8, each between < and >;
+    flat, and how many each word has."""
     heads = np.concatenate([[0], np.cumsum(~flat.CONTINUATION[raw])])
     at = heads[np.concatenate([[0], np.cumsum(lengths)])]
     points = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -87,16 +82,45 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> Words:
     marked[before] = 60
     marked[before + size - 1] = 62
     marked[flat.positions(before + 1, size - 2)] = points
-    owner = np.repeat(np.arange(len(size)), size)
+    owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
     grams, owners = [], []
     for n in NGRAMS:
         windows = flat.window_hashes(marked, n)
         whole = owner[: len(windows)] == owner[n - 1 :]
-        grams.append((windows[whole] % np.uint64(BUCKETS)).astype(np.int64))
+        grams.append((windows[whole] % np.uint64(BUCKETS)).astype(np.int32))
         owners.append(owner[: len(windows)][whole])
     owners_flat = np.concatenate(owners)
     order = np.argsort(owners_flat, kind="stable")
-    return Words(which, first_word, np.concatenate(grams)[order], np.bincount(owners_flat, minlength=len(size)))
+    return np.concatenate(grams)[order], np.bincount(owners_flat, minlength=len(size))
+
+
+def subwords(column: pa.Array) -> Words:
+    """The words of a text column. Texts are hashed slice by slice, and the
+    distinct words taken apart in portions, which bounds the memory."""
+    hashes, counts, own_hashes, own_raw, own_lengths = [], [], [], [], []
+    for _, _, data, offsets in flat.text_slices(column, 1 << 20):
+        starts, ends, first = flat.words(data, offsets)
+        slice_hashes = flat.piece_hashes(data, starts, ends)
+        distinct, sample = np.unique(slice_hashes, return_index=True)
+        lengths = (ends - starts)[sample]
+        hashes.append(slice_hashes)
+        counts.append(np.diff(first))
+        own_hashes.append(distinct)
+        own_raw.append(data[flat.positions(starts[sample], lengths)])
+        own_lengths.append(lengths)
+    first_word = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
+    if first_word[-1] == 0:
+        return Words(np.zeros(0, np.int64), first_word, np.zeros(0, np.int32), np.zeros(0, np.int64))
+    _, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    _, pick = np.unique(np.concatenate(own_hashes), return_index=True)
+    raw, lengths = np.concatenate(own_raw), np.concatenate(own_lengths)
+    before = (np.cumsum(lengths) - lengths)[pick]
+    lengths = lengths[pick]
+    parts = []
+    for a in range(0, len(pick), PORTION):
+        own = slice(a, a + PORTION)
+        parts.append(word_grams(raw[flat.positions(before[own], lengths[own])], lengths[own]))
+    return Words(which, first_word, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
 
 
 def segment_lengths(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,8 +157,8 @@ class Model:
         which, counts = distinct_in_segments(words.which, sizes)
         return self.bias + flat.segment_sums(value[which].astype(np.float64), counts) / SEGMENT, per_text
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        logits, per_text = self.segment_logits(subwords(data, offsets))
+    def score(self, column: pa.Array) -> np.ndarray:
+        logits, per_text = self.segment_logits(subwords(column))
         top = np.full(len(per_text), min(self.bias, _logit(self.base_rate)))
         full = per_text > 0
         if full.any():
@@ -203,10 +227,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     flat_model = Model(np.zeros(BUCKETS, np.float32), _logit(base), 1.0, 0.0, base)
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return flat_model
-    joined = pc.utf8_lower(pa.array(texts, pa.string()))
-    parts = list(flat.text_slices(joined, 1 << 40))
-    _, _, data, offsets = parts[0]
-    words = subwords(data, offsets)
+    words = subwords(pc.utf8_lower(pa.array(texts, pa.string())))
     sizes, per_text = segment_lengths(np.diff(words.first_word))
     which, counts = distinct_in_segments(words.which, sizes)
     text = np.repeat(np.arange(len(per_text)), per_text)
@@ -289,10 +310,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         own = Model(**shared.value)
         for batch in batches:
             lowered = pc.utf8_lower(pc.fill_null(batch.column("text"), ""))
-            for row, end, data, offsets in flat.text_slices(lowered):
+            for row, end, _, _ in flat.text_slices(lowered):
+                scores = own.score(lowered.slice(row, end - row))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, end - row), pa.array(own.score(data, offsets), pa.float64())],
-                    ["doc_id", "score"])
+                    [batch.column("doc_id").slice(row, end - row), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, score double")
