@@ -276,3 +276,14 @@ def test_pipeline_stages(docs, labels, spark, tmp_path):
             assert out.columns == now.columns
         now = out
     assert now.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and now.count() > 0
+
+
+def test_exact_dedup_matches_its_sql(spark):
+    import duckdb
+
+    sf_dir = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    names = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    want = duck.execute(f"SELECT {', '.join(names)} FROM ({queries.oracle_sql()['op6_exact_dedup']})").fetchall()
+    assert _rows(queries.op6_exact_dedup(spark, sf_dir).select(names)) == sorted(want, key=str)
