@@ -62,12 +62,59 @@ def test_validation_blocks_a_corrupted_mart(spark, raw_csv_path, scratch):
     out = os.path.join(scratch, "gate")
     run_layers(spark, raw_csv_path, out).collect()
     paths = LayerPaths(out)
-    product = read_layer(spark, paths.mart("product"))
-    bad = product.withColumn("UnitsSold", F.col("UnitsSold") + 1).collect()
-    write_layer(spark.createDataFrame(bad, product.schema), paths.mart("product"))
-    with pytest.raises(ValidationError):
-        run_validation(spark, paths)
-    assert run_validation(spark, paths, enforce=False)["gate"].filter("NOT Passed").count() == 1
+
+    def corrupt(mart, column, value):
+        good = read_layer(spark, paths.mart(mart))
+        rows, schema = good.collect(), good.schema
+        bad = spark.createDataFrame(rows, schema).withColumn(column, value.cast(schema[column].dataType)).collect()
+        write_layer(spark.createDataFrame(bad, schema), paths.mart(mart))
+        with pytest.raises(ValidationError, match=mart):
+            run_validation(spark, paths)
+        write_layer(spark.createDataFrame(rows, schema), paths.mart(mart))
+
+    corrupt("product", "UnitsSold", F.col("UnitsSold") + 1)
+    corrupt("product", "NetRevenue", F.lit(7))
+    corrupt("customer", "GrossSales", F.col("GrossSales") * 3)
+    corrupt("daily", "UnitsSold", F.col("UnitsSold") + 1000)
+    corrupt("country", "CancelledAmount", F.lit(0))
+    run_validation(spark, paths)
+
+
+def test_sums_of_rounded_rows_do_not_fail_validation(spark, scratch):
+    """2,000 products sold once at 1.0049: every published figure is right,
+    and their sum is 9.80 away from the exact one."""
+    from pyspark.sql import functions as F
+
+    from tillroll.plans.medallion import LayerPaths, read_marts, run_layers
+    from tillroll.schemas import DAILY_COLUMNS
+
+    lines = spark.range(2000).select(
+        F.lit("1").alias("Invoice"), F.format_string("P%06d", "id").alias("StockCode"), F.lit("X").alias("Description"),
+        F.lit(1).alias("Quantity"), F.lit("2009-12-01 07:45").alias("InvoiceDate"), F.lit("1.0049").alias("Price"),
+        F.lit("7.0").alias("Customer ID"), F.lit("UK").alias("Country"))
+    report = {}
+    run_layers(spark, lines, os.path.join(scratch, "cents"), report=report).collect()
+    assert {"bronze", "quality", "gate", "published", "grain", "ranks"} <= set(report)
+    assert report["gate"].count() == 24
+    assert read_marts(spark, LayerPaths(os.path.join(scratch, "cents")))["daily"].columns == DAILY_COLUMNS
+
+
+def test_dates_in_all_default_forms(spark, scratch):
+    path = os.path.join(scratch, "dates.csv")
+    forms = ["2009-12-01 07:45:00", "2009-12-01 07:45", "2009-12-01", "2009-12-01T07:45:00", "2009-12-01 07:45:00.5"]
+    with open(path, "w") as f:
+        f.write("Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n")
+        f.writelines(f"1,85123A,HEART,6,{d},2.55,17850.0,UK\n" for d in forms)
+    assert [str(r["InvoiceDate"])[:10] for r in read_raw(spark, path).collect()] == ["2009-12-01"] * 5
+
+
+def test_rows_by_country_lists_every_country(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.operators.profile import rows_by_country
+
+    raw = spark.range(400).select(F.format_string("C%03d", F.col("id") % 200).alias("Country"))
+    assert rows_by_country(raw).count() == 200
 
 
 def test_checks_from_stats_table_equal_direct_checks(spark, raw_lines):
@@ -78,8 +125,6 @@ def test_checks_from_stats_table_equal_direct_checks(spark, raw_lines):
     st = checks.stats_table(m)
     for fn in (checks.null_key_checks, checks.rank_checks, checks.negative_net):
         assert sorted(map(tuple, fn(m).collect())) == sorted(map(tuple, fn(m, st).collect()))
-    assert sorted(map(tuple, checks.gate_rows(s, m).collect())) == \
-        sorted(map(tuple, checks.gate_rows(s, m, st).collect()))
     rec = lambda x: sorted(map(tuple, x.collect()))
     assert rec(checks.reconciliation(s, m)) == rec(checks.reconciliation(s, m, st))
 
@@ -92,9 +137,9 @@ def test_gate_from_observed_totals_equals_gate_from_silver(spark, raw_csv_path,
     run_layers(spark, raw_csv_path, out).collect()
     paths = LayerPaths(out)
     s, m = read_layer(spark, paths.silver), read_marts(spark, paths)
-    totals = read_layer(spark, paths.silver_totals)
+    totals, written = read_layer(spark, paths.silver_totals), read_layer(spark, paths.mart_totals)
     rows = lambda df: sorted(map(tuple, df.collect()))
-    assert rows(checks.gate_rows(s, m, source_totals=totals)) == rows(checks.gate_rows(s, m))
+    assert rows(checks.gate_rows(s, written, totals)) == rows(checks.gate_rows(s, written))
     assert rows(checks.reconciliation(s, m, source_totals=totals)) == rows(checks.reconciliation(s, m))
 
 

@@ -16,9 +16,10 @@ check_oracle = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(check_oracle)
 
 import __spark_entry__ as entry  # noqa: E402
+from tillroll.plans import catalog  # noqa: E402
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,8 +27,9 @@ def duck():
     return check_oracle.duck_connect(SF_SMALL)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -18,12 +18,6 @@ NORMAL = "Normal"
 MONTH_NAME_FORMAT = "MMMM"
 # Published money columns and ReturnRate are rounded to this many places.
 MONEY_PLACES = 2
-# Validation gate on the published product mart: the net revenue may differ
-# from Silver by at most this much, the units sold not at all.
-GATE_NET_TOLERANCE = 1
-GATE_UNITS_TOLERANCE = 0
-# Report sizes: top products / customers / countries, and countries listed
-# by the raw profile.
+# Report size: top products / customers / countries.
 TOP_K = 10
-PROFILE_TOP_COUNTRIES = 50
 # ------------------------------------------------------------------------------

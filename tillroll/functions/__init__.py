@@ -1,43 +0,0 @@
-"""Column expressions: cleaning rules, line metrics, exact rounding."""
-
-from tillroll.functions.cleaning import (
-    STOCK_CODE_PATTERN,
-    clean_customer_id,
-    clean_stock_code,
-    clean_text,
-    is_return,
-    line_revenue,
-    reject_reason,
-    transaction_type,
-)
-from tillroll.functions.measures import (
-    average_order_value,
-    calendar_columns,
-    line_metrics,
-    mart_sums,
-    net_revenue,
-    partial_sums,
-    return_rate,
-    round_money,
-    transaction_class,
-)
-
-__all__ = [
-    "STOCK_CODE_PATTERN",
-    "average_order_value",
-    "calendar_columns",
-    "clean_customer_id",
-    "clean_stock_code",
-    "clean_text",
-    "is_return",
-    "line_metrics",
-    "line_revenue",
-    "mart_sums",
-    "net_revenue",
-    "partial_sums",
-    "reject_reason",
-    "return_rate",
-    "round_money",
-    "transaction_class",
-    "transaction_type",
-]

@@ -1,6 +1,6 @@
 """Validation: reconciliation, grain, null keys, negative revenue, ranks,
 row counts. Every check is a small DataFrame of rows; only the gate
-collects, and what it collects is a few dozen check rows.
+collects, and what it collects is the failed check rows.
 
 Marts are passed as a dict ``{"daily", "product", "customer",
 "country"}``; they can be freshly built DataFrames or written layers.
@@ -8,15 +8,15 @@ Marts are passed as a dict ``{"daily", "product", "customer",
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.constants import GATE_NET_TOLERANCE, GATE_UNITS_TOLERANCE
 from tillroll.functions.measures import line_metrics, round_money
-from tillroll.schemas import CUSTOMER_ID, SUM_TYPE
+from tillroll.schemas import CUSTOMER_ID, MONEY_COLUMNS, SUM_TYPE
 
 MART_NAMES = ("daily", "product", "customer", "country")
 METRICS = ("GrossSales", "ReturnAmount", "CancelledAmount", "UnitsSold", "ReturnUnits", "NetRevenue")
@@ -31,6 +31,10 @@ RANK = {"product": "RevenueRank", "customer": "CustomerRank", "country": "Countr
 UNITS = {"daily": "UnitsSold", "product": "UnitsSold", "customer": "UnitsPurchased", "country": "UnitsSold"}
 
 
+# four published values of a row, each rounded by at most half a cent
+NET_ROUNDING = Decimal("0.02")
+
+
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -78,7 +82,13 @@ def mart_stats(mart: str, df: DataFrame) -> DataFrame:
     what they need from it (Catalyst prunes the other aggregates). Given
     ``stats_table`` output instead, they read that tiny table and do not
     scan the marts at all."""
-    aggs = [F.count(F.lit(1)).cast(T.LongType()).alias("RowCount"), *_metric_sums(UNITS[mart])]
+    parts = F.col("GrossSales") - F.col("ReturnAmount") - F.col("CancelledAmount")
+    aggs = [
+        F.count(F.lit(1)).cast(T.LongType()).alias("RowCount"),
+        *_metric_sums(UNITS[mart]),
+        F.sum("NetRevenue").alias("NetColumn"),
+        F.count_if(F.abs(F.col("NetRevenue") - parts) > NET_ROUNDING).cast(T.LongType()).alias("NetMismatch"),
+    ]
     if mart in KEY:
         aggs.append(F.count_if(_c(KEY[mart]).isNull()).cast(T.LongType()).alias("NullKeys"))
         aggs.append(F.count_if(round_money("NetRevenue") < 0).cast(T.LongType()).alias("NegativeRows"))
@@ -162,22 +172,42 @@ def reconciliation(silver: DataFrame, marts: dict[str, DataFrame],
     )
 
 
-def gate_rows(silver: DataFrame, rounded_marts: dict[str, DataFrame],
-              stats: dict[str, DataFrame] | None = None,
-              source_totals: DataFrame | None = None) -> DataFrame:
-    """The blocking rule on the published (rounded) product mart: net
-    revenue may differ from Silver by at most 1.00, units not at all."""
-    rec = reconciliation(
-        silver, {"product": rounded_marts["product"]},
-        None if stats is None else {"product": stats["product"]},
-        source_totals,
-    )
-    return rec.withColumn(
-        "Passed",
-        F.when(F.col("Metric") == "NetRevenue", F.abs(F.col("Difference")) <= GATE_NET_TOLERANCE)
-        .when(F.col("Metric") == "UnitsSold", F.abs(F.col("Difference")) <= GATE_UNITS_TOLERANCE)
-        .otherwise(F.lit(True)),
-    )
+def totals_metrics(mart: str) -> list[Column]:
+    """Aggregates over an unrounded mart, to observe while it is written:
+    its exact totals, and those of its published (rounded) columns."""
+    columns = {m: UNITS[mart] if m == "UnitsSold" else m for m in METRICS}
+    exact = [F.sum(_c(c)).cast(SUM_TYPE).alias(m) for m, c in columns.items()]
+    published = [
+        F.sum(round_money(c) if c in MONEY_COLUMNS else _c(c)).cast(SUM_TYPE).alias(f"{m}_published")
+        for m, c in columns.items()
+    ]
+    return [*exact, *published]
+
+
+def _totals_of(totals: DataFrame, mart: str) -> DataFrame:
+    return totals.filter(F.col("Mart") == mart)
+
+
+def gate_rows(silver: DataFrame, totals: DataFrame, source_totals: DataFrame | None = None) -> DataFrame:
+    """The blocking reconciliation of all four marts with Silver: exact
+    totals, no difference allowed. ``totals``: one row per mart with the
+    ``totals_metrics`` observed while it was written."""
+    names = dict.fromkeys(MART_NAMES)
+    return reconciliation(silver, names, {m: _totals_of(totals, m) for m in names}, source_totals)
+
+
+def published_checks(stats: dict[str, DataFrame], totals: DataFrame) -> DataFrame:
+    """The written marts against what was published: the sums of their
+    columns, and no row whose NetRevenue is not that of its parts."""
+    frames = []
+    for m in MART_NAMES:
+        have = _long(stats[m], [(m, k, "NetColumn" if k == "NetRevenue" else k) for k in METRICS]
+                     + [(m, "NetMismatch", "NetMismatch")])
+        want = _long(_totals_of(totals, m).withColumn("NetMismatch", F.lit(0)),
+                     [(m, k, f"{k}_published") for k in METRICS] + [(m, "NetMismatch", "NetMismatch")])
+        frames.append(want.withColumnRenamed("Value", "Published").join(
+            have.withColumnRenamed("Value", "Written"), ["Mart", "Metric"]))
+    return _union(frames).withColumn("Passed", F.col("Published") == F.col("Written"))
 
 
 def grain_checks(marts: dict[str, DataFrame]) -> DataFrame:

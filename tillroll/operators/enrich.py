@@ -1,9 +1,8 @@
 """Dimension joins and skew tools.
 
-``join_dimension`` broadcasts a dimension only after counting it: up to
-``max_broadcast_rows`` rows it is shipped to every task (no shuffle of
-the fact side); above that the join is left to a shuffle join, where
-AQE can still switch strategy or split skewed partitions at run time.
+Dimension joins are plain joins: Spark broadcasts a side whose size in
+bytes is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
+shuffles, where AQE can switch strategy or split skewed partitions.
 
 ``key_share`` reports how rows spread over a key; ``salted_sum`` sums in
 two steps over (key, salt) then key. The salt is a hash of line columns,
@@ -18,34 +17,20 @@ from pyspark.sql import types as T
 
 from tillroll.sources.testtables import table
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 SHARE_TYPE = T.DecimalType(18, 6)
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on: Column | str | list[str], *,
-                   how: str = "left",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a dimension, broadcasting it only when its row count is
-    within the bound."""
-    small = dim.count() <= max_broadcast_rows
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
-
-
 def country_regions(spark, sf_dir: str) -> DataFrame:
     """Country name -> region name, from nation and region."""
     nation = table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return join_dimension(
-        nation, region, F.col("n_regionkey") == F.col("r_regionkey"), how="left"
-    ).select(F.col("n_name").alias("_country"), F.col("r_name").alias("Region"))
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(F.col("n_name").alias("_country"), F.col("r_name").alias("Region"))
 
 
-def with_region(country_mart: DataFrame, regions: DataFrame, **kw) -> DataFrame:
+def with_region(country_mart: DataFrame, regions: DataFrame) -> DataFrame:
     """Country mart rows with their region (null when the country is not
     a known nation)."""
-    return join_dimension(
-        country_mart, regions, F.col("Country") == F.col("_country"), how="left", **kw
-    ).drop("_country")
+    return country_mart.join(regions, F.col("Country") == F.col("_country"), "left").drop("_country")
 
 
 def key_share(df: DataFrame, key: str) -> DataFrame:

@@ -73,6 +73,16 @@ def invoice_grain(silver: DataFrame) -> DataFrame:
     return lines.groupBy("SaleDate", "Country", "Invoice", CUSTOMER_ID).agg(*partial_sums())
 
 
+PUBLISHED_COLUMNS = {
+    "daily": DAILY_COLUMNS, "product": PRODUCT_COLUMNS, "customer": CUSTOMER_COLUMNS, "country": COUNTRY_COLUMNS,
+}
+
+
+def publish(df: DataFrame, mart: str) -> DataFrame:
+    """An unrounded mart with its money rounded, in the published order."""
+    return _round(df, PUBLISHED_COLUMNS[mart])
+
+
 def _round(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: round_money(c) for c in MONEY_COLUMNS}).select(
         *[F.col(f"`{c}`") for c in columns]

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.constants import PROFILE_TOP_COUNTRIES
 from tillroll.functions.cleaning import transaction_type
 from tillroll.schemas import CUSTOMER_ID, RAW_COLUMNS
 
@@ -106,14 +105,12 @@ def negative_quantity_rows(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count_if(F.col("Quantity") < 0).alias("NegativeQuantityRows"))
 
 
-def rows_by_country(raw: DataFrame, top: int = PROFILE_TOP_COUNTRIES) -> DataFrame:
-    """Countries by row count, largest first (ties by name), first
-    ``top`` of them: a top-k report."""
+def rows_by_country(raw: DataFrame) -> DataFrame:
+    """All countries by row count, largest first (ties by name)."""
     return (
         raw.groupBy("Country")
         .agg(F.count(F.lit(1)).alias("RowCount"))
         .orderBy(F.col("RowCount").desc(), F.col("Country").asc_nulls_first())
-        .limit(top)
     )
 
 

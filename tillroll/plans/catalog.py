@@ -19,8 +19,8 @@ from tillroll.plans import oracle as O
 from tillroll.plans.medallion import LayerPaths, run_bronze, run_layers, run_silver
 from tillroll.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from tillroll.session import scratch_path
-from tillroll.sources.layers import read_layer, write_checked, write_layer
-from tillroll.sources.raw import read_raw, write_raw_csv
+from tillroll.sources.layers import layer_profile, read_layer, write_checked, write_layer
+from tillroll.sources.raw import read_raw, read_report, write_raw_csv
 from tillroll.sources.testtables import retail_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -185,24 +185,27 @@ def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.reconciliation(s, marts.all_marts(s, ranked=False))
 
 
-@register("reconciliation_gate", O.RECONCILIATION_GATE)
+def _validated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All layers written, and the checks over the written marts."""
+    report: dict[str, DataFrame] = {}
+    run_layers(spark, raw_lines(spark, sf_dir), scratch_path(spark, "validated"), report=report)
+    return report
+
+
+@register("reconciliation_gate", O.RECONCILIATION)
 def q_reconciliation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = silver_of(spark, sf_dir)
-    published = marts.all_marts(s, ranked=False)
-    published = {m: df.withColumns({c: F.round(c, 2) for c in
-                                    ("GrossSales", "ReturnAmount", "CancelledAmount")})
-                 for m, df in published.items()}
-    return checks.gate_rows(s, published)
+    """The exact reconciliation of all four marts over written layers."""
+    return _validated(spark, sf_dir)["gate"]
 
 
 @register("grain_checks", O.GRAIN_CHECKS)
 def q_grain_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.grain_checks(marts.all_marts(silver_of(spark, sf_dir), ranked=False))
+    return _validated(spark, sf_dir)["grain"]
 
 
 @register("null_key_checks", O.NULL_KEY_CHECKS)
 def q_null_key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.null_key_checks(marts.all_marts(silver_of(spark, sf_dir), ranked=False))
+    return _validated(spark, sf_dir)["null_keys"]
 
 
 @register("negative_net", O.NEGATIVE_NET)
@@ -266,6 +269,27 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, path).select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
 
 
+@register("malformed_cells", O.MALFORMED_CELLS)
+def q_malformed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with an unreadable quantity or date, written as CSV and read
+    back: which cells were rejected."""
+    code, path = F.col("StockCode"), scratch_path(spark, "malformed")
+    spoilt = raw_lines(spark, sf_dir).withColumns({
+        "Quantity": F.when(code.endswith("7"), F.lit("many")).otherwise(F.col("Quantity").cast("string")),
+        "InvoiceDate": F.when(code.endswith("8"), F.lit("no date")).otherwise(F.col("InvoiceDate").cast("string")),
+    })
+    write_raw_csv(spoilt, path)
+    return read_report(read_raw(spark, path, keep_corrupt=True))
+
+
+@register("layer_profile", O.LAYER_PROFILE)
+def q_layer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns of a written Bronze layer."""
+    path = scratch_path(spark, "profile")
+    write_layer(raw_lines(spark, sf_dir), path)
+    return layer_profile(read_layer(spark, path)).select("Rows", "Columns")
+
+
 @register("bronze_row_check", O.BRONZE_ROW_CHECK)
 def q_bronze_row_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines copied to a Parquet Bronze layer; source and copy must

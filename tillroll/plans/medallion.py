@@ -16,7 +16,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +48,10 @@ class LayerPaths:
     def invoice_grain(self) -> str:
         return self._p("gold", "_invoice_grain")
 
+    @property
+    def mart_totals(self) -> str:
+        return self._p("gold", "_totals")
+
     def mart(self, name: str) -> str:
         return self._p("gold", {
             "daily": "daily_sales",
@@ -95,39 +98,56 @@ def run_silver(spark: SparkSession, paths: LayerPaths) -> DataFrame:
 
 
 def run_gold(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]:
-    """Build and write the four marts; return them read back."""
+    """Build and write the four marts; return them read back.
+
+    The exact totals of each mart, and those of its published columns, are
+    observed while it is written and kept beside the marts for validation.
+    """
     s = read_layer(spark, paths.silver)
     write_layer(marts.invoice_grain(s), paths.invoice_grain)
     grain = read_layer(spark, paths.invoice_grain)
-    write_layer(marts.daily_sales(s, grain=grain), paths.mart("daily"), partition_by=["Year", "Month"])
-    write_layer(marts.product_performance(s), paths.mart("product"))
-    write_layer(marts.customer_mart(s, grain=grain), paths.mart("customer"))
-    write_layer(marts.country_sales(s, grain=grain), paths.mart("country"))
+    exact = {
+        "daily": marts.daily_sales(s, grain=grain, rounded=False),
+        "product": marts.product_performance(s, rounded=False),
+        "customer": marts.customer_mart(s, grain=grain, rounded=False),
+        "country": marts.country_sales(s, grain=grain, rounded=False),
+    }
+    totals = []
+    for name, mart in exact.items():
+        metrics = checks.totals_metrics(name)
+        obs = Observation(f"totals-{name}")
+        write_layer(marts.publish(mart.observe(obs, *metrics), name), paths.mart(name),
+                    partition_by=["Year", "Month"] if name == "daily" else None)
+        schema = mart.agg(*metrics).select(F.lit(name).alias("Mart"), "*").schema
+        totals.append(spark.createDataFrame([{"Mart": name, **obs.get}], schema))
+    write_layer(reduce(lambda a, b: a.unionByName(b), totals), paths.mart_totals)
     return read_marts(spark, paths)
 
 
 def read_marts(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]:
-    return {m: read_layer(spark, paths.mart(m)) for m in checks.MART_NAMES}
+    """The written marts, each in its published column order (partition
+    columns come back last)."""
+    return {m: read_layer(spark, paths.mart(m)).select(*[F.col(f"`{c}`") for c in marts.PUBLISHED_COLUMNS[m]])
+            for m in checks.MART_NAMES}
 
 
 def run_validation(spark: SparkSession, paths: LayerPaths, *, enforce: bool = True) -> dict[str, DataFrame]:
     """Checks over the written layers. With ``enforce`` the blocking ones
-    (reconciliation gate, grain, null keys, ranks) raise on failure;
-    negative revenue and the cancelled/negative overlap are reported only.
-    The gate reads the kept-line totals observed while Silver was written
-    (no Silver scan); each mart is scanned twice (its statistics, and the
-    grouping of its grain check)."""
+    (reconciliation gate of all four marts, published values, grain, null
+    keys, ranks) raise on failure; negative revenue and the
+    cancelled/negative overlap are reported only. The gate compares totals
+    observed while Silver and the marts were written, without any scan;
+    each mart is scanned twice (its statistics, and the grouping of its
+    grain check)."""
     s = read_layer(spark, paths.silver)
     m = read_marts(spark, paths)
     # one job computes every per-mart statistic (each mart scanned once);
     # the checks below read that tiny table, the grain check groups the marts
     st = checks.stats_table(m)
-    try:
-        totals = read_layer(spark, paths.silver_totals)
-    except AnalysisException:  # layers written without the totals table
-        totals = None
+    totals = read_layer(spark, paths.mart_totals)
     result = {
-        "gate": checks.gate_rows(s, m, st, totals),
+        "gate": checks.gate_rows(s, totals, read_layer(spark, paths.silver_totals)),
+        "published": checks.published_checks(st, totals),
         "grain": checks.grain_checks(m),
         "null_keys": checks.null_key_checks(m, st),
         "ranks": checks.rank_checks(m, st),
@@ -139,15 +159,17 @@ def run_validation(spark: SparkSession, paths: LayerPaths, *, enforce: bool = Tr
         blocking = reduce(
             lambda a, b: a.unionByName(b),
             [result[k].select(F.lit(k).alias("Check"), "Mart", "Passed")
-             for k in ("gate", "grain", "null_keys", "ranks")],
+             for k in ("gate", "published", "grain", "null_keys", "ranks")],
         )
         checks.enforce(blocking, "Gold validation")
     return result
 
 
 def run_layers(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
-               enforce: bool = True) -> DataFrame:
-    """All stages in order. Returns rows (Stage, Layer, RowCount).
+               enforce: bool = True, report: dict[str, DataFrame] | None = None) -> DataFrame:
+    """All stages in order. Returns rows (Stage, Layer, RowCount); the
+    results of the stages (bronze copy check, Silver quality report, each
+    validation check) are put into ``report`` if one is given.
 
     Raises (``ValidationError``) if the bronze copy lost rows or a
     blocking Gold check fails. The session belongs to the caller.
@@ -156,9 +178,11 @@ def run_layers(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
     bronze_check = run_bronze(spark, source, paths)
     if enforce:
         checks.enforce(bronze_check, "Bronze copy")
-    run_silver(spark, paths)
+    quality = run_silver(spark, paths)
     run_gold(spark, paths)
-    run_validation(spark, paths, enforce=enforce)
+    validation = run_validation(spark, paths, enforce=enforce)
+    if report is not None:
+        report |= {"bronze": bronze_check, "quality": quality, **validation}
     layers = {"bronze": read_layer(spark, paths.bronze), "silver": read_layer(spark, paths.silver),
               **read_marts(spark, paths)}
     stage = {"bronze": "bronze", "silver": "silver"}

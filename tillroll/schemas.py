@@ -16,6 +16,9 @@ MONEY_TYPE = T.DecimalType(18, 2)
 
 CUSTOMER_ID = "Customer ID"
 
+MONEY_COLUMNS = ["GrossSales", "ReturnAmount", "CancelledAmount", "NetRevenue"]
+
+# --- fixed values (field names, order and mart columns must not change) --------
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("Invoice", T.StringType(), True),
@@ -24,32 +27,30 @@ RAW_SCHEMA = T.StructType(
         T.StructField("Quantity", T.IntegerType(), True),
         T.StructField("InvoiceDate", T.TimestampNTZType(), True),
         T.StructField("Price", PRICE_TYPE, True),
-        T.StructField(CUSTOMER_ID, T.StringType(), True),
+        T.StructField("Customer ID", T.StringType(), True),
         T.StructField("Country", T.StringType(), True),
     ]
 )
-
-RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
-
-# Silver = the raw columns cleaned in place, then three derived ones.
-SILVER_COLUMNS = RAW_COLUMNS + ["TransactionType", "IsReturn", "Revenue"]
-
-MONEY_COLUMNS = ["GrossSales", "ReturnAmount", "CancelledAmount", "NetRevenue"]
-
+SILVER_COLUMNS = [
+    "Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price", "Customer ID", "Country",
+    "TransactionType", "IsReturn", "Revenue",
+]
 DAILY_COLUMNS = [
-    "SaleDate", "Year", "Month", "MonthName", "Country",
-    "Orders", "Customers", "UnitsSold", "ReturnUnits",
-    *MONEY_COLUMNS,
+    "SaleDate", "Year", "Month", "MonthName", "Country", "Orders", "Customers", "UnitsSold", "ReturnUnits",
+    "GrossSales", "ReturnAmount", "CancelledAmount", "NetRevenue",
 ]
 PRODUCT_COLUMNS = [
     "StockCode", "Description", "Orders", "UnitsSold", "ReturnUnits",
-    *MONEY_COLUMNS, "ReturnRate", "RevenueRank",
+    "GrossSales", "ReturnAmount", "CancelledAmount", "NetRevenue", "ReturnRate", "RevenueRank",
 ]
 CUSTOMER_COLUMNS = [
-    CUSTOMER_ID, "Country", "Orders", "UnitsPurchased", "ReturnUnits",
-    *MONEY_COLUMNS, "AverageOrderValue", "CustomerRank",
+    "Customer ID", "Country", "Orders", "UnitsPurchased", "ReturnUnits",
+    "GrossSales", "ReturnAmount", "CancelledAmount", "NetRevenue", "AverageOrderValue", "CustomerRank",
 ]
 COUNTRY_COLUMNS = [
     "Country", "Orders", "Customers", "UnitsSold", "ReturnUnits",
-    *MONEY_COLUMNS, "CountryRank",
+    "GrossSales", "ReturnAmount", "CancelledAmount", "NetRevenue", "CountryRank",
 ]
+# --------------------------------------------------------------------------------
+
+RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]

@@ -1,26 +0,0 @@
-"""Readers and writers: raw CSV, Parquet layers, the test-table view."""
-
-from tillroll.sources.layers import (
-    layer_profile,
-    read_layer,
-    row_count_check,
-    write_checked,
-    write_layer,
-)
-from tillroll.sources.raw import conform_raw, read_raw, read_raw_parquet, read_report, write_raw_csv
-from tillroll.sources.testtables import retail_lines, table
-
-__all__ = [
-    "conform_raw",
-    "read_raw_parquet",
-    "read_report",
-    "layer_profile",
-    "read_layer",
-    "read_raw",
-    "retail_lines",
-    "row_count_check",
-    "table",
-    "write_checked",
-    "write_layer",
-    "write_raw_csv",
-]

@@ -8,7 +8,7 @@ kept in a corrupt-record column so rejected rows can be counted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,13 +20,15 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 def read_raw(spark: SparkSession, path: str | list[str], *,
              keep_corrupt: bool = False,
-             timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
+             timestamp_format: str | None = None) -> DataFrame:
     """Read raw lines with the fixed 8-column schema.
 
     ``keep_corrupt`` adds ``_corrupt_record``, non-null on lines whose
     cells did not all parse (their unparsable cells are null).
-    ``timestamp_format`` is a Spark datetime pattern (e.g. ``M/d/yyyy H:mm``
-    for exports that write dates that way). Uncompressed CSV splits into
+    Dates are read in all forms that Spark takes by default (a date, a date
+    and minutes or seconds or fractions, with a blank or a T between);
+    ``timestamp_format`` is a Spark datetime pattern that replaces them
+    (e.g. ``M/d/yyyy H:mm`` for exports that write dates that way). Uncompressed CSV splits into
     many tasks; gzip files do not, so deliver those as many files.
     """
     schema = RAW_SCHEMA
@@ -40,8 +42,9 @@ def read_raw(spark: SparkSession, path: str | list[str], *,
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
-        .option("timestampNTZFormat", timestamp_format)
     )
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format)
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     return reader.csv(path)
@@ -66,11 +69,18 @@ def conform_raw(df: DataFrame) -> DataFrame:
     """Any raw-shaped DataFrame (e.g. Parquet with a double price or a
     string date) cast to the fixed 8-column schema, in schema order.
 
-    Unparsable values become null (``try_cast``), as the CSV reader does.
+    Unparsable values become null (``try_cast``), as the CSV reader does;
+    so does a quantity with a fraction.
     """
-    return df.select(
-        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields]
-    )
+
+    def conformed(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        fractional = isinstance(df.schema[f.name].dataType, (T.DoubleType, T.FloatType, T.DecimalType))
+        if fractional and isinstance(f.dataType, T.IntegerType):
+            c = F.when(c == F.floor(c), c)
+        return c.try_cast(f.dataType).alias(f.name)
+
+    return df.select(*[conformed(f) for f in RAW_SCHEMA.fields])
 
 
 def read_raw_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
