@@ -84,15 +84,25 @@ def test_marts_reconcile_exactly(silver_df):
     assert all(r["Passed"] and r["Difference"] == 0 for r in rows)
 
 
+def _totals(mart_frames):
+    """What the layer run observes while it writes each mart."""
+    from functools import reduce
+
+    rows = [df.agg(*checks.totals_metrics(m)).select(F.lit(m).alias("Mart"), "*") for m, df in mart_frames.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 def test_gate_fails_on_corrupted_mart(silver_df):
-    good = marts.all_marts(silver_df)
-    checks.enforce(checks.gate_rows(silver_df, good), "gate")
-    bad = dict(good)
-    bad["product"] = good["product"].withColumn(
-        "UnitsSold", F.when(F.col("RevenueRank") == 1, F.col("UnitsSold") + 5).otherwise(F.col("UnitsSold"))
-    )
+    good = marts.all_marts(silver_df, rounded=False)
+    checks.enforce(checks.gate_rows(silver_df, _totals(good)), "gate")
+    published = {m: marts.publish(df, m) for m, df in good.items()}
+    checks.enforce(checks.published_checks(checks.stats_table(published), _totals(good)), "published")
+    more = F.when(F.col("RevenueRank") == 1, F.col("UnitsSold") + 5).otherwise(F.col("UnitsSold"))
+    bad = good | {"product": good["product"].withColumn("UnitsSold", more)}
+    with pytest.raises(checks.ValidationError):
+        checks.enforce(checks.gate_rows(silver_df, _totals(bad)), "gate")
     with pytest.raises(checks.ValidationError):
-        checks.enforce(checks.gate_rows(silver_df, bad), "gate")
+        checks.enforce(checks.published_checks(checks.stats_table(published), _totals(bad)), "published")
 
 
 def test_grain_and_rank_checks(silver_df):
