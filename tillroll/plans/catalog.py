@@ -21,7 +21,7 @@ from tillroll.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from tillroll.session import scratch_path
 from tillroll.sources.layers import layer_profile, read_layer, write_checked, write_layer
 from tillroll.sources.raw import read_raw, read_report, write_raw_csv
-from tillroll.sources.testtables import retail_lines
+from tillroll.sources.testtables import dirty_lines, retail_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -310,3 +310,50 @@ def q_quality_report_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LayerPaths(scratch_path(spark, "observed"))
     run_bronze(spark, raw_lines(spark, sf_dir), paths)
     return run_silver(spark, paths)
+
+
+# --- the same operators over the dirty view ------------------------------------
+
+def _on_silver(fn):
+    return lambda raw: fn(silver.silver_lines(raw))
+
+
+def _csv_roundtrip(raw: DataFrame) -> DataFrame:
+    path = scratch_path(raw.sparkSession, "csv-dirty")
+    write_raw_csv(raw, path)
+    return read_raw(raw.sparkSession, path).select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
+
+
+def _gate(raw: DataFrame) -> DataFrame:
+    report: dict[str, DataFrame] = {}
+    run_layers(raw.sparkSession, raw, scratch_path(raw.sparkSession, "validated-dirty"), report=report)
+    return report["gate"]
+
+
+_ON_DIRTY: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "null_counts": profile.null_counts,
+    "distinct_counts": profile.distinct_counts,
+    "price_quality_counts": profile.price_quality_counts,
+    "raw_overview": profile.raw_overview,
+    "rows_by_invoice_type": profile.rows_by_invoice_type,
+    "csv_roundtrip": _csv_roundtrip,
+    "clean_lines": silver.clean_lines,
+    "silver_lines": silver.silver_lines,
+    "silver_type_counts": lambda raw: silver.type_counts(silver.clean_lines(raw)),
+    "quality_report": lambda raw: silver.quality_report(silver.clean_lines(raw)),
+    "rejects_by_reason": lambda raw: silver.rejects_by_reason(silver.clean_lines(raw)),
+    "gold_base": _on_silver(marts.gold_base),
+    "daily_sales": _on_silver(marts.daily_sales),
+    "product_performance": _on_silver(marts.product_performance),
+    "customer_mart": _on_silver(marts.customer_mart),
+    "country_sales": _on_silver(marts.country_sales),
+    "reconciliation_gate": _gate,
+}
+
+
+def _register_dirty(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    register(f"{name}_dirty", O.over_dirty_lines(_ORACLE[name]))(lambda spark, sf_dir: fn(dirty_lines(spark, sf_dir)))
+
+
+for _name, _fn in _ON_DIRTY.items():
+    _register_dirty(_name, _fn)

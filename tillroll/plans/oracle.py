@@ -46,6 +46,33 @@ raw AS (
     SELECT {_RAW_COLS} FROM raw_keyed WHERE l_orderkey % 30 = 1
 )"""
 
+# the further defects of the dirty view, over the same lines
+CTE_DIRTY = CTE_RAW.replace("raw AS (", "raw_plain AS (", 1) + """,
+numbered AS (
+    SELECT *, TRY_CAST(regexp_extract(Invoice, '[0-9]+') AS BIGINT) AS n,
+           TRY_CAST(regexp_extract(StockCode, '[0-9]+') AS BIGINT) AS p
+    FROM raw_plain
+),
+raw AS (
+    SELECT CASE WHEN n % 43 = 7 THEN NULL ELSE Invoice END AS Invoice,
+           CASE WHEN p % 61 = 6 THEN 'adjust' WHEN p % 67 = 8 THEN '47'
+                WHEN p % 71 = 9 THEN NULL ELSE StockCode END AS StockCode,
+           CASE WHEN p % 29 = 4 OR (p % 29 = 5 AND n % 2 = 0) THEN '   '
+                WHEN (p + n) % 31 = 6 THEN '15CM "BALL", LIGHTS ' ELSE Description END AS Description,
+           CASE WHEN n % 37 = 3 THEN NULL WHEN n % 41 = 5 THEN 0 ELSE Quantity END AS Quantity,
+           CASE WHEN n % 83 = 11 THEN NULL ELSE InvoiceDate END AS InvoiceDate,
+           CAST(CASE WHEN p % 59 = 3 THEN 0.001 WHEN p % 53 = 2 THEN -Price
+                     WHEN p % 5 = 1 THEN Price + 0.0049 ELSE Price END AS DECIMAL(14,4)) AS Price,
+           "Customer ID", Country
+    FROM numbered
+)"""
+
+
+def over_dirty_lines(sql: str) -> str:
+    """The same SQL, over the dirty view."""
+    return sql.replace(CTE_RAW.strip(), CTE_DIRTY.strip())
+
+
 CTE_CLEAN = CTE_RAW + """,
 dedup AS (SELECT DISTINCT * FROM raw),
 clean AS (

@@ -84,3 +84,25 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("_copy"),
     )
     return lines.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS])
+
+
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``retail_lines`` with the defects that it lacks, on whole invoices
+    (n, the digits of Invoice) and products (p, those of StockCode): null
+    and zero quantities, null invoices, dates and stock codes, stray codes,
+    sub-cent, tiny and negative prices, blank, mixed and quoted descriptions."""
+    n = F.regexp_extract("Invoice", "[0-9]+", 0).try_cast("bigint")
+    p = F.regexp_extract("StockCode", "[0-9]+", 0).try_cast("bigint")
+    dirt = {
+        "Invoice": F.when(n % 43 == 7, F.lit(None)).otherwise(F.col("Invoice")),
+        "StockCode": F.when(p % 61 == 6, F.lit("adjust")).when(p % 67 == 8, F.lit("47"))
+        .when(p % 71 == 9, F.lit(None)).otherwise(F.col("StockCode")),
+        "Description": F.when((p % 29 == 4) | ((p % 29 == 5) & (n % 2 == 0)), F.lit("   "))
+        .when((p + n) % 31 == 6, F.lit('15CM "BALL", LIGHTS ')).otherwise(F.col("Description")),
+        "Quantity": F.when(n % 37 == 3, F.lit(None)).when(n % 41 == 5, F.lit(0)).otherwise(F.col("Quantity")),
+        "InvoiceDate": F.when(n % 83 == 11, F.lit(None)).otherwise(F.col("InvoiceDate")),
+        "Price": F.when(p % 59 == 3, F.lit("0.001")).when(p % 53 == 2, (-F.col("Price")).cast("string"))
+        .when(p % 5 == 1, (F.col("Price") + F.expr("0.0049BD")).cast("string"))
+        .otherwise(F.col("Price").cast("string")).cast(PRICE_TYPE),
+    }
+    return retail_lines(spark, sf_dir).select(*[dirt.get(c, F.col(f"`{c}`")).alias(c) for c in RAW_COLUMNS])
