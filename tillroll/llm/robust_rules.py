@@ -141,8 +141,8 @@ def judged(docs: DataFrame) -> DataFrame:
     home = F.when(F.col("large"), F.col("group")).otherwise(F.lit(POOLED))
     placed = stats.join(large, "group", "left").withColumn("group", home).drop("large")
     grouped = placed.filter(~F.col("base_failed") & (F.col("group") != POOLED))
-    pooled = sound.withColumn("group", F.lit(POOLED)).join(
-        sound.agg((F.count(F.lit(1)) >= MIN_GROUP).alias("enough")), F.lit(True)).filter("enough").drop("enough")
+    enough = sound.agg((F.count(F.lit(1)) >= MIN_GROUP).alias("enough"))
+    pooled = sound.withColumn("group", F.lit(POOLED)).filter(enough.scalar())
     needed = placed.filter(F.col("group") == POOLED).limit(1).count()
     found = estimates(grouped.unionByName(pooled) if needed else grouped)
     distance = F.when(F.col("centre").isNotNull(), squared_distance())
