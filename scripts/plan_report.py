@@ -1,4 +1,4 @@
-"""Shuffle / broadcast report for every registered query.
+"""Shuffle / broadcast report for every registered retail query.
 
 Usage: python scripts/plan_report.py [sf_dir] > PLANS.md
 
@@ -57,10 +57,8 @@ def summarize(lines: list[str]) -> dict:
         elif c.startswith("Exchange SinglePartition"):
             single += 1
             child = next((_clean(x) for x in lines[i + 1:] if _clean(x)), "")
-            if child.startswith("ColumnarToRow") or child.startswith("FileScan"):
-                flags.append("rank window over a materialized mart of checked size")
-            elif "keys=[_bucket]" in child:
-                flags.append("bucket offsets: one row per bucket")
+            if "keys=[_range]" in child:
+                flags.append("rank offsets: one row per range")
             elif not (child.startswith(("HashAggregate", "SortAggregate")) and "partial_" in child) \
                     and "TakeOrdered" not in child:
                 flags.append(f"UNEXPECTED single partition fed by: {child[:70]}")
@@ -75,20 +73,17 @@ def summarize(lines: list[str]) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
-
     spark = local_session(cores=8, shuffle_partitions=16)
-    print("# Plans of the registered queries\n")
+    print("# Plans of the registered retail queries\n")
     print(f"Final AQE plans at `{sf_dir}`, `local[8]`, generated by "
           "`scripts/plan_report.py`. Every query starts from the test-table view "
           "(four joins, broadcast here because the test dimensions are small) and the "
           "full-row dedup shuffle; the lists below show all shuffles.\n")
-    print("Single-partition shuffles are expected in three forms: the final merge of a "
-          "global aggregate (fed by a partial aggregate, one row per task), the rank window "
-          "over a materialized mart whose row count was checked against the single-task "
-          "bound, and the bucket-offset window (one row per bucket). Anything else is "
-          "marked UNEXPECTED. Ranked marts are aggregated before their rank is taken; the "
-          "`*_unranked` rows show that aggregation.\n")
+    print("The expected single-partition shuffles are the final merge of a global aggregate, fed "
+          "by a partial aggregate (one row per task), and the window over the row counts of the "
+          "rank's ranges (one row per range). Anything else is marked UNEXPECTED. "
+          "Ranked marts are aggregated and written before their rank is taken; the `*_unranked` "
+          "rows show that aggregation.\n")
     print("| Query | Hash shuffles (keys) | Single-partition | Other |")
     print("|---|---|---:|---|")
     from tillroll.operators import marts
@@ -99,14 +94,14 @@ def main() -> None:
             lambda spark, sf, f=getattr(marts, f"{m}_unranked"): f(catalog.silver_of(spark, sf)))
         for m in ("product", "customer", "country")
     }
-    for name, fn in {**E.queries(), **extra}.items():
+    for name, fn in {**catalog.queries(), **extra}.items():
         df = fn(spark, sf_dir)
         df.collect()
         s = summarize(final_plan(df))
         other = ", ".join(f"{k} {v}" for k, v in sorted(s["counts"].items()))
         hashed = "<br>".join(f"`{h}`" for h in s["hash"]) or "—"
         flag = ("<br>" + "; ".join(s["flags"])) if s["flags"] else ""
-        print(f"| `{name}` | {hashed} | {s['single']} | {other}{flag} |")
+        print(f"| `{name}` | {hashed} | {s['single']} | {other}{flag} |", flush=True)
 
 
 if __name__ == "__main__":
