@@ -7,7 +7,8 @@ words, padded to ``SEGMENT`` with a zero vector (so that one word said over
 and over weighs as much as one said once), and a linear softmax over it
 gives the probability of the toxic class. Embeddings
 and softmax are trained together by minibatch gradient steps (Adagrad) in
-numpy. An unseen misspelling shares n-grams, and so vectors, with the words
+numpy, the embeddings from zero and the softmax from seeded random weights.
+An unseen misspelling shares n-grams, and so vectors, with the words
 it comes from.
 
 A whole text is judged by its most toxic segment: a few words in a long
@@ -54,7 +55,7 @@ SAMPLE_SEGMENTS = 12
 EPOCHS = 3
 LEAST_STEPS = 150  # small samples are passed through more often
 BATCH = 512  # segments
-RATE = 0.3
+RATE = 1.0
 THRESHOLD = 0.7
 SEED = 7
 PORTION = 1 << 15  # distinct words taken apart at once
@@ -186,7 +187,7 @@ def _train(words: Words, which: np.ndarray, counts: np.ndarray, segments: np.nda
            rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Embeddings, softmax weights and biases from the given segments;
     ``which`` and ``counts``: the distinct words of all segments."""
-    table = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
+    table = np.zeros((BUCKETS, DIMENSIONS), np.float32)  # n-grams never met say nothing
     soft = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen_table = np.full((BUCKETS, DIMENSIONS), 1e-6, np.float32)
