@@ -10,8 +10,9 @@ A source then takes every document floor(target / size) times, and once
 more the documents that come first in a seeded order until the target is
 met; the one that crosses it is taken for a fraction of its words. To find
 the crossing without ordering a whole source in one task, the seeded order
-is cut into ``BUCKETS`` ranges: their sizes tell the range that holds the
-crossing, and only its documents are ordered.
+(the MD5 of seed and id) is cut into ranges by its first ``RANGE_DIGITS``
+hexadecimal digits: their sizes tell the range that holds the crossing, and
+only its documents are ordered.
 
 Cases: null and empty texts have size 0 and are taken 0 words; a null
 source is a source of its own, last in the order of weights; a source of
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from tillroll.operators.ranking import SortKey, rank_rows
 from tillroll.session import materialize
 
-BUCKETS = 4096
+RANGE_DIGITS = 3  # 4096 ranges
 
 
 def word_count(text: Column) -> Column:
@@ -71,10 +72,10 @@ def targets(sources: DataFrame, budget_ratio: float, max_epochs: float) -> DataF
 def mix(docs: DataFrame, weights: list[float], budget_ratio: float = 1.5, max_epochs: float = 2.0,
         seed: str = "mix") -> DataFrame:
     """doc_id, source, size, source_size, target, taken (words) per row."""
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     sized = materialize(
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("order_"),
-                    F.pmod(order, F.lit(BUCKETS)).cast("int").alias("bucket_")),
+                    F.substring(order, 1, RANGE_DIGITS).alias("bucket_")),
         "mix-sizes",
     )
     sources = materialize(targets(materialize(cyclic_weights(source_sizes(sized), weights), "mix-weights"),
