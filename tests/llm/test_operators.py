@@ -278,12 +278,17 @@ def test_pipeline_stages(docs, labels, spark, tmp_path):
     assert now.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and now.count() > 0
 
 
-def test_exact_dedup_matches_its_sql(spark):
+@pytest.mark.parametrize("name", ["op6_exact_dedup", "op9_source_mixing"])
+def test_query_matches_its_sql(spark, tmp_path, name):
     import duckdb
 
-    sf_dir = "/root/testdata/sf0.001"
-    duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
-    names = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
-    want = duck.execute(f"SELECT {', '.join(names)} FROM ({queries.oracle_sql()['op6_exact_dedup']})").fetchall()
-    assert _rows(queries.op6_exact_dedup(spark, sf_dir).select(names)) == sorted(want, key=str)
+    made = f"{tmp_path}/made"
+    rows = [(i, " ".join(["word"] * (i % 23)), ("b", "a", None, "é", "Z")[i % 5 if i % 3 else 0]) for i in range(400)]
+    rows += [(7, "again and again", "a"), (7, "again  and\tagain", "a"), (401, None, "a"), (402, "", None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(f"{made}/documents.parquet")
+    for sf_dir, files in (("/root/testdata/sf0.001", "documents.parquet"), (made, "documents.parquet/*.parquet")):
+        duck = duckdb.connect()
+        duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/{files}'")
+        got = queries.queries()[name](spark, sf_dir)
+        want = duck.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.oracle_sql()[name]})").fetchall()
+        assert _rows(got) == sorted(want, key=str)

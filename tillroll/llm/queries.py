@@ -90,6 +90,37 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_
 FROM texts JOIN groups USING (body)
 """
 
+# the water level with the first k sources clamped (least size per weight
+# first), where k is the first at which no other is above its cap; later
+# ones give lower levels
+OP9_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place
+  FROM documents
+), sources AS (
+  SELECT source, source_size, [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] :: DOUBLE AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source)
+), levels AS (
+  SELECT 2.0 :: DOUBLE * source_size / weight AS full_at,
+         (1.5 :: DOUBLE * sum(source_size) OVER () - coalesce(sum(2.0 :: DOUBLE * source_size) OVER upto, 0))
+           / (sum(weight) OVER () - coalesce(sum(weight) OVER upto, 0)) AS level
+  FROM sources
+  WINDOW upto AS (ORDER BY 2.0 :: DOUBLE * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), plan AS (
+  SELECT *, least(weight * (SELECT max(level) FROM levels WHERE full_at >= level), 2.0 :: DOUBLE * source_size) AS target
+  FROM sources
+), goals AS (
+  SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS goal,
+         CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END AS whole
+  FROM plan
+)
+SELECT doc_id, s.source, size, source_size, target,
+       CAST(whole * size + least(size, greatest(0, goal - whole * source_size - coalesce(sum(size) OVER (
+         PARTITION BY s.source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS taken
+FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+"""
+
 
 def queries() -> dict[str, QueryFn]:
     named = [
@@ -100,4 +131,4 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op9_source_mixing": OP9_SQL}
