@@ -181,6 +181,32 @@ def test_language_model_equals_brute_force(docs, monkeypatch):
         assert r["held_out"] == (not trained(i))
 
 
+def test_language_model_counts_all_words_and_contexts(spark, monkeypatch):
+    """A trigram of words far from the most frequent counts, over blocks."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 20_000)
+    texts = [" ".join(f"w{(k * 97 + j) % 12_000}" for j in range(60)) for k in range(400)] + ["w7 w8 w9 new w10", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {r["doc_id"]: r for r in lm_scoring.score(docs, F.col("doc_id") < 400).collect()}
+    c = [Counter(), Counter(), Counter()]
+    for t in texts[:400]:
+        s = [None, *t.split(), None]
+        c[0].update(s[1:])
+        c[1].update(zip(s, s[1:]))
+        c[2].update(zip(s, s[1:], s[2:]))
+    n, v = sum(c[0].values()), len(c[0])
+    assert v > 10_000
+    for i, t in enumerate(texts):
+        s, total = [None, *t.split(), None], 0.0
+        for k in range(1, len(s)):
+            p = (c[0][s[k]] + 0.5) / (n + 0.5 * (v + 1))
+            p = (c[1][s[k - 1], s[k]] + lm_scoring.K2 * p) / (c[0][s[k - 1]] + lm_scoring.K2)
+            if k >= 2:
+                p = (c[2][tuple(s[k - 2 : k + 1])] + lm_scoring.K3 * p) / (c[1][s[k - 2], s[k - 1]] + lm_scoring.K3)
+            total += math.log10(p)
+        assert (got[i]["n_tokens"], got[i]["train_tokens"]) == (len(s) - 1, n)
+        assert abs(got[i]["score"] - total) <= (len(s) - 1) * 0.6 / lm_scoring.STEPS
+
+
 def _hash(word):
     import numpy as np
 

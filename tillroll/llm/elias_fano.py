@@ -85,23 +85,22 @@ class EliasFano:
         if not self.n or not len(x):
             return out
         high, low = x >> self.low_bits, x.astype(np.uint64) & self._mask
-        # the bit after the (high - 1)-th zero begins the numbers with this high part
-        k = np.maximum(high - 1, 0)
-        word = np.minimum(np.searchsorted(self._zeros, k, side="right") - 1, len(self._high) - 1)
-        bit = (word << 6) + _select_in_word(~self._high[word], k - self._zeros[word]) + 1
-        bit = np.where(high > 0, bit, 0)
-        place = bit - high
-        lanes = np.arange(len(x))
+        # numbers with this high part: between the (high - 1)-th zero and the next
+        begin, end = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1, 0) - high, self._zero(high) - high
+        lanes = np.flatnonzero(begin < end)
+        begin, end, low = begin[lanes], end[lanes], low[lanes]
         while len(lanes):
-            word = bit >> 6
-            inside = word < len(self._high)
-            set_ = np.zeros(len(lanes), bool)
-            set_[inside] = (self._high[word[inside]] >> (bit[inside] & 63).astype(np.uint64)) & np.uint64(1) == 1
-            lanes, bit, place = lanes[set_], bit[set_], place[set_]
-            have = self._low_of(place)
-            want = low[lanes]
-            hit = have == want
-            out[lanes[hit]] = place[hit]
-            on = have < want
-            lanes, bit, place = lanes[on], bit[on] + 1, place[on] + 1
+            middle = (begin + end) >> 1
+            have = self._low_of(middle)
+            hit = have == low
+            out[lanes[hit]] = middle[hit]
+            less = have < low
+            begin, end = np.where(less, middle + 1, begin), np.where(less, end, middle)
+            on = ~hit & (begin < end)
+            lanes, begin, end, low = lanes[on], begin[on], end[on], low[on]
         return out
+
+    def _zero(self, k: np.ndarray) -> np.ndarray:
+        """Position of the k-th zero of the high parts (their end, if there are fewer)."""
+        word = np.minimum(np.searchsorted(self._zeros, k, side="right") - 1, len(self._high) - 1)
+        return (word << 6) + _select_in_word(~self._high[word], k - self._zeros[word])

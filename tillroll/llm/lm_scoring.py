@@ -1,30 +1,33 @@
 """LM scoring with an Elias-Fano n-gram trie.
 
-The model is a trigram model with Dirichlet smoothing (MacKay and Peto):
+The model is a trigram model with Dirichlet smoothing (MacKay and Peto)
+over all words and all contexts:
 
     p1(w)     = (c(w) + 0.5) / (N + 0.5 (V + 1))
     P(b | a)  = (c(ab) + K2 p1(b)) / (c(a) + K2)
     P(c | ab) = (c(abc) + K3 P(c | b)) / (c(ab) + K3)
 
-over the ``VOCABULARY`` most frequent words, the end token, and one class
-for all other words; a word of that class has p1(w) / p1(class) of its
-probability, so every distribution sums to one with no n-gram pruned. The
-third order is used where both words of the context are among the
-``CONTEXTS`` most frequent (or the start). Counts cover all training texts.
+Counts cover all training texts, and no n-gram is pruned. ``VOCABULARY``
+and ``CONTEXTS`` can bound the model (None: no bound): words beyond the
+``VOCABULARY`` most frequent share one class, each with p1(w) / p1(class)
+of its probability; the third order is used where both words of the
+context are among the ``CONTEXTS`` most frequent (or the start).
 
 Nothing of the size of the corpus is gathered in one place. Texts are cut
 into blocks of about ``BLOCK_BYTES``, tokenised once. Each block sends its
-distinct n-grams with their counts; they are added up by n-gram, and the
-totals go back to the blocks that asked. A block then holds exactly the
-part of the model that its texts can query, as a trie:
+distinct n-grams of orders 1 to 3 as sorted 64-bit keys (a 61-bit hash of
+the words and the order) with their counts, packed by key range; a range
+adds them up over all blocks and sends each block the totals of its own
+n-grams, in the order in which it sent them. A block then holds exactly
+the part of the model that its texts query, as a trie:
 
 - a level is one Elias-Fano sequence of all children, in the order of
   their parents; a child is found by successor search in the range of its
   parent. Trigram children are numbered by their place among the children
   of the shorter context (Pibiri and Venturini), which keeps them small;
-- the pointers to the children of each context are Elias-Fano coded too;
-- probabilities and back-off weights are log10 values in steps of
-  1 / ``STEPS`` in 16 bits.
+- an n-gram of the block that is in no training text is there too, with
+  the probability of its back-off, so that every look-up ends in a hit;
+- probabilities are log10 values in steps of 1 / ``STEPS`` in 16 bits.
 
 All levels live in memory maps; texts are scored by vectorised look-ups.
 
@@ -39,11 +42,12 @@ training texts all counts are 0; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import flat
@@ -52,14 +56,17 @@ from tillroll.llm.sorted_groups import group_bounds, key_rows, whole_groups
 from tillroll.session import materialize
 
 BLOCK_BYTES = 14 << 20
-VOCABULARY = 8192
-CONTEXTS = 128
+VOCABULARY: int | None = None
+CONTEXTS: int | None = None
 K2 = 400.0
 K3 = 400.0
 STEPS = 512
 LANES = 1 << 18  # tokens looked up at once
+RANGE_TOKENS = 1 << 20  # tokens of all blocks together per key range
 
 END_HASH = np.int64(0x0E4D0E4D0E4D0E4D)
+CLASS_HASH = np.int64(0x0C1A0C1A0C1A0C1A)  # of the words beyond VOCABULARY
+_LIFT = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -88,7 +95,11 @@ def token_blocks(docs: DataFrame, train_rows: Column) -> DataFrame:
 
     def row(number: int, parts: list[tuple]) -> pa.RecordBatch:
         ids, trained, counts, hashes = (pa.concat_arrays([p[k] for p in parts]) if k < 2 else np.concatenate([p[k] for p in parts]) for k in range(4))
-        vocab, tokens = np.unique(hashes, return_inverse=True)
+        vocab, tokens, n = np.unique(hashes, return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")  # small indexes for frequent words: they compress better
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
+        vocab, tokens = vocab[order], place[tokens]
         one = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
         return pa.RecordBatch.from_arrays([
             pa.array([(TaskContext.get().partitionId() << 24) + number], pa.int64()), one(ids), one(trained), one(pa.array(counts.astype(np.int32))),
@@ -141,98 +152,157 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             yield Block(batch.slice(k, 1).to_pylist()[0])
 
 
+# --- n-grams -------------------------------------------------------------------
+
+
+class Classes:
+    """``top``: hashes of the most frequent words, from the most frequent,
+    with their counts; None if no bound of the model needs them."""
+
+    def __init__(self, top: list[tuple[int, int]] | None):
+        hashes = np.array([h for h, _ in top or []], np.int64)
+        self.words = hashes[:VOCABULARY] if VOCABULARY is not None else None
+        self.contexts = hashes[:CONTEXTS] if CONTEXTS is not None else None
+        self.counts = np.array([n for _, n in top or []][:VOCABULARY], np.float64)
+
+    def of(self, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The class of each word of a block (its index; the end follows
+        them, then the class of other words), the hash of each class, and
+        whether it may be in a trigram context."""
+        kinds = np.arange(len(vocab), dtype=np.int32)
+        if self.words is not None:
+            kinds[~np.isin(vocab, self.words)] = len(vocab) + 1
+        hashes = np.concatenate([vocab, [END_HASH, CLASS_HASH]])
+        deep = np.ones(len(hashes), bool)
+        if self.contexts is not None:
+            deep = np.isin(hashes, np.append(self.contexts, END_HASH))
+        return kinds, hashes.view(np.uint64), deep
+
+
+def gram_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of an n-gram from that of its context and that of its last word."""
+    return flat.mix64(context * _LIFT + word)
+
+
+def gram_keys(hashes: np.ndarray, order: int) -> np.ndarray:
+    """Keys of n-grams: the hash above the order; the lowest bit is free."""
+    return (flat.mix64(hashes) & ~np.uint64(7)) | np.uint64(2 * order)
+
+
+def gram_places(sequence: np.ndarray, doc: np.ndarray, deep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all tokens (the end included), and of those with a
+    trigram context."""
+    token = (np.flatnonzero(doc[1:] == doc[:-1]) + 1).astype(np.int32)
+    third = (np.flatnonzero(doc[2:] == doc[:-2]) + 2).astype(np.int32)
+    if not deep.all():
+        third = third[deep[sequence[third - 2]] & deep[sequence[third - 1]]]
+    return token, third
+
+
+def block_counts(block: Block, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of a block, sorted, and how often its training
+    texts have each. Words count by themselves, not by their class."""
+    kinds, hashes, deep = classes.of(block.vocab)
+    sequence, doc = block.sequence(kinds, len(block.vocab))
+    token, third = gram_places(sequence, doc, deep)
+    two = gram_hash(hashes[sequence[:-1]], hashes[sequence[1:]])  # by the place of the first word
+    trained = block.trained.astype(np.uint64)
+    marked = np.empty(len(token) + len(third), np.uint64)
+    marked[: len(token)] = gram_keys(two[token - 1], 2) | trained[doc[token]]
+    marked[len(token) :] = gram_keys(gram_hash(two[third - 2], hashes[sequence[third]]), 3) | trained[doc[third]]
+    del two, sequence, token, third, doc
+    marked.sort()
+    first = np.flatnonzero(np.concatenate([[True], (marked[1:] ^ marked[:-1]) > 1]))
+    many = np.add.reduceat(marked & np.uint64(1), first).astype(np.int64)
+    own = marked[first] & ~np.uint64(1)
+    del marked, first
+    words = gram_keys(hashes[: len(block.vocab) + 1], 1)
+    n = np.bincount(block.tokens[block.trained[block.doc]], minlength=len(block.vocab))
+    order = np.argsort(words)
+    keys, n = np.concatenate([own, words[order]]), np.concatenate([many, np.append(n, block.trained.sum())[order]])
+    order = np.argsort(keys, kind="stable")  # merges two sorted runs
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
+
+
 # --- counts ------------------------------------------------------------------------
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in _rows(batches):
         n = np.bincount(block.tokens[block.trained[block.doc]], minlength=len(block.vocab))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(block.vocab, END_HASH)), pa.array(np.full(len(n) + 1, block.number)),
-             pa.array(np.append(n, block.trained.sum()).astype(np.int64))], ["key", "block", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(block.vocab), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
-def totals(counts: DataFrame, silent: bool) -> DataFrame:
-    """(block, key, total, first): the sum over all blocks of each key, for
-    every block that sent it; ``first`` marks one row of each key. With
-    ``silent``, a block that sent the whole total hears nothing."""
+def frequent_words(blocks: DataFrame, size: int) -> list[tuple[int, int]]:
+    counts = blocks.mapInArrow(_word_counts, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("total"))
+    top = counts.filter("total > 0").orderBy(F.desc("total"), "key").limit(size).collect()
+    return [(r["key"], r["total"]) for r in top]
+
+
+def _gram_counts(classes: Classes, ranges: int):
+    """Per block and key range: the sorted keys as differences, and counts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["key"]):
-            keys, n = key_rows(table, ["key"]), table.column("n").to_numpy()
-            bounds = group_bounds(keys)
-            size = np.diff(bounds)
-            total = np.repeat(np.add.reduceat(n, bounds[:-1]), size)
-            first = np.zeros(len(n), bool)
-            first[bounds[:-1]] = True
-            keep = total != n if silent else np.ones(len(n), bool)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(table.column("block").to_numpy()[keep]), pa.array(keys[keep, 0]), pa.array(total[keep]), pa.array(first[keep])],
-                ["block", "key", "total", "first"])
-
-    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = counts.repartition(partitions, "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "block bigint, key bigint, total bigint, first boolean")
-
-
-class Grams:
-    """Classes of words, and n-grams of classes as numbers. ``hashes``: the
-    frequent words, from the most frequent; their index is their class."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.order = np.argsort(hashes)
-        self.sorted = hashes[self.order]
-        self.rare, self.end = len(hashes), len(hashes) + 1
-        self.size = len(hashes) + 2
-        self.contexts = min(CONTEXTS, len(hashes))
-
-    def kinds(self, vocab: np.ndarray) -> np.ndarray:
-        out = np.full(len(vocab), self.rare, np.int32)
-        if len(self.sorted):
-            at = np.minimum(np.searchsorted(self.sorted, vocab), len(self.sorted) - 1)
-            hit = self.sorted[at] == vocab
-            out[hit] = self.order[at[hit]]
-        return out
-
-    def context(self, kinds: np.ndarray) -> np.ndarray:
-        """Number of a word in a trigram context, -1 if it is in none."""
-        return np.where(kinds == self.end, self.contexts, np.where(kinds < self.contexts, kinds, -1)).astype(np.int32)
-
-    def numbers(self, sequence: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token (the end included): its bigram, its trigram (-1: its
-        context is no trigram context), its text."""
-        token = np.flatnonzero(doc[1:] == doc[:-1]) + 1
-        a, b = sequence[token - 1], sequence[token]
-        two = a * np.int32(self.size) + b
-        three = np.full(len(token), -1, np.int32)  # 203 million at most
-        deep = np.flatnonzero(doc[np.maximum(token - 2, 0)] == doc[token])
-        deep = deep[token[deep] >= 2]
-        u, v = self.context(sequence[token[deep] - 2]), self.context(a[deep])
-        fit = (u >= 0) & (v >= 0)
-        deep = deep[fit]
-        three[deep] = self.size**2 + (u[fit] * np.int32(self.contexts + 1) + v[fit]) * np.int32(self.size) + b[deep]
-        return two, three, doc[token]
-
-
-def _gram_counts(grams: Grams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _rows(batches):
-            two, three, doc = grams.numbers(*block.sequence(grams.kinds(block.vocab), grams.end))
-            keys = np.concatenate([two, three[three >= 0]])
-            trained = block.trained[np.concatenate([doc, doc[three >= 0]])]
-            keys, n = _counted(keys, trained)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.astype(np.int64)), pa.array(np.full(len(keys), block.number)), pa.array(n)], ["key", "block", "n"])
+            keys, n = block_counts(block, classes)
+            bounds = np.searchsorted(_range_of(keys, ranges), np.arange(ranges + 1))
+            for r in np.flatnonzero(np.diff(bounds)).tolist():
+                own, many = keys[bounds[r] : bounds[r + 1]], n[bounds[r] : bounds[r + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r], pa.int32()), pa.array([block.number], pa.int64()), pa.array([len(own)], pa.int32()),
+                     pa.array([_packed(np.diff(own, prepend=np.uint64(0)))], pa.binary()), pa.array([_packed(many)], pa.binary())],
+                    ["range", "block", "size", "keys", "counts"])
 
     return run
 
 
-def _counted(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys and how often each is trained on."""
-    marked, n = np.unique(keys * np.int32(2) + trained, return_counts=True)
-    own = marked >> 1
-    new = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
-    return own[new], np.add.reduceat(n * (marked & 1), np.flatnonzero(new)) if len(own) else np.zeros(0, np.int64)
+def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Equal parts of the key space, by the upper 32 bits."""
+    return ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+
+
+def _range_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block and key range: what the other blocks add to each count.
+    The first row of a range has its training tokens and distinct words."""
+    for table in whole_groups(batches, ["range"]):
+        bounds = group_bounds(key_rows(table, ["range"]))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            yield _one_range(table.slice(a, b - a))
+
+
+def _one_range(table: pa.Table) -> pa.RecordBatch:
+    sizes = table.column("size").to_numpy()
+    starts = np.cumsum(sizes) - sizes
+    keys, n = np.empty(int(sizes.sum()), np.uint64), np.empty(int(sizes.sum()), np.int64)
+    for raw, many, a, k in zip(table.column("keys"), table.column("counts"), starts, sizes):
+        np.cumsum(_unpacked(raw.as_py(), k, "<u8"), out=keys[a : a + k])
+        n[a : a + k] = _unpacked(many.as_py(), k, "<i8")
+    order = np.argsort(keys, kind="stable")
+    sorted_ = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    total = np.add.reduceat(n[order], first)
+    words = (sorted_[first] & np.uint64(7)) == 2
+    others = np.empty(len(n), np.int64)
+    others[order] = np.repeat(total, np.diff(first, append=len(n)))
+    others -= n
+    rows = len(sizes)
+    once = lambda v: pa.array(np.append(v, np.zeros(rows - 1)).astype(np.int64))
+    return pa.RecordBatch.from_arrays(
+        [table.column("range").combine_chunks(), table.column("block").combine_chunks(), table.column("size").combine_chunks(),
+         pa.array([_packed(others[a : a + k]) for a, k in zip(starts, sizes)], pa.binary()),
+         once(total[words].sum()), once((total[words] > 0).sum())], ["range", "block", "size", "others", "tokens", "words"])
+
+
+def totals(blocks: DataFrame, classes: Classes) -> DataFrame:
+    """The totals of each block's n-grams, one row per key range."""
+    partitions = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    ranges = partitions * -(-max(size, 1) // (partitions * RANGE_TOKENS))
+    sent = blocks.mapInArrow(_gram_counts(classes, ranges), "range int, block bigint, size int, keys binary, counts binary")
+    dealt = sent.repartitionById(partitions, F.col("range") % partitions).sortWithinPartitions("range", "block")
+    return dealt.mapInArrow(_range_totals, "range int, block bigint, size int, others binary, tokens bigint, words bigint")
 
 
 # --- the trie of a block -------------------------------------------------------------
@@ -243,99 +313,98 @@ def quantised(log_p: np.ndarray) -> np.ndarray:
 
 
 class Trie:
-    """``keys``, ``n``: the n-grams of a block with their counts over all
-    training texts; ``count1``, ``p1``: of each class."""
-
-    def __init__(self, grams: Grams, keys: np.ndarray, n: np.ndarray, count1: np.ndarray, p1: np.ndarray):
-        self.grams = grams
-        size = grams.size
-        keys, n = keys[n > 0], n[n > 0]
-        two = keys < size**2
-        pairs, n2 = keys[two], n[two].astype(np.float64)
-        a, b = pairs // size, pairs % size
+    """All n-grams of a block. ``sequence``, ``doc``: its classes with a
+    start and an end per text, and the text of each place; ``counted``:
+    keys -> counts over all training texts; ``count1``, ``p1``: of each
+    class."""
+
+    def __init__(self, sequence: np.ndarray, doc: np.ndarray, hashes: np.ndarray, deep: np.ndarray, counted,
+                 count1: np.ndarray, p1: np.ndarray):
+        size = len(hashes)
+        token, third = gram_places(sequence, doc, deep)
+        two = sequence[token - 1].astype(np.int64) * size + sequence[token]
+        pairs = _distinct(two)
+        a, b = (pairs // size).astype(np.int32), (pairs % size).astype(np.int32)
+        hash2 = gram_hash(hashes[a], hashes[b])
+        n2 = counted(gram_keys(hash2, 2)).astype(np.float64)
         p2 = (n2 + K2 * p1[b]) / (count1[a] + K2)
-        self.unigram = quantised(np.log10(p1))
-        self.back1 = quantised(np.log10(K2 / (count1 + K2)))
+        del a
         self.level2 = EliasFano(pairs, size**2)  # parent and child in one number: children follow their parent
         self.prob2 = quantised(np.log10(p2))
-        self.back2 = quantised(np.log10(K3 / (n2 + K3)))
-        self.pointers = EliasFano(np.searchsorted(pairs, np.arange(size + 1) * size), len(pairs) + 1)
+        first = np.searchsorted(pairs, np.arange(size + 1) * size)
+        self.pointers = EliasFano(first, len(pairs) + 1)
+        places = len(pairs)
+        del pairs
         # third level: the parent is a place of level 2, the child its place
         # among the children of the context's last word
-        triples, n3 = keys[~two] - size**2, n[~two].astype(np.float64)
-        c, context = triples % size, triples // size
-        u, v = self._class(context // (grams.contexts + 1)), self._class(context % (grams.contexts + 1))
-        parent, shorter = np.searchsorted(pairs, u * size + v), np.searchsorted(pairs, v * size + c)
-        first = np.searchsorted(pairs, np.arange(size + 1) * size)
         self.span = int(np.diff(first).max(initial=0)) + 1
-        children = parent * self.span + shorter - first[v]
-        p3 = (n3 + K3 * p2[shorter]) / (n2[parent] + K3)
-        order = np.argsort(children)
-        self.level3 = EliasFano(children[order], max(len(pairs), 1) * self.span)
-        self.prob3 = quantised(np.log10(p3[order]))
-
-    def _class(self, context: np.ndarray) -> np.ndarray:
-        return np.where(context == self.grams.contexts, self.grams.end, context)
-
-    def log_p(self, two: np.ndarray, three: np.ndarray) -> np.ndarray:
+        self.place = _in_order(self.level2.find, two).astype(np.int32)
+        del two
+        self.third = np.searchsorted(token, third).astype(np.int32)
+        self.children = self.place[self.third] - _in_order(self.pointers.access, sequence[third - 1])
+        del token, third
+        self.children += self.place[self.third - 1].astype(np.int64) * self.span
+        triples = _distinct(self.children)
+        self.level3 = EliasFano(triples, max(places, 1) * self.span)
+        prob3 = [np.zeros(0)]
+        for k in range(0, len(triples), LANES):
+            parent, relative = np.divmod(triples[k : k + LANES], self.span)
+            shorter = first[b[parent]] + relative
+            n3 = counted(gram_keys(gram_hash(hash2[parent], hashes[b[shorter]]), 3))
+            prob3.append(np.log10((n3 + K3 * p2[shorter]) / (n2[parent] + K3)))
+        self.prob3 = quantised(np.concatenate(prob3))
+
+    def log_p(self) -> np.ndarray:
         """log10 probability of each token's class in its context."""
-        return np.concatenate([self._log_p(two[a : a + LANES].astype(np.int64), three[a : a + LANES].astype(np.int64))
-                               for a in range(0, len(two), LANES)])
-
-    def _log_p(self, two: np.ndarray, three: np.ndarray) -> np.ndarray:
-        size = self.grams.size
-        a, b = two // size, two % size
-        place = self.level2.find(two)
-        seen = place >= 0
-        steps = np.where(seen, 0, self.back1[a].astype(np.int64) + self.unigram[b])
-        steps[seen] = self.prob2[place[seen]]
-        deep = np.flatnonzero(three >= 0)
-        context = (three[deep] - size**2) // size
-        u, v = self._class(context // (self.grams.contexts + 1)), self._class(context % (self.grams.contexts + 1))
-        parent = self.level2.find(u * size + v)
-        deep, parent, v = deep[parent >= 0], parent[parent >= 0], v[parent >= 0]
-        found = np.full(len(deep), -1, np.int64)
-        near = place[deep] >= 0
-        relative = place[deep][near] - self.pointers.access(v[near])
-        found[near] = self.level3.find(parent[near] * self.span + relative)
-        hit = found >= 0
-        steps[deep[hit]] = self.prob3[found[hit]]
-        steps[deep[~hit]] += self.back2[parent[~hit]]
+        steps = self.prob2[self.place].astype(np.int32)
+        steps[self.third] = self.prob3[_in_order(self.level3.find, self.children)]
         return -steps / STEPS
 
     @property
     def bytes(self) -> int:
-        own = (self.unigram, self.back1, self.prob2, self.back2, self.prob3)
-        return sum(a.nbytes for a in own) + self.level2.bytes + self.level3.bytes + self.pointers.bytes
+        return self.prob2.nbytes + self.prob3.nbytes + self.level2.bytes + self.level3.bytes + self.pointers.bytes
+
+
+def _in_order(look_up, wanted: np.ndarray) -> np.ndarray:
+    """``look_up`` of all numbers, smallest first: neighbours lie together."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted), np.int64)
+    for k in range(0, len(order), LANES):
+        out[order[k : k + LANES]] = look_up(wanted[order[k : k + LANES]])
+    return out
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    out = np.sort(numbers)
+    return out[np.concatenate([[True], out[1:] != out[:-1]])] if len(out) else out
 
 
 SCORE_SCHEMA = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                 "base_score double, score double")
 
 
-def score_block(block: Block, grams: Grams, words: tuple[np.ndarray, np.ndarray], heard: tuple[np.ndarray, np.ndarray],
-                count1: np.ndarray, n: int, v: int) -> pa.RecordBatch:
-    """``words``, ``heard``: keys and totals of the block's words and of its
-    n-grams (those missing have the block's own count)."""
-    order = np.argsort(words[0])
-    known = words[1][order][np.searchsorted(words[0][order], np.append(block.vocab, END_HASH))]
+def score_block(block: Block, classes: Classes, others: np.ndarray, n: int, v: int) -> pa.RecordBatch:
+    """``others``: what the other blocks add to the counts of ``block_counts``."""
+    keys, total = block_counts(block, classes)
+    total += others
+    counted = lambda wanted: _in_order(lambda some: total[np.searchsorted(keys, some)], wanted)
+    kinds, hashes, deep = classes.of(block.vocab)
+    known = counted(gram_keys(hashes[:-1], 1))
     unit = n + 0.5 * (v + 1)
     log_word = np.log10((known + 0.5) / unit)
+    count1 = np.append(known, 0).astype(np.float64)
     p1 = (count1 + 0.5) / unit
-    # the class of all other words: their mass and that of one unknown word
-    frequent = np.delete(count1, grams.rare)
-    rest = n - frequent.sum() + 0.5 * (v - (frequent > 0).sum()) + 0.5
-    p1[grams.rare] = rest / unit
+    if classes.words is not None:
+        # the class of all other words: their mass and that of one unknown word
+        count1[-1] = n - classes.counts.sum() - known[-1]
+        p1[-1] = (count1[-1] + 0.5 * (v - len(classes.words) - (known[-1] > 0)) + 0.5) / unit
     p1 = np.maximum(p1, 1e-300)
-    kinds = grams.kinds(block.vocab)
-    two, three, doc = grams.numbers(*block.sequence(kinds, grams.end))
-    keys, counts = _counted(np.concatenate([two, three[three >= 0]]), block.trained[np.concatenate([doc, doc[three >= 0]])])
-    counts[np.searchsorted(keys, heard[0])] = heard[1]
-    trie = Trie(grams, keys.astype(np.int64), counts, count1, p1)
-    inside = np.where(kinds == grams.rare, log_word[:-1] - np.log10(p1[grams.rare]), 0.0)
+    sequence, doc = block.sequence(kinds, len(block.vocab))
+    trie = Trie(sequence, doc, hashes, deep, counted, count1, p1)
+    inside = np.where(kinds == len(block.vocab) + 1, log_word[:-1] - np.log10(p1[-1]), 0.0)
     sizes = block.counts + 1
     per_text = lambda values, end: flat.segment_sums(values[block.tokens], block.counts) + end
-    score = flat.segment_sums(trie.log_p(two, three), sizes) + per_text(inside, 0.0)
+    score = flat.segment_sums(trie.log_p(), sizes) + per_text(inside, 0.0)
     return pa.RecordBatch.from_arrays([
         pa.array(block.doc_ids, pa.int64()), pa.array(~block.trained), pa.array(sizes),
         pa.array(per_text((known[:-1] > 0).astype(np.int64), int(known[-1] > 0))), pa.array(np.full(len(sizes), n, np.int64)),
@@ -343,27 +412,33 @@ def score_block(block: Block, grams: Grams, words: tuple[np.ndarray, np.ndarray]
     ], [c.split()[0] for c in SCORE_SCHEMA.split(", ")])
 
 
+@contextmanager
+def shuffle_files_freed(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of what runs in here when it ends,
+    not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def score(docs: DataFrame, train_rows: Column) -> DataFrame:
     """Base score and model score of every text; ``train_rows``: the
     condition on doc_id that a text is learned from."""
     blocks = materialize(token_blocks(docs, train_rows), "lm-blocks")
-    words = materialize(totals(blocks.mapInArrow(_word_counts, "key bigint, block bigint, n bigint"), silent=False), "lm-words")
-    own = words.filter("first AND total > 0")
-    n, v = own.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.lit(1))).first()
-    top = own.filter(F.col("key") != int(END_HASH)).orderBy(F.desc("total"), "key").select("key", "total").limit(VOCABULARY).collect()
-    ends = own.filter(F.col("key") == int(END_HASH)).select("total").first()
-    grams = Grams(np.array([r["key"] for r in top], np.int64))
-    count1 = np.array([r["total"] for r in top] + [0, ends[0] if ends else 0], np.float64)
-    count1[grams.rare] = n - count1.sum()
-    heard = totals(blocks.mapInArrow(_gram_counts(grams), "key bigint, block bigint, n bigint"), silent=True)
-    replies = words.select("block", "key", "total", F.lit(True).alias("word")).unionByName(
-        heard.select("block", "key", "total", F.lit(False).alias("word")))
+    bound = max(VOCABULARY or 0, CONTEXTS or 0)
+    classes = Classes(frequent_words(blocks, bound) if bound else None)
+    with shuffle_files_freed(docs.sparkSession):
+        replies = materialize(totals(blocks, classes), "lm-totals")
+    n, v = replies.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        key, total = right.column("key").to_numpy(), right.column("total").to_numpy()
-        word = right.column("word").to_numpy(zero_copy_only=False) if right.num_rows else np.zeros(0, bool)
-        out = [score_block(b, grams, (key[word], total[word]), (key[~word], total[~word]), count1, n, v)
-               for b in _rows(iter(left.to_batches()))]
-        return pa.Table.from_batches(out)
+        order = np.argsort(right.column("range").to_numpy())
+        raw, size = right.column("others").to_pylist(), right.column("size").to_pylist()
+        others = np.concatenate([_unpacked(raw[k], size[k], "<i8") for k in order.tolist()])
+        return pa.Table.from_batches([score_block(b, classes, others, n, v) for b in _rows(iter(left.to_batches()))])
 
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, SCORE_SCHEMA)
+    return blocks.groupBy("block").cogroup(replies.select("block", "range", "size", "others").groupBy("block")).applyInArrow(run, SCORE_SCHEMA)
