@@ -249,6 +249,20 @@ def test_rules_and_classifiers(docs, labels):
         assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_toxicity_learns_from_whole_long_texts(spark):
+    """The toxic words stand in the second of 40 segments only."""
+    rnd = random.Random(9)
+    plain = lambda n: [rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(n)]
+    bad = "zzkrag vukkol qrazz wobbix".split()
+    text = lambda toxic: " ".join(plain(36) + (bad * 4 if toxic else plain(16)) + plain(1228))
+    rows = [(k, text(k % 2)) for k in range(540)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id bigint, toxic int")
+    model = toxicity.train_model(docs, labels, F.col("doc_id") < 500)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert sum((got[k] >= 0.5) == (k % 2 == 1) for k in range(500, 540)) >= 37
+
+
 def test_outliers_are_rejected_per_group(spark):
     rnd = random.Random(6)
     plain = lambda n: " ".join(rnd.choice(WORDS) + str(rnd.randrange(99)) for _ in range(n))

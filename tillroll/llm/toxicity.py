@@ -17,10 +17,11 @@ segments first carry the label of their text, then segments of toxic texts
 in which the model finds nothing are left out.
 
 Learning uses a bounded sample: ``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``
-labelled rows, those with the smallest hash of their id, and of each at
-most ``SAMPLE_SEGMENTS`` segments. A quarter of the sampled texts is kept
-out of the training to fit the step from the strongest segment to the
-probability of the text. Scoring covers every whole text.
+labelled rows, those with the smallest hash of their id, and of each class
+no further rows once they hold ``SAMPLE_BYTES``. Every sampled text is
+learned from whole. A quarter of the sampled texts is kept out of the
+training to fit the step from the strongest segment of the whole text to
+the probability of the text. Scoring covers every whole text.
 
 Softmax over two classes is linear in the mean, so after training every
 n-gram bucket is one number, and a text is scored by sums over the distinct
@@ -51,7 +52,7 @@ DIMENSIONS = 8
 SEGMENT = 32
 SAMPLE_TOXIC = 2500
 SAMPLE_CLEAN = 5000
-SAMPLE_SEGMENTS = 12
+SAMPLE_BYTES = 20 << 20  # per class
 EPOCHS = 3
 LEAST_STEPS = 150  # small samples are passed through more often
 BATCH = 512  # segments
@@ -222,7 +223,7 @@ def _train(words: Words, which: np.ndarray, counts: np.ndarray, segments: np.nda
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
-    """Train on the sampled segments' texts (one entry per text)."""
+    """Train on the sampled texts."""
     toxic = np.asarray(toxic, np.int64)
     base = float(toxic.mean()) if len(toxic) else 0.0
     flat_model = Model(np.zeros(BUCKETS, np.float32), _logit(base), 1.0, 0.0, base)
@@ -282,25 +283,19 @@ def train_model(docs: DataFrame, labels: DataFrame, train_rows) -> Model:
     chosen = marked.filter("toxic = 1").orderBy(order, "doc_id").limit(SAMPLE_TOXIC).unionByName(
         marked.filter("toxic = 0").orderBy(order, "doc_id").limit(SAMPLE_CLEAN))
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN ids
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts, marks = [], [], []
-            for i, text, mark in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic")), strict=True):
-                words = (text or "").encode().split()
-                pieces = [b" ".join(words[a : a + SEGMENT]).decode() for a in range(0, len(words), SEGMENT)]
-                if len(pieces) > SAMPLE_SEGMENTS:  # evenly over the whole text
-                    pieces = [pieces[k * len(pieces) // SAMPLE_SEGMENTS] for k in range(SAMPLE_SEGMENTS)]
-                ids.append(i)
-                texts.append("\n".join(pieces))
-                marks.append(mark)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string()),
-                                              "toxic": pa.array(marks, pa.int32())})
-
-    rows = sample.select(F.col("doc_id").cast("bigint"), "text", F.col("toxic").cast("int")).mapInArrow(
-        cut, "doc_id bigint, text string, toxic int").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    return fit(rows.column("text").to_pylist(), rows.column("toxic").to_numpy())
+    sized = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")).withColumn("place", order).collect()
+    held: dict[int, int] = {}
+    ids = []
+    for row in sorted(sized, key=lambda x: (x["place"], x["doc_id"])):
+        before = held.get(row["toxic"], 0)
+        held[row["toxic"]] = before + row["bytes"]
+        if before < SAMPLE_BYTES:
+            ids.append((row["doc_id"], row["toxic"]))
+    kept = docs.sparkSession.createDataFrame(ids, "doc_id bigint, mark int")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(kept), "doc_id").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return fit(rows.column("text").to_pylist(), rows.column("mark").to_numpy())
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
