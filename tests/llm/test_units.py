@@ -131,6 +131,21 @@ def test_additive_model_learns_an_interaction():
     assert quality_gam.AdditiveModel(x[:0], y[:0]).score(x[:3]).tolist() == [0.5] * 3
 
 
+def test_a_toxic_phrase_counts_wherever_it_stands():
+    """Some segment holds the whole phrase, at every offset in a text."""
+    weights = np.zeros(toxicity.BUCKETS, np.float32)
+    bad = [f"vuk{c}qra" for c in "abcdefgh"]
+    grams = toxicity.subwords(pa.array([" ".join(bad)])).grams
+    weights[grams] = 1.0
+    model = toxicity.Model(weights, 0.0, 1.0, 0.0, 0.1)
+    plain = [f"{k}" for k in range(100, 180)]
+    scores = model.score(pa.array([" ".join([*plain[:k], *bad, *plain[k:]]) for k in range(81)]))
+    assert scores.max() - scores.min() < 0.005  # a plain word may share a bucket; half a phrase loses 0.03
+    sizes = [0, 1, 31, 32, 33, 48, 49, 100]
+    starts, lengths, per_text = toxicity.segments_of(np.cumsum([0, *sizes]))
+    assert per_text.tolist() == [0, 1, 1, 1, 2, 2, 3, 6] and (starts + lengths).max() == sum(sizes)
+
+
 def test_misspellings_share_subwords():
     rnd = random.Random(4)
     word = lambda: "".join(rnd.choice("tionerahes") for _ in range(6))

@@ -2,8 +2,9 @@
 
 A word is the bag of the hashes of its character n-grams (``NGRAMS``
 characters of ``<word>``, lower-case); its vector is the mean of their
-embeddings. A segment of ``SEGMENT`` words is the average of its distinct
-words, padded to ``SEGMENT`` with a zero vector (so that one word said over
+embeddings. Segments are windows of ``SEGMENT`` words that overlap by half, so
+that every phrase of up to half a segment stands whole in one. A segment is
+the average of its distinct words, padded to ``SEGMENT`` with a zero vector (so that one word said over
 and over weighs as much as one said once), and a linear softmax over it
 gives the probability of the toxic class. Embeddings
 and softmax are trained together by minibatch gradient steps (Adagrad) in
@@ -59,7 +60,7 @@ BATCH = 512  # segments
 RATE = 1.0
 THRESHOLD = 0.7
 SEED = 7
-PORTION = 1 << 15  # distinct words taken apart at once
+PORTION = 1 << 15  # distinct words, or segments, taken apart at once
 
 
 @dataclass
@@ -125,23 +126,29 @@ def subwords(column: pa.Array) -> Words:
     return Words(which, first_word, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
 
 
-def segment_lengths(n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sizes of the segments of texts of so many words, and segments per
+def segments_of(first_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words and sizes of the segments of texts, and segments per
     text; the last segment of a text holds what is left."""
-    per_text = -(-n_words // SEGMENT)
-    sizes = np.full(int(per_text.sum()), SEGMENT, np.int64)
-    last = np.cumsum(per_text) - 1
-    full = per_text > 0
-    sizes[last[full]] = n_words[full] - (per_text[full] - 1) * SEGMENT
-    return sizes, per_text
+    n_words = np.diff(first_word)
+    step = SEGMENT // 2
+    per_text = np.where(n_words > 0, 1 + -(-np.maximum(n_words - SEGMENT, 0) // step), 0)
+    starts = np.repeat(first_word[:-1], per_text) + step * flat.positions(np.zeros(len(per_text), np.int64), per_text)
+    return starts, np.minimum(SEGMENT, np.repeat(first_word[1:], per_text) - starts), per_text
 
 
-def distinct_in_segments(which: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def distinct_in_segments(which: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct words of each segment, flat, and how many they are."""
-    segment = np.repeat(np.arange(len(sizes)), sizes)
     span = int(which.max()) + 1 if len(which) else 1
-    keys = np.unique(segment * span + which)
-    return keys % span, np.bincount(keys // span, minlength=len(sizes))
+    words, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for a in range(0, len(sizes), PORTION):
+        own = sizes[a : a + PORTION]
+        segment = np.repeat(np.arange(len(own)), own)
+        keys = np.sort(segment * span + which[flat.positions(starts[a : a + PORTION], own)])
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+        segment = keys // span
+        words.append((keys - segment * span).astype(np.int32))
+        counts.append(np.bincount(segment, minlength=len(own)))
+    return np.concatenate(words), np.concatenate(counts)
 
 
 @dataclass
@@ -155,8 +162,8 @@ class Model:
     def segment_logits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         sums = flat.segment_sums(self.weights[words.grams], words.gram_counts)
         value = sums / np.maximum(words.gram_counts, 1)
-        sizes, per_text = segment_lengths(np.diff(words.first_word))
-        which, counts = distinct_in_segments(words.which, sizes)
+        starts, sizes, per_text = segments_of(words.first_word)
+        which, counts = distinct_in_segments(words.which, starts, sizes)
         return self.bias + flat.segment_sums(value[which].astype(np.float64), counts) / SEGMENT, per_text
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -230,8 +237,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return flat_model
     words = subwords(pc.utf8_lower(pa.array(texts, pa.string())))
-    sizes, per_text = segment_lengths(np.diff(words.first_word))
-    which, counts = distinct_in_segments(words.which, sizes)
+    starts, sizes, per_text = segments_of(words.first_word)
+    which, counts = distinct_in_segments(words.which, starts, sizes)
     text = np.repeat(np.arange(len(per_text)), per_text)
     labels = toxic[text]
     rng = np.random.default_rng(SEED)
