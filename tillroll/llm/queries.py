@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
-    chat_format, exact_dedup, lm_scoring, lsh_forest, mixing, piece_codec, quality_gam, robust_rules, secret_scan, toxicity,
+    chat_format, exact_dedup, lm_scoring, lsh_forest, mixing, piece_codec, quality_gam, robust_rules, secret_scan,
+    source_audit, toxicity,
 )
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +81,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.join_classes(read(spark, sf_dir, "documents"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
@@ -121,14 +126,58 @@ SELECT doc_id, s.source, size, source_size, target,
 FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
 """
 
+# p and q as HUGEINT, since 10^9 times a count can pass 64 bits; a group
+# gives every kept term of its lang, so the counts are dense here
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+  FROM documents
+), words AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), vocabulary AS (
+  SELECT lang, term, count(*) :: HUGEINT AS n FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 30
+), langs AS (
+  SELECT lang, sum(n) :: HUGEINT AS total, count(*) :: HUGEINT AS terms FROM vocabulary GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) :: HUGEINT AS n FROM words SEMI JOIN vocabulary USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), totals AS (
+  SELECT lang, source, coalesce(sum(n), 0) :: HUGEINT AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+), dense AS (
+  SELECT t.lang, t.source, v.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (t.total + 5 * l.terms) AS p,
+         1 + (1000000000 * (v.n + 5)) // (l.total + 5 * l.terms) AS q
+  FROM totals t JOIN vocabulary v USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = v.term
+), distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM dense WHERE n > 0 AND p > q
+), ranks AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+         CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM rows
+)
+SELECT * FROM ranks WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def queries() -> dict[str, QueryFn]:
     named = [
         op1_chat_formatting, op2_quality_classifier, op3_quality_rules, op4_secret_scans, op5_sentencepiece, op6_exact_dedup,
         op7_toxicity, op8_lm_scoring, op9_source_mixing, op10_ngram_jaccard_join,
+        op11_source_audit,
     ]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL, "op9_source_mixing": OP9_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op9_source_mixing": OP9_SQL, "op11_source_audit": OP11_SQL}
