@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,7 +220,7 @@ def _hash(word):
 def test_pieces(docs):
     import sentencepiece
 
-    library = sentencepiece.SentencePieceProcessor(model_file=f"{queries.TOKENIZERS}/{queries.PIECE_MODEL}")
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(queries.PIECE_MODEL))
     want = []
     for i, text, *_ in ROWS:
         ids = library.encode(text or "")

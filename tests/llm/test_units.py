@@ -9,12 +9,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import public_tokenizers
 import pytest
 
 from tillroll.llm import chat_format, flat, lsh_forest, quality_gam, secret_scan, toxicity
 from tillroll.llm.elias_fano import EliasFano
 from tillroll.llm.piece_codec import PieceModel, load_model
-from tillroll.llm.queries import PIECE_MODEL, TOKENIZERS
+from tillroll.llm.queries import PIECE_MODEL
 from tillroll.llm.statistics import TextCounts
 
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -46,7 +47,7 @@ def test_text_counts_match_brute_force():
 
 
 def test_pieces_equal_the_library():
-    path = f"{TOKENIZERS}/{PIECE_MODEL}"
+    path = public_tokenizers.path(PIECE_MODEL)
     library, model = sentencepiece.SentencePieceProcessor(model_file=path), PieceModel(load_model(path))
     texts = [*ODD, "▁x", "<s> </s> <0x0A> <unk>", " " * 1000, "a" * 3000 + "b c", "==" * 700, "a\x00b", *_random_texts(400)]
     for _, _, data, offsets in flat.text_slices(pa.array(texts, pa.string()), 1 << 30):

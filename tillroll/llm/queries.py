@@ -3,21 +3,22 @@ express them: ``queries()`` and ``oracle_sql()`` as in the catalog."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
     chat_format, exact_dedup, lm_scoring, lsh_forest, mixing, piece_codec, quality_gam, robust_rules, secret_scan,
-    source_audit, toxicity,
+    source_audit, token_files, toxicity, va_clustering,
 )
+from tillroll.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 PIECE_MODEL = "piece_bpe_32k.model"
+TOKEN_MODEL = "word_bpe_49k.json"
 MIX_WEIGHTS = [3.0, 1.0, 2.0]
 MIX_BUDGET = 1.5
 MIX_EPOCHS = 2.0
@@ -33,7 +34,7 @@ def fold(modulus: int) -> Column:
 
 
 def piece_model() -> bytes:
-    return piece_codec.load_model(f"{TOKENIZERS}/{PIECE_MODEL}")
+    return piece_codec.load_model(public_tokenizers.path(PIECE_MODEL))
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +86,17 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(read(spark, sf_dir, "documents"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered = va_clustering.cluster(read(spark, sf_dir, "embeddings"))
+    return clustered.drop("candidates")
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = token_files.load_tokenizer(public_tokenizers.path(TOKEN_MODEL))
+    docs = read(spark, sf_dir, "documents")
+    return token_files.digests(token_files.write_token_files(docs, scratch_path(spark, "token-files"), spec))
+
+
 OP6_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
@@ -170,14 +182,53 @@ SELECT * FROM ranks WHERE part = 'pair' OR rank <= 50
 """
 
 
+def _op12_sql() -> str:
+    """The rounds one after another: distances of all vectors to all
+    centroids, the nearest, and the floored means."""
+    square = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = ["""
+vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, x) - 1 AS c, x FROM vectors
+  QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, x) <= 40
+)"""]
+    for i in range(6):
+        steps.append(f"""
+a{i} AS (
+  SELECT r, d, c FROM (SELECT v.r, c.c, {square} AS d FROM vectors v CROSS JOIN c{i} c)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)""")
+        if i < 5:
+            steps.append(f"""
+m{i} AS (
+  SELECT c, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x
+  FROM (SELECT a.c, e.i, sum(v.x[e.i]) AS total, count(*) AS n
+        FROM a{i} a JOIN vectors v USING (r) CROSS JOIN (SELECT unnest(range(1, 65)) AS i) e GROUP BY a.c, e.i)
+  GROUP BY c
+), c{i + 1} AS (SELECT c{i}.c, coalesce(m.x, c{i}.x) AS x FROM c{i} LEFT JOIN m{i} m USING (c))""")
+    return f"""
+WITH {",".join(steps)}
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c5.x, ',')) AS centroid_sha256
+FROM a5 a JOIN vectors v USING (r) JOIN c5 ON c5.c = a.c
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
 def queries() -> dict[str, QueryFn]:
     named = [
         op1_chat_formatting, op2_quality_classifier, op3_quality_rules, op4_secret_scans, op5_sentencepiece, op6_exact_dedup,
         op7_toxicity, op8_lm_scoring, op9_source_mixing, op10_ngram_jaccard_join,
-        op11_source_audit,
+        op11_source_audit, op12_centroid_clustering, op13_token_files,
     ]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL, "op9_source_mixing": OP9_SQL, "op11_source_audit": OP11_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op9_source_mixing": OP9_SQL, "op11_source_audit": OP11_SQL, "op12_centroid_clustering": OP12_SQL}
