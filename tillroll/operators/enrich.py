@@ -1,8 +1,10 @@
 """Dimension joins and skew tools.
 
-Dimension joins are plain joins: Spark broadcasts a side whose size in
-bytes is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-shuffles, where AQE can switch strategy or split skewed partitions.
+The join of a mart with its dimension is a plain one: Spark broadcasts a
+side whose size in bytes is below ``spark.sql.autoBroadcastJoinThreshold``
+and otherwise shuffles, where AQE can switch strategy or split skewed
+partitions. Lines meet the attributes of their product by
+``hot_join.hot_key_join``, since one product may hold a large share of them.
 
 ``key_share`` reports how rows spread over a key; ``salted_sum`` sums in
 two steps over (key, salt) then key. The salt is a hash of line columns,
@@ -15,6 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.measures import line_metrics
+from tillroll.operators.hot_join import hot_key_join
+from tillroll.schemas import SUM_TYPE
 from tillroll.sources.testtables import table
 
 SHARE_TYPE = T.DecimalType(18, 6)
@@ -33,6 +38,37 @@ def with_region(country_mart: DataFrame, regions: DataFrame) -> DataFrame:
     return country_mart.join(regions, F.col("Country") == F.col("_country"), "left").drop("_country")
 
 
+def part_attributes(spark, sf_dir: str) -> DataFrame:
+    """Stock code -> brand, type, size and list price of the part."""
+    part = table(spark, sf_dir, "part")
+    return part.select(
+        F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("PartCode"),
+        F.col("p_brand").alias("Brand"), F.col("p_type").alias("PartType"), F.col("p_size").cast("int").alias("PartSize"),
+        F.col("p_retailprice").cast("decimal(14,4)").alias("ListPrice"),
+    )
+
+
+def with_part(lines: DataFrame, parts: DataFrame, *, tasks: int | None = None) -> DataFrame:
+    """Silver lines with the attributes of their part (null for codes that
+    are no part, such as postage)."""
+    return hot_key_join(lines, parts, "StockCode", "PartCode", tasks=tasks)
+
+
+def part_sales(lines: DataFrame) -> DataFrame:
+    """Sales per brand and type from lines ``with_part``: units, gross,
+    the same units at list price, and the lines sold below it."""
+    sale = F.col("SoldUnits") > 0
+    listed = F.when(sale, (F.col("SoldUnits") * F.col("ListPrice")).cast(SUM_TYPE))
+    return lines.withColumns(line_metrics()).groupBy("Brand", "PartType").agg(
+        F.count(F.lit(1)).alias("Lines"),
+        F.sum("SoldUnits").cast("bigint").alias("UnitsSold"),
+        F.sum("GrossSales").cast(SUM_TYPE).alias("GrossSales"),
+        F.sum(listed).cast(SUM_TYPE).alias("ListValue"),
+        F.count_if(sale & (F.col("Price") < F.col("ListPrice"))).alias("LinesBelowList"),
+        F.max("PartSize").alias("LargestSize"),
+    )
+
+
 def key_share(df: DataFrame, key: str) -> DataFrame:
     """Rows per key value and its share of all rows.
 

@@ -18,7 +18,7 @@ from tillroll.operators import checks, enrich, marts, profile, silver
 from tillroll.plans import oracle as O
 from tillroll.plans.medallion import LayerPaths, run_bronze, run_layers, run_silver
 from tillroll.schemas import DAILY_COLUMNS, RAW_COLUMNS
-from tillroll.session import scratch_path
+from tillroll.session import materialize, scratch_path
 from tillroll.sources.layers import layer_profile, read_layer, write_checked, write_layer
 from tillroll.sources.raw import read_raw, read_report, write_raw_csv
 from tillroll.sources.testtables import dirty_lines, retail_lines
@@ -232,6 +232,14 @@ def q_country_region_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_region(q_country_sales(spark, sf_dir), enrich.country_regions(spark, sf_dir))
 
 
+@register("product_part_sales", O.PRODUCT_PART_SALES)
+def q_product_part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the attributes of their part, by the join that cuts hot
+    products into pieces, summed per brand and type."""
+    lines = materialize(silver_of(spark, sf_dir), "silver")  # read for the hot keys and for the join
+    return enrich.part_sales(enrich.with_part(lines, enrich.part_attributes(spark, sf_dir), tasks=MANY_RANGES))
+
+
 @register("country_skew", O.COUNTRY_SKEW)
 def q_country_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.key_share(silver_of(spark, sf_dir), "Country")

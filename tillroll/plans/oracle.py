@@ -460,6 +460,17 @@ FROM country c
 LEFT JOIN nation n ON c.Country = n.n_name
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
+PRODUCT_PART_SALES = with_ctes(CTE_BASE, """
+SELECT p_brand AS Brand, p_type AS PartType, count(*) AS Lines,
+       CAST(sum(SoldUnits) AS BIGINT) AS UnitsSold,
+       CAST(sum(GrossSales) AS DECIMAL(28,4)) AS GrossSales,
+       CAST(sum(CASE WHEN SoldUnits > 0 THEN CAST(SoldUnits * CAST(p_retailprice AS DECIMAL(14,4)) AS DECIMAL(28,4)) END)
+            AS DECIMAL(28,4)) AS ListValue,
+       count(*) FILTER (WHERE SoldUnits > 0 AND Price < CAST(p_retailprice AS DECIMAL(14,4))) AS LinesBelowList,
+       CAST(max(p_size) AS INTEGER) AS LargestSize
+FROM base LEFT JOIN part ON StockCode = concat('P', lpad(CAST(p_partkey AS VARCHAR), 8, '0'))
+GROUP BY p_brand, p_type""")
+
 COUNTRY_SKEW = with_ctes(CTE_SILVER, """
 SELECT Country, count(*) AS RowCount,
        CAST(count(*) / sum(count(*)) OVER () AS DECIMAL(18,6)) AS RowShare

@@ -107,3 +107,16 @@ def materialize_counted(df, name: str):
     obs = Observation(f"rows-{name}")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path), int(obs.get["n"])
+
+
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to
+    differ from ``taken`` (helper columns beside columns of any name)."""
+    used = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
