@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 from tillroll.functions.measures import line_metrics, round_money
 from tillroll.schemas import CUSTOMER_ID, MONEY_COLUMNS, SUM_TYPE
+from tillroll.session import materialize
+from tillroll.sources.layers import read_layer, write_layer
 
 MART_NAMES = ("daily", "product", "customer", "country")
 METRICS = ("GrossSales", "ReturnAmount", "CancelledAmount", "UnitsSold", "ReturnUnits", "NetRevenue")
@@ -76,10 +78,11 @@ def _metric_sums(units: str, suffix: str = "", where: Column | None = None) -> l
 
 
 def mart_stats(mart: str, df: DataFrame) -> DataFrame:
-    """Every scalar a check needs from one mart, in one aggregate (one
-    scan): row count, measure totals, null keys, rank range and distinct
-    ranks, rows with negative published revenue. The checks below select
-    what they need from it (Catalyst prunes the other aggregates). Given
+    """Every scalar a check needs from one mart, in one aggregate: row
+    count, measure totals, null keys, rank range, rows with negative
+    published revenue; and the number of different ranks, from the rank
+    column alone. The checks below select what they need from it (Catalyst
+    prunes the other aggregates). Given
     ``stats_table`` output instead, they read that tiny table and do not
     scan the marts at all."""
     parts = F.col("GrossSales") - F.col("ReturnAmount") - F.col("CancelledAmount")
@@ -92,26 +95,37 @@ def mart_stats(mart: str, df: DataFrame) -> DataFrame:
     if mart in KEY:
         aggs.append(F.count_if(_c(KEY[mart]).isNull()).cast(T.LongType()).alias("NullKeys"))
         aggs.append(F.count_if(round_money("NetRevenue") < 0).cast(T.LongType()).alias("NegativeRows"))
-    if mart in RANK and RANK[mart] in df.columns:
+    ranked = mart in RANK and RANK[mart] in df.columns
+    if ranked:
         r = F.col(RANK[mart])
-        aggs += [
-            F.min(r).alias("MinRank"),
-            F.max(r).alias("MaxRank"),
-            F.countDistinct(r).cast(T.LongType()).alias("DistinctRanks"),
-        ]
-    return _with_net(df.agg(*aggs))
+        aggs += [F.min(r).alias("MinRank"), F.max(r).alias("MaxRank")]
+    row = _with_net(df.agg(*aggs))
+    return row.withColumn("DistinctRanks", distinct_ranks(df, RANK[mart]).scalar()) if ranked else row
 
 
-def stats_table(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """``mart_stats`` of every mart written once as one tiny table (one
-    job; each mart is scanned once), then read back per mart. Checks given
-    these stats do not scan the marts again."""
-    from tillroll.session import materialize
+def distinct_ranks(df: DataFrame, rank_col: str) -> DataFrame:
+    """How many different ranks occur, as one row (DistinctRanks), from
+    bitmaps: each stretch of 32,768 ranks is a 4 KB bitmap, filled map-side
+    and merged by stretch, so the ranks themselves do not travel. With the
+    least rank 1 and the largest equal to the number of rows, as many
+    different ranks as rows prove a permutation."""
+    r = F.col(rank_col)
+    stretches = df.groupBy(F.bitmap_bucket_number(r).alias("stretch")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(r)).alias("bits"))
+    return stretches.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).cast("bigint").alias("DistinctRanks"))
+
 
+def stats_table(marts: dict[str, DataFrame], path: str | None = None) -> dict[str, DataFrame]:
+    """``mart_stats`` of every mart written once as one tiny table (one
+    job; at ``path`` or in the scratch folder), then read back per mart.
+    Checks given these stats do not scan the marts again."""
     rows = [mart_stats(m, df).withColumn("Mart", F.lit(m)) for m, df in marts.items()]
-    table = materialize(
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows), "mart-stats"
-    )
+    all_rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    if path is None:
+        table = materialize(all_rows, "mart-stats")
+    else:
+        write_layer(all_rows, path)
+        table = read_layer(all_rows.sparkSession, path)
     return {m: table.filter(F.col("Mart") == m).drop("Mart") for m in marts}
 
 

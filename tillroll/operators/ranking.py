@@ -2,30 +2,32 @@
 
 A rank over the whole table is a window without a partition, which Spark
 runs in a single task. That is fine for a table whose size is bounded
-(``rank_global``: countries) but not for one that grows with the data
-(products, customers). ``rank_rows`` spreads the work, at every size:
+(``rank_global``: the rows of a top-k report) but not for one that grows
+with the data. ``rank_rows`` takes ranks from row positions, at every size:
 
 1. range-partition the rows on the *whole* sort key (e.g. NetRevenue and
-   StockCode, so a revenue shared by a third of all rows is still split)
-   and write them once to the shared checkpoint folder with the number of
-   their range,
-2. count the rows of each range from the written files (one row per range:
-   as many as there are partitions, whatever the size of the input),
-3. rank inside each range and add the rows of all earlier ranges.
+   StockCode, so a revenue shared by a third of all rows is still split),
+   sort each range, and write it once to the shared checkpoint folder with
+   the number of its range and the position of each row in it. Spark numbers
+   the rows of a partition in their order; no window and no second sort,
+2. take the number of rows of each range from the written positions: one
+   number per range, and ``ranges`` of them whatever the size of the input,
+3. rank = rows of all earlier ranges + position.
 
 Ranges follow the order of the key, so the result equals the single-task
 ``row_number``. The write pins the assignment: a task that runs again
-after the loss of an executor reads the same range numbers.
+after the loss of an executor reads the same positions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import materialize
+from tillroll.session import free_names, materialize
 
 
 @dataclass(frozen=True)
@@ -58,21 +60,22 @@ def rank_global(df: DataFrame, keys: list[SortKey], rank_col: str) -> DataFrame:
 
 def rank_rows(df: DataFrame, keys: list[SortKey], rank_col: str, *, ranges: int | None = None) -> DataFrame:
     """Exact global rank (bigint, from 1) over ``ranges`` tasks, by default
-    as many as the session has shuffle partitions."""
+    as many as the session has shuffle partitions. Columns keep their order;
+    the rank comes last."""
     spark = df.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [k.order() for k in keys]
-    ranged = materialize(
-        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "rank-input"
-    )
-    # one row per range: the only ordered window over all of them
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_range").orderBy(*order)
-    return (
-        ranged.withColumn("_place", F.row_number().over(inside).cast("bigint"))
-        .join(offsets, "_range")
-        .withColumn(rank_col, F.col("_offset") + F.col("_place"))
-        .drop("_range", "_place", "_offset")
-    )
+    in_range, place, range_, before = free_names([*df.columns, rank_col], "range", "place", "of_range", "before")
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumns({
+        in_range: F.spark_partition_id(),
+        # the lower 33 bits count the rows of a partition
+        place: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+    })
+    written = materialize(placed, "rank-input")
+    sizes = dict(written.groupBy(in_range).agg(F.max(place) + 1).collect())
+    earlier = accumulate([0, *[sizes.get(r, 0) for r in range(ranges)]])
+    starts = spark.createDataFrame(list(zip(range(ranges), earlier, strict=False)), f"`{range_}` int, `{before}` bigint")
+    # one row per range
+    ranked = written.join(F.broadcast(starts), F.col(f"`{in_range}`") == F.col(f"`{range_}`"))
+    rank = F.col(f"`{before}`") + F.col(f"`{place}`") + 1
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], rank.cast("bigint").alias(rank_col))

@@ -6,6 +6,11 @@ writes its layer with one job and the next stage reads that layer back
 recompute from the raw files). Stage results come back as small
 DataFrames of rows, not printouts.
 
+Every layer is entered in a ledger with the fingerprint of its rows, taken
+in the tasks that write it, and that of the layer it was built from. The
+validation takes the fingerprints again from the files; a later run may
+``resume``: it builds only what is not finished or has other inputs now.
+
 Gold writes the invoice-grain pre-aggregate once and builds the daily,
 customer and country marts from it; the product mart reads Silver. The
 daily mart is laid out by Year/Month for partition pruning.
@@ -13,6 +18,7 @@ daily mart is laid out by Year/Month for partition pruning.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,10 +26,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import checks, marts, silver
+from tillroll.plans.ledger import Ledger, source_identity
 from tillroll.schemas import SILVER_COLUMNS
-from tillroll.sources.layers import read_layer, write_checked, write_layer
+from tillroll.session import scratch_scope
+from tillroll.sources.fingerprints import fingerprint_metrics
+from tillroll.sources.layers import copy_check, read_layer, rebalanced, write_layer
 from tillroll.sources.raw import conform_raw, read_raw
 
+DAILY_LAYOUT = ["Year", "Month"]
+
 
 @dataclass(frozen=True)
 class LayerPaths:
@@ -44,6 +55,10 @@ class LayerPaths:
     def silver_totals(self) -> str:
         return self._p("silver", "_kept_totals")
 
+    @property
+    def silver_quality(self) -> str:
+        return self._p("silver", "_quality")
+
     @property
     def invoice_grain(self) -> str:
         return self._p("gold", "_invoice_grain")
@@ -52,6 +67,14 @@ class LayerPaths:
     def mart_totals(self) -> str:
         return self._p("gold", "_totals")
 
+    @property
+    def mart_stats(self) -> str:
+        return self._p("gold", "_stats")
+
+    @property
+    def ledger(self) -> str:
+        return self._p("_ledger")
+
     def mart(self, name: str) -> str:
         return self._p("gold", {
             "daily": "daily_sales",
@@ -61,11 +84,27 @@ class LayerPaths:
         }[name])
 
 
+def _recorded(paths: LayerPaths, layer: str, inputs: str | None, df: DataFrame, path: str,
+              after: Callable[[], None] | None = None, **write_kw) -> dict:
+    """Write a layer and enter it in the ledger with the fingerprint of the
+    rows written; ``after`` writes what belongs to the layer before the entry
+    is completed."""
+    ledger = Ledger(df.sparkSession, paths.ledger)
+    ledger.begin(layer)
+    values = write_layer(df, path, metrics=fingerprint_metrics(df.columns), **write_kw)
+    if after is not None:
+        after()
+    ledger.finish(layer, inputs, values, df)
+    return values
+
+
 def run_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPaths) -> DataFrame:
     """Copy raw lines (a CSV path or a DataFrame) to Parquet; return the
     source-to-target row check (source counted during the copy)."""
+    inputs = source_identity(spark, source)
     raw = read_raw(spark, source) if isinstance(source, str) else conform_raw(source)
-    return write_checked(raw, paths.bronze, "bronze")
+    rows = _recorded(paths, "bronze", inputs, raw, paths.bronze)["Rows"]
+    return copy_check("bronze", int(rows), len(raw.columns), read_layer(spark, paths.bronze))
 
 
 def run_silver(spark: SparkSession, paths: LayerPaths) -> DataFrame:
@@ -73,57 +112,71 @@ def run_silver(spark: SparkSession, paths: LayerPaths) -> DataFrame:
     of the cleaned lines as one row.
 
     The report is observed during the write (``observe``): its counts
-    are accumulated by the same tasks that write Silver, so Bronze is
-    read and deduplicated once. Each task's metrics are applied once,
-    even when tasks are retried.
+    are accumulated by the same tasks that write Silver, after the dedup
+    shuffle, so Bronze is read and deduplicated once. Each task's metrics
+    are applied once, even when tasks are retried.
     """
     bronze = read_layer(spark, paths.bronze)
     clean = silver.clean_lines(bronze)
     quality, totals = silver.quality_metrics(), silver.kept_totals_metrics()
     obs = Observation("silver_quality")
     observed = clean.observe(obs, *quality, *totals)
-    write_layer(
-        silver.quality_filter(observed).select(*[F.col(f"`{c}`") for c in SILVER_COLUMNS]),
-        paths.silver,
-    )
-    values = obs.get
-    report_schema = clean.agg(*quality).schema
-    totals_schema = clean.agg(*totals).schema
-    # the kept-line totals feed the validation gate (no Silver scan there)
-    write_layer(
-        spark.createDataFrame([{f.name: values[f.name] for f in totals_schema}], totals_schema),
-        paths.silver_totals,
-    )
-    return spark.createDataFrame([{f.name: values[f.name] for f in report_schema}], report_schema)
+    lines = silver.quality_filter(observed).select(*[F.col(f"`{c}`") for c in SILVER_COLUMNS])
 
+    def keep_report() -> None:
+        # the kept-line totals feed the validation gate (no Silver scan there)
+        for metrics, path in ((totals, paths.silver_totals), (quality, paths.silver_quality)):
+            schema = clean.agg(*metrics).schema
+            write_layer(spark.createDataFrame([{f.name: obs.get[f.name] for f in schema}], schema), path)
 
-def run_gold(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]:
+    _recorded(paths, "silver", Ledger(spark, paths.ledger).identity("bronze"), lines, paths.silver, keep_report)
+    return read_layer(spark, paths.silver_quality)
+
+
+def run_gold(spark: SparkSession, paths: LayerPaths, *, resume: bool = False) -> dict[str, DataFrame]:
     """Build and write the four marts; return them read back.
 
     The exact totals of each mart, and those of its published columns, are
     observed while it is written and kept beside the marts for validation.
+    With ``resume``, marts finished from the present Silver stay.
     """
+    ledger = Ledger(spark, paths.ledger)
+    inputs = ledger.identity("silver")
+
+    def finished(layer: str) -> bool:
+        return resume and ledger.holds(layer, inputs)
+
     s = read_layer(spark, paths.silver)
-    write_layer(marts.invoice_grain(s), paths.invoice_grain)
+    if not finished("invoice_grain"):
+        _recorded(paths, "invoice_grain", inputs, marts.invoice_grain(s), paths.invoice_grain)
     grain = read_layer(spark, paths.invoice_grain)
     exact = {
-        "daily": marts.daily_sales(s, grain=grain, rounded=False),
-        "product": marts.product_performance(s, rounded=False),
-        "customer": marts.customer_mart(s, grain=grain, rounded=False),
-        "country": marts.country_sales(s, grain=grain, rounded=False),
+        "daily": lambda: rebalanced(marts.daily_sales(s, grain=grain, rounded=False), DAILY_LAYOUT),
+        "product": lambda: marts.product_performance(s, rounded=False),
+        "customer": lambda: marts.customer_mart(s, grain=grain, rounded=False),
+        "country": lambda: marts.country_sales(s, grain=grain, rounded=False),
     }
-    totals = []
-    for name, mart in exact.items():
-        metrics = checks.totals_metrics(name)
-        obs = Observation(f"totals-{name}")
-        write_layer(marts.publish(mart.observe(obs, *metrics), name), paths.mart(name),
-                    partition_by=["Year", "Month"] if name == "daily" else None)
-        schema = mart.agg(*metrics).select(F.lit(name).alias("Mart"), "*").schema
-        totals.append(spark.createDataFrame([{"Mart": name, **obs.get}], schema))
-    write_layer(reduce(lambda a, b: a.unionByName(b), totals), paths.mart_totals)
+    for name, build in exact.items():
+        if not finished(name):
+            with scratch_scope(spark, f"gold-{name}"):
+                _write_mart(paths, name, inputs, build())
     return read_marts(spark, paths)
 
 
+def _write_mart(paths: LayerPaths, name: str, inputs: str | None, mart: DataFrame) -> None:
+    """Write an exact mart as published, with its totals beside it. They are
+    observed after any shuffle of its rows, in the tasks that write."""
+    metrics = checks.totals_metrics(name)
+    obs = Observation(f"totals-{name}")
+
+    def keep_totals() -> None:
+        schema = mart.agg(*metrics).schema
+        write_layer(mart.sparkSession.createDataFrame([obs.get], schema), f"{paths.mart_totals}/Mart={name}")
+
+    _recorded(paths, name, inputs, marts.publish(mart.observe(obs, *metrics), name), paths.mart(name), keep_totals,
+              partition_by=DAILY_LAYOUT if name == "daily" else None, rebalance=False)
+
+
 def read_marts(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]:
     """The written marts, each in its published column order (partition
     columns come back last)."""
@@ -133,19 +186,20 @@ def read_marts(spark: SparkSession, paths: LayerPaths) -> dict[str, DataFrame]:
 
 def run_validation(spark: SparkSession, paths: LayerPaths, *, enforce: bool = True) -> dict[str, DataFrame]:
     """Checks over the written layers. With ``enforce`` the blocking ones
-    (reconciliation gate of all four marts, published values, grain, null
-    keys, ranks) raise on failure; negative revenue and the
-    cancelled/negative overlap are reported only. The gate compares totals
-    observed while Silver and the marts were written, without any scan;
-    each mart is scanned twice (its statistics, and the grouping of its
-    grain check)."""
+    (fingerprints of every layer, reconciliation gate of all four marts,
+    published values, grain, null keys, ranks) raise on failure; negative
+    revenue and the cancelled/negative overlap are reported only. The
+    fingerprints scan every layer once. The gate compares totals observed
+    while Silver and the marts were written, without any scan; each mart is
+    scanned for its statistics and for the grouping of its grain check."""
     s = read_layer(spark, paths.silver)
     m = read_marts(spark, paths)
     # one job computes every per-mart statistic (each mart scanned once);
     # the checks below read that tiny table, the grain check groups the marts
-    st = checks.stats_table(m)
+    st = checks.stats_table(m, paths.mart_stats)
     totals = read_layer(spark, paths.mart_totals)
     result = {
+        "rows": layer_fingerprints(spark, paths),
         "gate": checks.gate_rows(s, totals, read_layer(spark, paths.silver_totals)),
         "published": checks.published_checks(st, totals),
         "grain": checks.grain_checks(m),
@@ -158,28 +212,51 @@ def run_validation(spark: SparkSession, paths: LayerPaths, *, enforce: bool = Tr
     if enforce:
         blocking = reduce(
             lambda a, b: a.unionByName(b),
-            [result[k].select(F.lit(k).alias("Check"), "Mart", "Passed")
-             for k in ("gate", "published", "grain", "null_keys", "ranks")],
+            [result["rows"].select(F.lit("rows").alias("Check"), F.col("Layer").alias("Mart"), "Passed")]
+            + [result[k].select(F.lit(k).alias("Check"), "Mart", "Passed")
+               for k in ("gate", "published", "grain", "null_keys", "ranks")],
         )
         checks.enforce(blocking, "Gold validation")
     return result
 
 
+def layer_fingerprints(spark: SparkSession, paths: LayerPaths) -> DataFrame:
+    """One row per written layer: are its files the rows that were written?"""
+    layers = {"bronze": read_layer(spark, paths.bronze), "silver": read_layer(spark, paths.silver),
+              "invoice_grain": read_layer(spark, paths.invoice_grain), **read_marts(spark, paths)}
+    return Ledger(spark, paths.ledger).check(layers)
+
+
 def run_layers(spark: SparkSession, source: str | DataFrame, out_dir: str, *,
-               enforce: bool = True, report: dict[str, DataFrame] | None = None) -> DataFrame:
+               enforce: bool = True, report: dict[str, DataFrame] | None = None, resume: bool = False) -> DataFrame:
     """All stages in order. Returns rows (Stage, Layer, RowCount); the
     results of the stages (bronze copy check, Silver quality report, each
     validation check) are put into ``report`` if one is given.
 
+    With ``resume``, layers that an earlier run finished under ``out_dir``
+    from the same inputs stay. A source path is the same if its files have
+    the same names, sizes and times; the rows of a DataFrame are copied
+    again, and what follows stays if they have the same fingerprint. The
+    validation runs in full.
+
     Raises (``ValidationError``) if the bronze copy lost rows or a
     blocking Gold check fails. The session belongs to the caller.
     """
     paths = LayerPaths(out_dir)
-    bronze_check = run_bronze(spark, source, paths)
+    ledger = Ledger(spark, paths.ledger)
+    if resume and ledger.holds("bronze", source_identity(spark, source)):
+        copied = ledger.entry("bronze")
+        bronze = read_layer(spark, paths.bronze)
+        bronze_check = copy_check("bronze", copied["Rows"], len(bronze.columns), bronze)
+    else:
+        bronze_check = run_bronze(spark, source, paths)
     if enforce:
         checks.enforce(bronze_check, "Bronze copy")
-    quality = run_silver(spark, paths)
-    run_gold(spark, paths)
+    if resume and ledger.holds("silver", ledger.identity("bronze")):
+        quality = read_layer(spark, paths.silver_quality)
+    else:
+        quality = run_silver(spark, paths)
+    run_gold(spark, paths, resume=resume)
     validation = run_validation(spark, paths, enforce=enforce)
     if report is not None:
         report |= {"bronze": bronze_check, "quality": quality, **validation}

@@ -10,9 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+SCRATCH_ROOT = "tillroll.scratch.root"  # session setting: the folder of a scratch_scope
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tillroll") -> SparkSession:
@@ -86,8 +90,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/tillroll-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder, or under the
+    folder of the ``scratch_scope`` around it."""
+    root = spark.conf.get(SCRATCH_ROOT, None) or checkpoint_dir(spark)
+    return f"{root}/tillroll-{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[str]:
+    """Scratch tables of the block go to one folder, deleted at its end.
+    DataFrames that still read them must not leave the block."""
+    outer = spark.conf.get(SCRATCH_ROOT, None)
+    root = scratch_path(spark, name)
+    spark.conf.set(SCRATCH_ROOT, root)
+    try:
+        yield root
+    finally:
+        if outer is None:
+            spark.conf.unset(SCRATCH_ROOT)
+        else:
+            spark.conf.set(SCRATCH_ROOT, outer)
+        delete_path(spark, root)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df, name: str):
