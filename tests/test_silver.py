@@ -35,8 +35,36 @@ def test_read_report_counts_rejected_lines(spark, raw_csv_path):
     from tillroll.sources.raw import read_report
 
     rep = read_report(read_raw(spark, raw_csv_path, keep_corrupt=True)).first()
-    assert (rep["TotalRows"], rep["CorruptRows"], rep["CorruptInvoiceDateNull"]) == (18, 1, 1)
-    assert rep["CorruptPriceNull"] == 0
+    assert (rep["TotalRows"], rep["CorruptRows"], rep["MisshapenRows"], rep["RejectedInvoiceDate"]) == (18, 1, 0, 1)
+    assert rep["RejectedPrice"] == 0 and rep["RejectedCustomerID"] == 0
+
+
+def test_rejected_cells_are_those_with_unreadable_text(spark, scratch):
+    """An empty cell of a corrupt line was not rejected; a line with too few
+    or too many cells need not hold a rejected one."""
+    import os
+
+    from tillroll.sources.raw import read_report, rejected_cells
+
+    path = os.path.join(scratch, "odd.csv")
+    lines = [
+        '1,85048,"A ""B"", C",many,2009-12-01 07:45:00,6.95,,UK',      # quantity; the customer is empty
+        "2,85048,B,,never,x,13085.0,UK",                               # date and price; the quantity is empty
+        "3,85048,C,3,2009-12-01 07:45:00,1.5,13085.0,UK",              # fine
+        "4,85048,D,4,2009-12-01 07:45:00,1.5",                         # too few cells
+        "5,85048,E,5,2009-12-01 07:45:00,1.5,13085.0,UK,more",         # too many
+        "6,85048,F, 6,2009-12-01 07:45:00,99999999999999.5,13085.0,",  # a blank before the number; price too large
+    ]
+    with open(path, "w") as f:
+        f.write("Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n" + "\n".join(lines) + "\n")
+    raw = read_raw(spark, path, keep_corrupt=True)
+    found = {r["Invoice"]: {c["Column"]: c["Value"] for c in r["Rejected"]} for r in rejected_cells(raw).collect()}
+    assert found == {"1": {"Quantity": "many"}, "2": {"InvoiceDate": "never", "Price": "x"}, "3": {}, "4": {}, "5": {},
+                     "6": {"Quantity": " 6", "Price": "99999999999999.5"}}
+    rep = read_report(raw).first().asDict()
+    assert rep == {"TotalRows": 6, "CorruptRows": 5, "MisshapenRows": 2, "RejectedInvoice": 0, "RejectedStockCode": 0,
+                   "RejectedDescription": 0, "RejectedQuantity": 2, "RejectedInvoiceDate": 1, "RejectedPrice": 2,
+                   "RejectedCustomerID": 0, "RejectedCountry": 0}
 
 
 def test_dedup_runs_before_cleaning(raw_lines):

@@ -69,6 +69,23 @@ def part_sales(lines: DataFrame) -> DataFrame:
     )
 
 
+def month_calendar(daily: DataFrame) -> DataFrame:
+    """Year, Month, Quarter of every month in the daily mart: a dimension
+    of one row per month."""
+    return daily.select("Year", "Month").distinct().withColumn("Quarter", F.ceil(F.col("Month") / 3).cast("int"))
+
+
+def quarter_sales(daily: DataFrame, months: DataFrame) -> DataFrame:
+    """Units and net revenue per country, year and quarter over the months
+    given (rows of a ``month_calendar``). Over a daily mart laid out by
+    Year/Month, Spark prunes the folders of all other months at run time
+    (dynamic partition pruning), since their filter is on the calendar."""
+    return daily.join(months, ["Year", "Month"]).groupBy("Country", "Year", "Quarter").agg(
+        F.count(F.lit(1)).alias("Days"), F.sum("UnitsSold").cast("bigint").alias("UnitsSold"),
+        F.sum("NetRevenue").cast("decimal(28,2)").alias("NetRevenue"),
+    )
+
+
 def key_share(df: DataFrame, key: str) -> DataFrame:
     """Rows per key value and its share of all rows.
 

@@ -56,16 +56,45 @@ def duplicate_rows(raw: DataFrame) -> DataFrame:
     ).withColumn("DuplicateRows", F.col("TotalRows") - F.col("DistinctRows"))
 
 
+def exact_moments(column: F.Column, scale: int) -> dict[str, F.Column]:
+    """n, sum and sum of squares of a number with at most ``scale`` decimal
+    places, in units of its last place, as exact decimals. Their value does
+    not depend on the order of the rows, as that of double sums does. The
+    squares of 10^13 values of 10^8 fit; larger sums raise an error."""
+    units = (column.cast("decimal(38,8)") * F.lit(10**scale).cast("decimal(10,0)")).cast("decimal(18,0)")
+    return {
+        "n": F.count(column),
+        "total": F.sum(units.cast("decimal(28,0)")).cast("decimal(38,0)"),
+        "squares": F.sum((units * units).cast("decimal(28,0)")).cast("decimal(38,0)"),
+    }
+
+
+def _deviation(n: F.Column, total: F.Column, squares: F.Column, scale: int) -> F.Column:
+    """Sample standard deviation from exact moments. With the whole part m
+    and the rest r of total / n, the sum of squared deviations is
+    squares - m (total + r) - r^2 / n; only that last step is a double."""
+    wide = "decimal(38,0)"
+    m = F.call_function("div", total, n.cast("decimal(20,0)")).cast("decimal(18,0)")
+    r = total - (m * n.cast("decimal(20,0)")).cast(wide)
+    whole = squares - (m * (total + r).cast(wide)).cast(wide)
+    rest = r.cast("double") * r.cast("double") / n.cast("double")
+    return F.when(n > 1, F.sqrt((whole.cast("double") - rest) / (n - 1).cast("double")) / F.lit(float(10**scale)))
+
+
+def _mean(n: F.Column, total: F.Column, scale: int) -> F.Column:
+    return F.when(n > 0, total.cast("decimal(28,0)") / n.cast("decimal(20,0)") / F.lit(10**scale).cast("decimal(10,0)"))
+
+
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """describe(): count, mean, sample stddev, min, max per column, one
-    row per column, all in one scan. Figures are decimal(18,4)."""
+    row per column, all in one scan. Figures are decimal(18,4), from exact
+    sums: the same on any partitioning."""
     aggs = []
     for c in columns:
         col = _c(c)
+        moments = exact_moments(col, _scale(df, c))
         aggs += [
-            F.count(col).alias(f"{c}__count"),
-            F.avg(col).cast(STAT_TYPE).alias(f"{c}__mean"),
-            F.stddev_samp(col.cast("double")).cast(STAT_TYPE).alias(f"{c}__stddev"),
+            *[m.alias(f"{c}__{name}") for name, m in moments.items()],
             F.min(col).cast(STAT_TYPE).alias(f"{c}__min"),
             F.max(col).cast(STAT_TYPE).alias(f"{c}__max"),
         ]
@@ -75,9 +104,10 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
             *[
                 F.struct(
                     F.lit(c).alias("ColumnName"),
-                    F.col(f"{c}__count").cast(T.LongType()).alias("NonNullCount"),
-                    F.col(f"{c}__mean").alias("Mean"),
-                    F.col(f"{c}__stddev").alias("StdDev"),
+                    F.col(f"{c}__n").cast(T.LongType()).alias("NonNullCount"),
+                    _mean(F.col(f"{c}__n"), F.col(f"{c}__total"), _scale(df, c)).cast(STAT_TYPE).alias("Mean"),
+                    _deviation(F.col(f"{c}__n"), F.col(f"{c}__total"), F.col(f"{c}__squares"), _scale(df, c))
+                    .cast(STAT_TYPE).alias("StdDev"),
                     F.col(f"{c}__min").alias("MinValue"),
                     F.col(f"{c}__max").alias("MaxValue"),
                 )
@@ -88,6 +118,15 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(rows).select("s.*")
 
 
+def _scale(df: DataFrame, column: str) -> int:
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return kind.scale
+    if isinstance(kind, T.IntegralType):
+        return 0
+    raise TypeError(f"{column} is {kind.simpleString()}: exact moments need an integer or a decimal")
+
+
 def price_quality_counts(raw: DataFrame) -> DataFrame:
     p = F.col("Price")
     return raw.agg(

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.measures import line_metrics
-from tillroll.operators import checks, enrich, marts, profile, silver
+from tillroll.operators import checks, distincts, enrich, marts, profile, silver
 from tillroll.plans import oracle as O
 from tillroll.plans.medallion import LayerPaths, run_bronze, run_layers, run_silver
 from tillroll.schemas import DAILY_COLUMNS, RAW_COLUMNS
 from tillroll.session import materialize, scratch_path
-from tillroll.sources.layers import layer_profile, read_layer, write_checked, write_layer
+from tillroll.sources.layers import layer_profile, read_layer, write_checked, write_clustered, write_layer
 from tillroll.sources.raw import read_raw, read_report, write_raw_csv
 from tillroll.sources.testtables import dirty_lines, retail_lines
 
@@ -269,6 +269,42 @@ def q_daily_sales_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, path).filter(F.col("Year") == 1998).select(*DAILY_COLUMNS)
 
 
+@register("quarter_sales", O.QUARTER_SALES)
+def q_quarter_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart by Year/Month met by a calendar filtered to the last
+    quarters: the scan lists their folders only."""
+    daily, calendar = scratch_path(spark, "daily"), scratch_path(spark, "calendar")
+    write_layer(q_daily_sales(spark, sf_dir), daily, partition_by=["Year", "Month"])
+    write_layer(enrich.month_calendar(read_layer(spark, daily)), calendar)
+    return enrich.quarter_sales(read_layer(spark, daily), read_layer(spark, calendar).filter("Quarter = 4"))
+
+
+@register("clustered_lines", O.with_ctes(O.CTE_SILVER, "SELECT * FROM silver"))
+def q_clustered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written by ranges of stock code with bloom filters, and read
+    back whole."""
+    path = scratch_path(spark, "clustered")
+    write_clustered(silver_of(spark, sf_dir), path, ["StockCode", "Invoice"])
+    return read_layer(spark, path)
+
+
+def _stored_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grain = materialize(marts.invoice_grain(silver_of(spark, sf_dir)), "invoice-grain")
+    numbers = {e: materialize(distincts.number_values(grain, c), "numbers") for e, c in distincts.ENTITIES.items()}
+    return materialize(distincts.entity_bitmaps(grain, numbers), "bitmaps")
+
+
+@register("country_distincts_merged", O.COUNTRY_DISTINCTS)
+def q_country_distincts_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers per country, merged from stored monthly sets."""
+    return distincts.merged_distincts(_stored_bitmaps(spark, sf_dir), ["Country"])
+
+
+@register("country_month_distincts", O.COUNTRY_MONTH_DISTINCTS)
+def q_country_month_distincts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distincts.merged_distincts(_stored_bitmaps(spark, sf_dir), distincts.GROUP)
+
+
 @register("csv_roundtrip", O.CSV_ROUNDTRIP)
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines written as quoted CSV and read back with the raw schema."""
@@ -280,7 +316,7 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("malformed_cells", O.MALFORMED_CELLS)
 def q_malformed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with an unreadable quantity or date, written as CSV and read
-    back: which cells were rejected."""
+    back: which cells were rejected, column by column."""
     code, path = F.col("StockCode"), scratch_path(spark, "malformed")
     spoilt = raw_lines(spark, sf_dir).withColumns({
         "Quantity": F.when(code.endswith("7"), F.lit("many")).otherwise(F.col("Quantity").cast("string")),
@@ -292,7 +328,8 @@ def q_malformed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("layer_profile", O.LAYER_PROFILE)
 def q_layer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and columns of a written Bronze layer."""
+    """Rows and columns of a written Bronze layer (partitions, schema and
+    version differ by session)."""
     path = scratch_path(spark, "profile")
     write_layer(raw_lines(spark, sf_dir), path)
     return layer_profile(read_layer(spark, path)).select("Rows", "Columns")
@@ -312,6 +349,21 @@ def q_layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_layers(spark, raw_lines(spark, sf_dir), scratch_path(spark, "layers"))
 
 
+@register("layer_fingerprints", O.LAYER_FINGERPRINTS)
+def q_layer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every layer's rows as fingerprinted in the write and in its files."""
+    return _validated(spark, sf_dir)["rows"]
+
+
+@register("layered_run_resumed", O.LAYERED_RUN)
+def q_layered_run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run, and a second one that resumes it: Bronze is copied again (its
+    source is a DataFrame), the layers of the same rows stay."""
+    root = scratch_path(spark, "resumed")
+    run_layers(spark, raw_lines(spark, sf_dir), root)
+    return run_layers(spark, raw_lines(spark, sf_dir), root, resume=True)
+
+
 @register("quality_report_observed", O.QUALITY_REPORT)
 def q_quality_report_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Silver quality report as observed while Silver is written."""

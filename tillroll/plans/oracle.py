@@ -511,11 +511,33 @@ RAW_OVERVIEW = with_ctes(CTE_RAW, "SELECT count(*) AS TotalRows, " + ", ".join(
 FROM raw""")
 
 
-_SPOILT = "(right(StockCode, 1) IN ('7', '8'))"
-MALFORMED_CELLS = with_ctes(CTE_RAW, f"SELECT count(*) AS TotalRows, count(*) FILTER (WHERE {_SPOILT}) AS CorruptRows, " + ", ".join(
-    f"count(*) FILTER (WHERE {_SPOILT} AND (" + {
-        "Quantity": "right(StockCode, 1) = '7' OR ", "InvoiceDate": "right(StockCode, 1) = '8' OR ",
-    }.get(c, "") + f"{_q(c)} IS NULL)) AS Corrupt{c.replace(' ', '')}Null" for c in RAW_COLUMN_NAMES
+_REJECTED = {"Quantity": "right(StockCode, 1) = '7'", "InvoiceDate": "right(StockCode, 1) = '8'"}
+MALFORMED_CELLS = with_ctes(CTE_RAW, """
+SELECT count(*) AS TotalRows, count(*) FILTER (WHERE right(StockCode, 1) IN ('7', '8')) AS CorruptRows,
+       CAST(0 AS BIGINT) AS MisshapenRows, """ + ", ".join(
+    f"count(*) FILTER (WHERE {_REJECTED.get(c, 'false')}) AS Rejected{c.replace(' ', '')}" for c in RAW_COLUMN_NAMES
 ) + " FROM raw")
 
 LAYER_PROFILE = with_ctes(CTE_RAW, "SELECT count(*) AS Rows, CAST(8 AS INTEGER) AS Columns FROM raw")
+
+QUARTER_SALES = with_ctes(CTE_DAILY, """
+SELECT Country, Year, CAST((Month + 2) // 3 AS INTEGER) AS Quarter, count(*) AS Days,
+       CAST(sum(UnitsSold) AS BIGINT) AS UnitsSold, CAST(sum(NetRevenue) AS DECIMAL(28,2)) AS NetRevenue
+FROM daily WHERE Month >= 10 GROUP BY ALL""")
+
+COUNTRY_DISTINCTS = with_ctes(CTE_COUNTRY, "SELECT Country, Orders, Customers FROM country")
+
+COUNTRY_MONTH_DISTINCTS = with_ctes(CTE_BASE, """
+SELECT Country, Year, Month, CAST(count(DISTINCT Invoice) AS BIGINT) AS Orders,
+       CAST(count(DISTINCT "Customer ID") AS BIGINT) AS Customers
+FROM base GROUP BY Country, Year, Month""")
+
+LAYER_FINGERPRINTS = with_ctes(CTE_MARTS, """
+SELECT Layer, n AS WrittenRows, n AS FileRows, true AS SameRows, true AS Passed FROM (
+  SELECT 'bronze' AS Layer, count(*) AS n FROM raw
+  UNION ALL SELECT 'silver', count(*) FROM silver
+  UNION ALL SELECT 'invoice_grain', count(*) FROM (SELECT DISTINCT SaleDate, Country, Invoice, "Customer ID" FROM base)
+  UNION ALL SELECT 'daily', count(*) FROM daily
+  UNION ALL SELECT 'product', count(*) FROM product
+  UNION ALL SELECT 'customer', count(*) FROM customer_m
+  UNION ALL SELECT 'country', count(*) FROM country)""")

@@ -50,18 +50,37 @@ def read_raw(spark: SparkSession, path: str | list[str], *,
     return reader.csv(path)
 
 
+def rejected_cells(df: DataFrame) -> DataFrame:
+    """Lines read with ``keep_corrupt=True`` plus ``Rejected``: an array of
+    (Column, Value), the cells whose text could not be read as their type.
+
+    The cells of a corrupt line are taken from its kept text, all as
+    strings; one that has text there and is null in its type was rejected,
+    one that is empty was not. Lines that parsed are not read again.
+    """
+    cells = F.from_csv(F.col(CORRUPT_COLUMN), ", ".join(f"`{c}` string" for c in RAW_COLUMNS), {"quote": '"', "escape": '"'})
+    with_text = df.withColumn("_cells", F.when(F.col(CORRUPT_COLUMN).isNotNull(), cells))
+    one_by_one = [
+        F.when(F.col("_cells")[c].isNotNull() & F.col(f"`{c}`").isNull(),
+               F.struct(F.lit(c).alias("Column"), F.col("_cells")[c].alias("Value")))
+        for c in RAW_COLUMNS
+    ]
+    return with_text.withColumn("Rejected", F.array_compact(F.array(*one_by_one))).drop("_cells")
+
+
 def read_report(df: DataFrame) -> DataFrame:
     """One row over lines read with ``keep_corrupt=True``: total lines,
-    lines that did not fully parse, and per raw column how many of those
-    have that cell null (which cell failed). One scan."""
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    return df.agg(
+    lines that did not fully parse, those of them without a rejected cell
+    (too few or too many cells), and the rejected cells per column. One
+    scan."""
+    cells = rejected_cells(df)
+    names = F.transform("Rejected", lambda cell: cell["Column"])
+    corrupt = F.col(CORRUPT_COLUMN).isNotNull()
+    return cells.agg(
         F.count(F.lit(1)).alias("TotalRows"),
-        F.count_if(bad).alias("CorruptRows"),
-        *[
-            F.count_if(bad & F.col(f"`{c}`").isNull()).alias(f"Corrupt{c.replace(' ', '')}Null")
-            for c in RAW_COLUMNS
-        ],
+        F.count_if(corrupt).alias("CorruptRows"),
+        F.count_if(corrupt & (F.size("Rejected") == 0)).alias("MisshapenRows"),
+        *[F.count_if(F.array_contains(names, c)).alias(f"Rejected{c.replace(' ', '')}") for c in RAW_COLUMNS],
     )
 
 
