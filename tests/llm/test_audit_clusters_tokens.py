@@ -233,15 +233,39 @@ def test_ids_equal_the_library(files):
     assert crc == {(r["doc_id"], r["start"], r["n_tokens"]): zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in got}
 
 
-def test_small_caches_change_nothing(monkeypatch):
+def _by_slices(encoder, rows, per_slice):
+    for at in range(0, len(rows), per_slice):
+        texts = [(t or "").encode() for _, t in rows[at : at + per_slice]]
+        offsets = np.cumsum([0, *map(len, texts)])
+        ids, n = token_files.encode_slice(encoder, np.frombuffer(b"".join(texts), np.uint8), offsets, 1)
+        yield from np.split(ids, np.cumsum(n)[:-1])
+
+
+@pytest.mark.parametrize("per_slice", [1, 7, 1000])
+def test_small_caches_change_nothing(monkeypatch, per_slice):
     spec = token_files.load_tokenizer(public_tokenizers.path(queries.TOKEN_MODEL))
+    rows = _token_rows()
+    want = [_ids(t) for _, t in rows]
+    assert [x.tolist() for x in _by_slices(token_files.PieceIds(spec), rows, per_slice)] == want
     monkeypatch.setattr(token_files, "CACHE_WORDS", 5)
     monkeypatch.setattr(token_files, "NEW_AT_ONCE", 3)
-    encoder = token_files.PieceIds(spec)
-    for _, text in _token_rows():
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        ids, n = token_files.encode_slice(encoder, data, np.array([0, len(data)]), 1)
-        assert ids.tolist() == _ids(text) and n.tolist() == [len(ids)]
+    monkeypatch.setattr(token_files, "TABLE_BITS", 2)  # nearly every piece meets another
+    assert [x.tolist() for x in _by_slices(token_files.PieceIds(spec), rows, per_slice)] == want
+
+
+def test_random_texts_equal_the_library():
+    """All kinds of characters beside each other, special tokens too."""
+    rnd = random.Random(8)
+    kinds = ["aZ", "09", "'", "<|endoftext|>", "<|", ",.;!?-_", "éßÀİΣς", "́̈", " \t\n\x0b", "\x1c\x85\u00a0\u2003",
+             "漢字한", "½²Ⅷ", "…“”", "\x00\x7f", "'s", "'LL", "ǅ", "🇩🇪"]
+    rows = []
+    for k in range(1500):
+        parts = (rnd.choice(kinds) for _ in range(rnd.randrange(25)))
+        rows.append((k, "".join(p if len(p) > 2 or rnd.random() < 0.3 else rnd.choice(p) for p in parts)))
+    encoder = token_files.PieceIds(token_files.load_tokenizer(public_tokenizers.path(queries.TOKEN_MODEL)))
+    library = _library()
+    for (_, text), ids in zip(rows, _by_slices(encoder, rows, 40)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids + [1], repr(text)
 
 
 def test_spans_and_ranges_of_the_stream(files):

@@ -15,10 +15,15 @@ that hold them. A small table beside the files tells rows, ids, first and
 last doc_id of each part and the ids of all parts before it.
 
 Encoding is that of the tokenizers library. No token crosses ASCII white
-space (checked for the tokenizer file on load), so a text is cut there and
-each distinct piece is encoded once by the library; a task keeps at most
-``CACHE_WORDS`` of them. A piece without white space goes to the library as
-it is, of any length.
+space, nor the border between an ASCII letter, an ASCII digit and other
+ASCII signs but the apostrophe, nor two digits (checked for the tokenizer
+file on load), and A-Z are lowered. So a slice of texts is lowered, cut there
+into pieces in numpy, and each distinct piece is encoded once by the library.
+Texts that may hold a special token are cut at white space only. Pieces of
+one word are handed over many at a time; their ids part after each id that
+ends a word. A piece without a cut goes to the library as it is, of any
+length. A Python worker keeps up to ``CACHE_WORDS`` pieces, whole (as two
+64-bit words, longer ones as bytes), from task to task.
 
 Cases: a null or empty text has the end id only; rows of equal doc_id are in
 the order of the hash of their text, null ids come last; repeated rows are
@@ -28,6 +33,9 @@ documents of their own; an empty table gives no rows.
 from __future__ import annotations
 
 import json
+import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -44,83 +52,229 @@ ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 PAGE_ROWS = 512
 DICTIONARY_BYTES = 1 << 20  # 2^18 ids of four bytes
-CACHE_WORDS = 100_000
-CACHE_BYTES = 16 << 20
-LONG_PIECE = 1 << 10  # longer pieces are not kept
-NEW_AT_ONCE = 2048
+CACHE_WORDS = 500_000
+CACHE_BYTES = 16 << 20  # of pieces longer than 16 bytes
+TABLE_BITS = 20
+NEW_AT_ONCE = 2000
+SLICE_BYTES = 512 << 10  # text worked on at once
 
 DATA_SCHEMA = "doc_id bigint, part int, first bigint, n_tokens bigint, ids array<int>"
 COUNTERS = ("doc_id", "part", "first", "n_tokens")
 
+# classes of bytes: 0 white space, apostrophe and all beyond ASCII; 1 letters, 2 digits, 3 other signs
+CLASS = np.zeros(256, np.uint8)
+CLASS[ord("a") : ord("z") + 1] = 1
+CLASS[ord("0") : ord("9") + 1] = 2
+CLASS[[b for b in range(33, 127) if not chr(b).isalnum() and b != ord("'")]] = 3
+# may a text be cut between a byte of one class and one of the next (4 a + b)?
+CUT = np.array([a and b and (a != b or a == 2) for a in range(4) for b in range(4)], bool)
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+SPECIAL = b"<|"  # begins every special token
+MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)  # the first n of 8 bytes
+
 
 def load_tokenizer(path: str) -> str:
-    """The JSON text of a tokenizer whose tokens never cross white space."""
+    """The JSON text of a tokenizer whose tokens keep to the cuts."""
     with open(path, encoding="utf-8") as file:
         text = file.read()
     spec = json.loads(text)
     splits = [s for s in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if s["type"] == "Split"]
-    # its pattern keeps no white space: \s stands in it as [^\s only
-    dropped = any(s["behavior"] == "Removed" and s["invert"] and r"\s" not in s["pattern"].get("Regex", r"\s").replace(r"[^\s", "")
-                  for s in splits)
-    plain = {n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])} <= {"NFC", "Replace", "Lowercase"}
-    added = all(not any(map(str.isspace, t["content"])) and not t["lstrip"] and not t["rstrip"] for t in spec["added_tokens"])
-    if not (dropped and plain and added and spec["post_processor"] is None):
-        raise ValueError("only tokenizers that drop white space before they merge")
+    words = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d", r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"}
+    cut = any(s["behavior"] == "Removed" and s["invert"] and set(s["pattern"].get("Regex", "").split("|")) == words for s in splits)
+    steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    special = all(t["content"].startswith(SPECIAL.decode()) and not t["normalized"] for t in spec["added_tokens"])
+    ends = spec["model"].get("end_of_word_suffix")
+    if not (cut and steps == ["NFC", "Replace", "Lowercase"] and special and ends and spec["post_processor"] is None):
+        raise ValueError("only tokenizers that lower the text, drop white space and split words from digits and signs")
     return text
 
 
+class PieceTable:
+    """Numbers of pieces of up to 16 bytes, kept whole as two 64-bit words
+    and their length in an open hash table."""
+
+    def __init__(self, bits: int):
+        self.shift = np.uint64(64 - bits)
+        slots = (1 << bits) + 4096  # the last ones move on into the rest
+        self.left, self.right = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.size = np.zeros(slots, np.uint8)  # 0: empty
+        self.number = np.zeros(slots, np.int32)
+
+    def _slots(self, left: np.ndarray, right: np.ndarray, size: np.ndarray) -> np.ndarray:
+        mixed = flat.mix64(left ^ flat.mix64(right + size.astype(np.uint64)))
+        return (mixed >> self.shift).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The number of each piece, or -1."""
+        out = np.full(len(left), -1, np.int64)
+        slot, open_ = self._slots(left, right, size), np.arange(len(left))
+        while len(open_):
+            held = self.size[slot]
+            found = (held == size[open_]) & (self.left[slot] == left[open_]) & (self.right[slot] == right[open_])
+            out[open_[found]] = self.number[slot[found]]
+            on = ~found & (held > 0)
+            open_, slot = open_[on], slot[on] + 1
+        return out
+
+    def add(self, left: np.ndarray, right: np.ndarray, size: np.ndarray, number: np.ndarray) -> None:
+        """Put in distinct pieces that are not in the table."""
+        slot, todo = self._slots(left, right, size), np.arange(len(left))
+        while len(todo):
+            free = np.flatnonzero(self.size[slot] == 0)
+            at, first = np.unique(slot[free], return_index=True)
+            put = todo[free[first]]
+            self.left[at], self.right[at], self.size[at], self.number[at] = left[put], right[put], size[put], number[put]
+            on = np.ones(len(todo), bool)
+            on[free[first]] = False
+            todo, slot = todo[on], slot[on]
+            slot = slot + (self.size[slot] > 0)
+
+
 class PieceIds:
-    """Ids of pieces between white space, each encoded once."""
+    """Ids of pieces, each encoded once."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the task is the unit of parallel work
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(spec)
+        self.whole = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        # the same merges for words that need no other step
+        self.merges_only = None, pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = json.loads(spec)["model"]["end_of_word_suffix"]
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends_word[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
         self.forget()
 
+    @staticmethod
+    def of_process(spec: str) -> PieceIds:
+        """The one of this Python worker: Spark uses a worker for many tasks,
+        but unpickles this module for each, so it is kept beside the modules."""
+        kept = sys.modules.setdefault("_kept_piece_ids", types.ModuleType("_kept_piece_ids"))
+        if getattr(kept, "spec", None) != spec:
+            kept.spec, kept.encoder = spec, PieceIds(spec)
+        return kept.encoder
+
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.held_bytes = 0
-        self.ids: list[np.ndarray] = []
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        for at in range(0, len(pieces), NEW_AT_ONCE):
-            some = pieces[at : at + NEW_AT_ONCE]
-            texts = [p.decode("utf-8", "replace") for p in some]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.known[piece] = len(self.ids)
-                self.ids.append(np.array(found.ids, np.int32))
-
-    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and how many each piece has."""
-        if len(self.known) > CACHE_WORDS or self.held_bytes > CACHE_BYTES:
+        self.table = PieceTable(TABLE_BITS)
+        self.long: dict[bytes, int] = {}
+        self.long_bytes = 0
+        self.known = 0
+        self.ids, self.ends = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
+
+    def _words(self, texts: list[str]) -> tuple[list[int], np.ndarray] | None:
+        """Ids and their numbers, if each text is one word."""
+        ids = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids
+        ends = np.flatnonzero(self.ends_word[ids])
+        return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(texts) else None
+
+    def _each(self, texts: list[str]) -> tuple[list[int], np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [i for ids in found for i in ids], np.array([len(ids) for ids in found], np.int64)
+
+    def _learn(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Encode new pieces by the library; their numbers."""
+        raw = low.tobytes()
+        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        kinds = CLASS[low[flat.positions(starts, ends - starts)]]
+        before = np.cumsum(ends - starts) - (ends - starts)
+        least, most = np.minimum.reduceat(kinds, before), np.maximum.reduceat(kinds, before)
+        plain = (least == most) & (least > 0) & ((least != 2) | (ends - starts == 1))
+        letters = ~plain & np.fromiter((t.isalpha() for t in texts), bool, len(texts))
+        numbers = np.zeros(len(texts), np.int64)
+        others = ~plain & ~letters
+        for chosen, steps in ((plain, self.merges_only), (letters, self.whole), (others, self.whole)):
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = steps
+            at = np.flatnonzero(chosen)
+            for some in (at[k : k + NEW_AT_ONCE] for k in range(0, len(at), NEW_AT_ONCE)):
+                own = [texts[k] for k in some]
+                found = None if chosen is others else self._words(own)
+                numbers[some] = self._keep(*(found or self._each(own)))
+        return numbers
+
+    def _keep(self, ids: list[int], counts: np.ndarray) -> np.ndarray:
+        first, held = self.known, int(self.ends[self.known])
+        while held + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while first + len(counts) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[held : held + len(ids)] = ids
+        self.known = first + len(counts)
+        self.ends[first + 1 : self.known + 1] = held + np.cumsum(counts)
+        return np.arange(first, self.known)
+
+    def encode(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all pieces one after another, and how many each has."""
+        if self.known > CACHE_WORDS or self.long_bytes > CACHE_BYTES:
             self.forget()
-        new = set(pieces).difference(self.known)
-        self._learn(sorted(new))
-        self.held_bytes += sum(map(len, new))
-        codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        used, code = np.unique(codes, return_inverse=True)
-        parts = [self.ids[u] for u in used]
-        lengths = np.array([len(p) for p in parts], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        table = np.concatenate([np.zeros(0, np.int32), *parts])
-        ids = table[flat.positions(starts[code], lengths[code])]
-        for piece in [p for p in new if len(p) > LONG_PIECE]:
-            del self.known[piece]
-        return ids, lengths[code]
+        sizes = ends - starts
+        number = np.zeros(len(starts), np.int64)
+        short = sizes <= 16
+        number[short] = self._short(low, starts[short], ends[short])
+        number[~short] = self._long(low, starts[~short], ends[~short])
+        begins = self.ends[number]
+        counts = self.ends[number + 1] - begins
+        return self.ids[flat.positions(begins, counts)], counts
+
+    def _short(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        padded = np.concatenate([low, np.zeros(16, np.uint8)])
+        words = np.ndarray(len(low) + 9, np.dtype("<u8"), padded, 0, (1,))  # the 8 bytes from each place on
+        sizes = (ends - starts).astype(np.uint8)
+        left = words[starts] & MASKS[np.minimum(sizes, 8)]
+        right = words[starts + 8 * (sizes > 8)] & MASKS[np.where(sizes > 8, sizes - 8, 0)]
+        number = self.table.find(left, right, sizes)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            keys = np.stack([left[missing], right[missing], sizes[missing].astype(np.uint64)])
+            order = np.lexsort(keys)
+            new = np.concatenate([[True], (keys[:, order[1:]] != keys[:, order[:-1]]).any(axis=0)])
+            first = missing[order[new]]
+            learned = self._learn(low, starts[first], ends[first])
+            self.table.add(left[first], right[first], sizes[first], learned)
+            number[missing[order]] = learned[np.cumsum(new) - 1]
+        return number
+
+    def _long(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        pieces = [low[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        new: dict[bytes, int] = {}
+        for k, piece in enumerate(pieces):
+            if piece not in self.long:
+                new.setdefault(piece, k)
+        if new:
+            at = np.fromiter(new.values(), np.int64, len(new))
+            self.long.update(zip(new, self._learn(low, starts[at], ends[at]).tolist(), strict=True))
+            self.long_bytes += sum(map(len, new))
+        return np.fromiter(map(self.long.__getitem__, pieces), np.int64, len(pieces))
+
+
+def cut_texts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lowered bytes of a slice, and the starts and ends of the pieces."""
+    low = LOWER[data]
+    kinds = CLASS[low]
+    parted = np.ones(len(low) + 1, bool)  # between bytes k - 1 and k
+    parted[1:-1] = CUT[kinds[:-1] * 4 + kinds[1:]]
+    raw = data.tobytes()
+    if SPECIAL in raw:
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            if SPECIAL in raw[a:b]:
+                parted[a:b], low[a:b] = False, data[a:b]
+    blank = flat.SPACE[low]
+    parted[offsets] = True
+    parted[:-1] |= blank
+    parted[1:] |= blank
+    at = np.flatnonzero(parted)
+    filled = ~blank[at[:-1]]
+    return low, at[:-1][filled], at[1:][filled]
 
 
 def encode_slice(encoder: PieceIds, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all documents of a slice, each with the end id, and the number
     of each."""
-    raw = data.tobytes()
-    texts = [raw[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-    ids, lengths = encoder.encode([p for t in texts for p in t])
-    first = np.cumsum([0, *map(len, texts)])
-    before = np.concatenate([[0], np.cumsum(lengths)])
-    ends = before[first[1:]]
-    n_tokens = np.diff(before[first]) + 1
-    return np.insert(ids, ends, np.int32(end_id)), n_tokens
+    low, starts, ends = cut_texts(data, offsets)
+    ids, lengths = encoder.encode(low, starts, ends)
+    before = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, offsets)]
+    return np.insert(ids, before[1:], np.int32(end_id)), np.diff(before) + 1
 
 
 def encoded(docs: DataFrame, spec: str, end_id: int = END_ID) -> DataFrame:
@@ -128,9 +282,9 @@ def encoded(docs: DataFrame, spec: str, end_id: int = END_ID) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, first = PieceIds(shared.value), 0
+        encoder, first = PieceIds.of_process(shared.value), 0
         for batch in batches:
-            for row, end, data, offsets in flat.text_slices(batch.column(2), 1 << 20):
+            for row, end, data, offsets in flat.text_slices(batch.column(2), SLICE_BYTES):
                 ids, n_tokens = encode_slice(encoder, data, offsets, end_id)
                 ends = np.cumsum(n_tokens)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
@@ -228,9 +382,9 @@ def digests(files: TokenFiles) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(4)
-            ids = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)) * 4
-            crc = [zlib.crc32(ids[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
+            ids = memoryview(pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype("<i4", copy=False))
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
+            crc = [zlib.crc32(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=False)]
             yield pa.record_batch([*batch.columns[:4], pa.array(crc, pa.int64())], names=[*COUNTERS, "ids_crc32"])
 
     # the ids end here: only a few bytes a document meet the table of parts
