@@ -1,26 +1,22 @@
 """The ledger of a layered run: which layers are written, with the
 fingerprint of their rows and that of what they were built from.
 
-An entry is one row under ``<root>/_ledger/<layer>``. It is set back when
-the write of its layer begins and completed when all of it is there, so a
-run that stops in between leaves an open entry. A layer need not be built
-again if its entry is complete and names the present inputs.
+An entry is a small file ``<root>/_ledger/<layer>.json``. It is taken away
+when the write of its layer begins and put back when all of it is there, so
+a run that stops in between leaves none. A layer need not be built again if
+it has an entry that names the present inputs.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.session import delete_path, read_text, write_text
 from tillroll.sources.fingerprints import METRICS, fingerprint
-from tillroll.sources.layers import read_layer, write_layer
-
-ENTRY_SCHEMA = (
-    "Layer string, Finished boolean, Inputs string, Rows bigint, HashA decimal(38,0), HashB decimal(38,0), Columns string"
-)
 
 
 @dataclass(frozen=True)
@@ -29,26 +25,19 @@ class Ledger:
     root: str
 
     def _path(self, layer: str) -> str:
-        return f"{self.root}/{layer}"
-
-    def _put(self, **entry) -> None:
-        write_layer(self.spark.createDataFrame([entry], ENTRY_SCHEMA).coalesce(1), self._path(entry["Layer"]))
+        return f"{self.root}/{layer}.json"
 
     def entry(self, layer: str) -> dict | None:
-        """The completed entry of a layer."""
-        try:
-            row = read_layer(self.spark, self._path(layer)).first()
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-        return row.asDict() if row is not None and row["Finished"] else None
+        """Inputs, Columns and the fingerprint of a finished layer."""
+        text = read_text(self.spark, self._path(layer))
+        return text and json.loads(text)
 
     def begin(self, layer: str) -> None:
-        self._put(Layer=layer, Finished=False, Inputs=None, Rows=None, HashA=None, HashB=None, Columns=None)
+        delete_path(self.spark, self._path(layer))
 
     def finish(self, layer: str, inputs: str | None, values: dict, df: DataFrame) -> None:
-        self._put(Layer=layer, Finished=True, Inputs=inputs, **{m: values[m] for m in METRICS}, Columns=df.schema.simpleString())
+        entry = {"Layer": layer, "Inputs": inputs, "Columns": df.schema.simpleString(), **{m: int(values[m]) for m in METRICS}}
+        write_text(self.spark, self._path(layer), json.dumps(entry))
 
     def identity(self, layer: str) -> str | None:
         """The fingerprint of a finished layer as text: what the layers
@@ -67,7 +56,7 @@ class Ledger:
         rows = []
         for layer, df in layers.items():
             want = self.entry(layer) or dict.fromkeys(METRICS)
-            written = [F.lit(want[m]).cast("decimal(38,0)") for m in METRICS]
+            written = [F.lit(None if want[m] is None else str(want[m])).cast("decimal(38,0)") for m in METRICS]
             rows.append(fingerprint(df).select(
                 F.lit(layer).alias("Layer"), written[0].cast("bigint").alias("WrittenRows"), F.col("Rows").alias("FileRows"),
                 F.coalesce((F.col("HashA") == written[1]) & (F.col("HashB") == written[2]), F.lit(False)).alias("SameRows"),

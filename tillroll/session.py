@@ -113,10 +113,39 @@ def scratch_scope(spark: SparkSession, name: str) -> Iterator[str]:
         delete_path(spark, root)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system it lies."""
+def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it lies."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, there whole or not at all."""
+    files, target = _file_system(spark, path)
+    _, part = _file_system(spark, f"{path}.part-{uuid.uuid4().hex[:8]}")
+    out = files.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(target, False)
+    if not files.rename(part, target):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small text file; None if there is none."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def materialize(df, name: str):
