@@ -9,9 +9,8 @@ Plan shape, with scale in mind:
   The daily, customer and country marts all re-aggregate this much
   smaller table; their distinct counts (Orders, Customers) are exact
   because the set of invoices and customers per group is unchanged.
-* The product mart needs StockCode, so it aggregates the lines itself,
-  to (StockCode, Invoice, Description) by hash aggregation and from there
-  to the product: the string min never sees single lines.
+* The product mart needs StockCode, so it aggregates the lines itself, to
+  (StockCode, Invoice) and from there to the product.
 * Ranks go through ``rank_rows`` (range-partitioned);
   top-k reports use a distributed top-k instead of ranking every row.
 * Year, Month and MonthName are functions of SaleDate: the daily mart
@@ -116,17 +115,20 @@ def product_unranked(silver: DataFrame) -> DataFrame:
     Description: the smallest non-empty description, else '' if only
     blank ones exist, else null; deterministic unlike "first".
     """
-    # One scan: a hash aggregate shrinks the lines to (StockCode, Invoice,
-    # Description) and spreads a hot product over all tasks; invoices,
-    # sums and the smallest description come from that table.
+    # One scan and one shuffle of the size of the lines: per (StockCode,
+    # Invoice) the sums and the smallest descriptions, combined map-side, so
+    # a hot product is spread over its invoices; a product then counts its
+    # rows, without a distinct.
     lines = silver.select(
         "StockCode", "Invoice", "Description", *[expr.alias(name) for name, expr in line_metrics().items()]
     )
-    grain = lines.groupBy("StockCode", "Invoice", "Description").agg(*partial_sums())
     text = F.col("Description")
+    grain = lines.groupBy("StockCode", "Invoice").agg(
+        *partial_sums(), F.min(F.nullif(text, F.lit(""))).alias("worded"), F.min(text).alias("blank")
+    )
     agg = grain.groupBy("StockCode").agg(
-        F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
-        F.coalesce(F.min(F.nullif(text, F.lit(""))), F.min(text)).alias("Description"),
+        F.count("Invoice").cast(T.LongType()).alias("Orders"),
+        F.coalesce(F.min("worded"), F.min("blank")).alias("Description"),
         *mart_sums("UnitsSold"),
     )
     return agg.withColumns(
