@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -319,6 +320,21 @@ def test_pipeline_stages(docs, labels, spark, tmp_path):
     assert now.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and now.count() > 0
 
 
+def test_toxicity_stage_judges_rows_not_ids(spark, monkeypatch):
+    """A toxic row without an id goes; the clean rows of its id stay."""
+    rows = [(None, "bad bad", 1), (None, "fine", 2), (7, "bad", 3), (7, "fine", 4), (7, "fine", 4), (8, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxicity int")
+    monkeypatch.setattr(toxicity, "train_model", lambda *a: toxicity.Model(np.zeros(toxicity.BUCKETS, np.float32), 0.0, 1.0, 0.0, 0.0))
+    monkeypatch.setattr(toxicity.Model, "score", lambda self, texts: np.array([0.9 if "bad" in t else 0.1 for t in texts.to_pylist()]))
+    clean = toxicity.clean_documents(docs, None, None)
+    assert clean.columns == docs.columns and _rows(clean) == sorted([r for r in rows if "bad" not in (r[1] or "")], key=str)
+
+
+def test_held_out_is_never_null(spark):
+    got = spark.createDataFrame([(None,), (3,)], "doc_id bigint").select(queries.held_out(5, 0), queries.fold(5).alias("r")).collect()
+    assert [(r[0], r[1]) for r in got] == [(False, None), (zlib.crc32(b"3") % 5 == 0, zlib.crc32(b"3") % 5)]
+
+
 @pytest.mark.parametrize("name", ["op6_exact_dedup", "op9_source_mixing"])
 def test_query_matches_its_sql(spark, tmp_path, name):
     import duckdb

@@ -17,7 +17,8 @@ Scoring covers every whole text.
 Cases: null and empty texts have all counts 0, are a value of the features
 like any other and so get a score; null or repeated labels (the smallest
 counts) are harmless; without labels of both classes every score is the
-base rate, 0.5 without any label.
+base rate, 0.5 without any label. A row without an id is scored by its text
+and never learned from.
 """
 
 from __future__ import annotations

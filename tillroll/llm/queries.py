@@ -33,6 +33,11 @@ def fold(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """Has doc_id this remainder? A null id has none: false."""
+    return F.coalesce(fold(modulus) == remainder, F.lit(False)).alias("held_out")
+
+
 def piece_model() -> bytes:
     return piece_codec.load_model(public_tokenizers.path(PIECE_MODEL))
 
@@ -44,7 +49,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     scored = quality_gam.scored_documents(docs, labels, fold(5) != 0)
-    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(5, 0), "score", "predicted")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,11 +72,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     scored = toxicity.scored_documents(docs, labels, fold(3) != 1)
-    return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(3, 1), "score", "predicted")
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(read(spark, sf_dir, "documents"), fold(5) != 1)
+    return lm_scoring.score(read(spark, sf_dir, "documents"), ~held_out(5, 1))
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,8 @@ words of its batch.
 Cases: null and empty texts have no segment and get the score of an empty
 bag (the bias alone, at most the base rate); labels that are null, repeated
 (the largest counts) or of unknown ids are harmless; without any labels of
-one class every score is the base rate.
+one class every score is the base rate. A row without an id is scored by its
+text and never learned from; rows of one id are each judged by their own.
 """
 
 from __future__ import annotations
@@ -44,8 +45,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm import flat
+from tillroll.session import free_names
 
 BUCKETS = 1 << 18
 NGRAMS = (3, 4, 5)
@@ -305,9 +308,13 @@ def train_model(docs: DataFrame, labels: DataFrame, train_rows) -> Model:
     return fit(rows.column("text").to_pylist(), rows.column("mark").to_numpy())
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and the probability that the whole text is toxic."""
+def score(docs: DataFrame, model: Model, carry: list[str] | None = None, name: str = "score") -> DataFrame:
+    """The probability that the whole text is toxic, beside the columns to
+    ``carry`` (default: doc_id as bigint)."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # 1 MB
+    carried = [F.col("doc_id").cast("bigint").alias("doc_id")] if carry is None else [F.col(f"`{c}`") for c in carry]
+    kept = docs.select(*carried)
+    rows = kept if "text" in kept.columns else docs.select(*carried, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(**shared.value)
@@ -315,11 +322,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             lowered = pc.utf8_lower(pc.fill_null(batch.column("text"), ""))
             for row, end, _, _ in flat.text_slices(lowered):
                 scores = own.score(lowered.slice(row, end - row))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, end - row), pa.array(scores, pa.float64())], ["doc_id", "score"])
+                columns = [batch.column(c).slice(row, end - row) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], [*names, name])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, score double")
+    names = kept.columns
+    return rows.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, train_rows) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, each judged by its own
+    text, whatever its id."""
+    name, = free_names(docs.columns, "toxicity")
+    scored = score(docs, train_model(docs, labels, train_rows), docs.columns, name)
+    return scored.filter(F.col(name) < THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def scored_documents(docs: DataFrame, labels: DataFrame, train_rows) -> DataFrame:
