@@ -7,8 +7,9 @@ of ``documents``. Labels and weights come from ``sf_dir`` and constants of
 the registered queries.
 
 Cases (null or empty texts, repeated rows, further columns, empty tables)
-are those of the operators. Rows without an id pass the toxicity stage
-(they are never learned from) and keep their own groups.
+are those of the operators. The toxicity stage judges every row by its own
+text, with or without an id; the near-copy stage goes by doc_id and keeps
+rows without one.
 """
 
 from __future__ import annotations
@@ -23,9 +24,7 @@ from tillroll.session import materialize
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     labels = queries.read(spark, sf_dir, "labels")
-    scored = toxicity.scored_documents(docs, labels, queries.fold(3) != 1)
-    toxic = scored.filter("predicted = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(*docs.columns)
+    return toxicity.clean_documents(docs, labels, queries.fold(3) != 1)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
