@@ -103,13 +103,12 @@ def word_grams(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
 def subwords(column: pa.Array) -> Words:
     """The words of a text column. Texts are hashed slice by slice, and the
     distinct words taken apart in portions, which bounds the memory."""
-    hashes, counts, own_hashes, own_raw, own_lengths = [], [], [], [], []
+    local, counts, own_hashes, own_raw, own_lengths = [], [], [], [], []
     for _, _, data, offsets in flat.text_slices(column, 1 << 20):
         starts, ends, first = flat.words(data, offsets)
-        slice_hashes = flat.piece_hashes(data, starts, ends)
-        distinct, sample = np.unique(slice_hashes, return_index=True)
+        distinct, sample, number = np.unique(flat.piece_hashes(data, starts, ends), return_index=True, return_inverse=True)
         lengths = (ends - starts)[sample]
-        hashes.append(slice_hashes)
+        local.append(number.astype(np.int32))
         counts.append(np.diff(first))
         own_hashes.append(distinct)
         own_raw.append(data[flat.positions(starts[sample], lengths)])
@@ -117,16 +116,25 @@ def subwords(column: pa.Array) -> Words:
     first_word = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, np.int64)
     if first_word[-1] == 0:
         return Words(np.zeros(0, np.int64), first_word, np.zeros(0, np.int32), np.zeros(0, np.int64))
-    _, which = np.unique(np.concatenate(hashes), return_inverse=True)
-    _, pick = np.unique(np.concatenate(own_hashes), return_index=True)
+    _, pick, number = np.unique(np.concatenate(own_hashes), return_index=True, return_inverse=True)
+    begins = np.cumsum([0, *map(len, own_hashes)])
+    which = np.concatenate([number[a + own].astype(np.int32) for a, own in zip(begins, local, strict=False)])
     raw, lengths = np.concatenate(own_raw), np.concatenate(own_lengths)
+    del local, own_hashes, own_raw, own_lengths, number
     before = (np.cumsum(lengths) - lengths)[pick]
     lengths = lengths[pick]
     parts = []
     for a in range(0, len(pick), PORTION):
         own = slice(a, a + PORTION)
         parts.append(word_grams(raw[flat.positions(before[own], lengths[own])], lengths[own]))
-    return Words(which, first_word, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+    gram_counts = np.concatenate([p[1] for p in parts])
+    grams, at = np.empty(int(gram_counts.sum()), np.int32), 0
+    parts.reverse()
+    while parts:  # a portion goes as it is copied
+        part, _ = parts.pop()
+        grams[at : at + len(part)] = part
+        at += len(part)
+    return Words(which, first_word, grams, gram_counts)
 
 
 def segments_of(first_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,14 +240,14 @@ def _train(words: Words, which: np.ndarray, counts: np.ndarray, segments: np.nda
     return table, soft, bias
 
 
-def fit(texts: list[str], toxic: np.ndarray) -> Model:
+def fit(texts: list[str] | pa.Array, toxic: np.ndarray) -> Model:
     """Train on the sampled texts."""
     toxic = np.asarray(toxic, np.int64)
     base = float(toxic.mean()) if len(toxic) else 0.0
     flat_model = Model(np.zeros(BUCKETS, np.float32), _logit(base), 1.0, 0.0, base)
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return flat_model
-    words = subwords(pc.utf8_lower(pa.array(texts, pa.string())))
+    words = subwords(pc.utf8_lower(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())))
     starts, sizes, per_text = segments_of(words.first_word)
     which, counts = distinct_in_segments(words.which, starts, sizes)
     text = np.repeat(np.arange(len(per_text)), per_text)
@@ -305,7 +313,7 @@ def train_model(docs: DataFrame, labels: DataFrame, train_rows) -> Model:
     kept = docs.sparkSession.createDataFrame(ids, "doc_id bigint, mark int")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(kept), "doc_id").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    return fit(rows.column("text").to_pylist(), rows.column("mark").to_numpy())
+    return fit(rows.column("text").combine_chunks(), rows.column("mark").to_numpy())
 
 
 def score(docs: DataFrame, model: Model, carry: list[str] | None = None, name: str = "score") -> DataFrame:
