@@ -2,20 +2,26 @@
 
 Usage: python scripts/plan_report.py [sf_dir] > PLANS.md
 
-Runs each query (so AQE has produced its final plan) and lists, from the
-final physical plan: hash shuffles and their keys, single-partition
-shuffles and what feeds them, broadcasts, reused exchanges, sort-based
-aggregates, top-k and window operators. A single-partition shuffle that
-is not fed by a partial aggregate is flagged.
+Runs each query with Spark's event log on and lists, from the final
+adaptive plan of every job that it ran (the writes of intermediate tables
+and layers included): hash shuffles and their keys, range and
+single-partition shuffles and what feeds them, broadcasts, reused
+exchanges, sort-based aggregates, top-k and window operators. A
+single-partition shuffle that is not fed by a partial aggregate is flagged.
 """
 
 from __future__ import annotations
 
+import glob
+import json
 import os
 import re
 import sys
+import tempfile
 from collections import Counter
 
+from pyspark.sql import SparkSession
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tillroll.session import local_session  # noqa: E402
@@ -27,9 +33,7 @@ def _clean(s: str) -> str:
     return re.sub(r"^[\s:+|-]*(\*\(\d+\) )?", "", s)
 
 
-def final_plan(df) -> list[str]:
-    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
-    lines = plan.splitlines()
+def final_plan(lines: list[str]) -> list[str]:
     if any("== Final Plan ==" in ln for ln in lines):
         out, on = [], False
         for ln in lines:
@@ -44,6 +48,24 @@ def final_plan(df) -> list[str]:
     return lines
 
 
+def logged_plans(folder: str) -> dict[str, list[list[str]]]:
+    """Query name -> final plans of its jobs, from the event log."""
+    names, plans = {}, {}
+    for path in sorted(glob.glob(f"{folder}/*")):
+        with open(path, errors="replace") as f:
+            for line in f:
+                if "physicalPlanDescription" not in line:
+                    continue
+                event = json.loads(line)
+                if event["Event"].endswith("SQLExecutionStart"):
+                    names[event["executionId"]] = event["description"]
+                plans[event["executionId"]] = event["physicalPlanDescription"].splitlines()
+    out: dict[str, list[list[str]]] = {}
+    for k in sorted(plans):
+        out.setdefault(names.get(k, ""), []).append(final_plan(plans[k]))
+    return out
+
+
 def summarize(lines: list[str]) -> dict:
     hashed, single, flags = [], 0, []
     counts = Counter()
@@ -57,13 +79,11 @@ def summarize(lines: list[str]) -> dict:
         elif c.startswith("Exchange SinglePartition"):
             single += 1
             child = next((_clean(x) for x in lines[i + 1:] if _clean(x)), "")
-            if "keys=[_range]" in child:
-                flags.append("rank offsets: one row per range")
-            elif not (child.startswith(("HashAggregate", "SortAggregate")) and "partial_" in child) \
+            if not (child.startswith(("HashAggregate", "SortAggregate")) and "partial_" in child) \
                     and "TakeOrdered" not in child:
                 flags.append(f"UNEXPECTED single partition fed by: {child[:70]}")
         elif c.startswith("Exchange rangepartitioning"):
-            counts["range"] += 1
+            counts["RangeShuffle"] += 1
         for word in ("BroadcastExchange", "ReusedExchange", "SortAggregate", "TakeOrderedAndProject",
                      "Window ", "Expand"):
             if c.startswith(word):
@@ -73,35 +93,44 @@ def summarize(lines: list[str]) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    folder = tempfile.mkdtemp(prefix="tillroll-plans-")
+    spark = SparkSession.builder.config(map={
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{folder}", "spark.eventLog.compress": "false",
+        "spark.eventLog.rolling.enabled": "false", "spark.sql.ui.explainMode": "simple", "spark.sql.maxPlanStringLength": "1000000",
+        "spark.sql.maxMetadataStringLength": "2000", "spark.sql.debug.maxToStringFields": "200", "spark.ui.enabled": "false",
+        "spark.master": "local[8]",
+    }).getOrCreate()
     spark = local_session(cores=8, shuffle_partitions=16)
+    from tillroll.plans import catalog
+
+    queries = catalog.queries()
+    for name, fn in queries.items():
+        spark.sparkContext.setJobDescription(name)
+        fn(spark, sf_dir).collect()
+        print(name, file=sys.stderr, flush=True)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    spark.stop()
+    logged = logged_plans(folder)
+
     print("# Plans of the registered retail queries\n")
-    print(f"Final AQE plans at `{sf_dir}`, `local[8]`, generated by "
+    print(f"Final AQE plans of every job at `{sf_dir}`, `local[8]`, generated by "
           "`scripts/plan_report.py`. Every query starts from the test-table view "
-          "(four joins, broadcast here because the test dimensions are small) and the "
-          "full-row dedup shuffle; the lists below show all shuffles.\n")
+          "(four joins, broadcast here because the test dimensions are small) and most "
+          "from the full-row dedup shuffle. Jobs without a shuffle are only counted.\n")
     print("The expected single-partition shuffles are the final merge of a global aggregate, fed "
-          "by a partial aggregate (one row per task), and the window over the row counts of the "
-          "rank's ranges (one row per range). Anything else is marked UNEXPECTED. "
-          "Ranked marts are aggregated and written before their rank is taken; the `*_unranked` "
-          "rows show that aggregation.\n")
-    print("| Query | Hash shuffles (keys) | Single-partition | Other |")
-    print("|---|---|---:|---|")
-    from tillroll.operators import marts
-    from tillroll.plans import catalog
-
-    extra = {
-        f"{m}_unranked (aggregation of {m} mart)": (
-            lambda spark, sf, f=getattr(marts, f"{m}_unranked"): f(catalog.silver_of(spark, sf)))
-        for m in ("product", "customer", "country")
-    }
-    for name, fn in {**catalog.queries(), **extra}.items():
-        df = fn(spark, sf_dir)
-        df.collect()
-        s = summarize(final_plan(df))
-        other = ", ".join(f"{k} {v}" for k, v in sorted(s["counts"].items()))
-        hashed = "<br>".join(f"`{h}`" for h in s["hash"]) or "—"
-        flag = ("<br>" + "; ".join(s["flags"])) if s["flags"] else ""
-        print(f"| `{name}` | {hashed} | {s['single']} | {other}{flag} |", flush=True)
+          "by a partial aggregate (one row per task). Anything else is marked UNEXPECTED. A rank is "
+          "a `RangeShuffle` (and a sort) in the job that writes its input; the shuffle by `range` after it "
+          "carries one row per range.\n")
+    print("| Query | Jobs | Hash shuffles (keys), job by job | Single-partition | Other |")
+    print("|---|---:|---|---:|---|")
+    for name in queries:
+        jobs = [summarize(p) for p in logged.get(name, [])]
+        counts = sum((j["counts"] for j in jobs), Counter())
+        other = ", ".join(f"{k} {v}" for k, v in sorted(counts.items()))
+        hashed = "<br>".join(dict.fromkeys("; ".join(f"`{h}`" for h in j["hash"]) for j in jobs if j["hash"])) or "—"
+        flags = list(dict.fromkeys(f for j in jobs for f in j["flags"]))
+        flag = ("<br>" + "; ".join(flags)) if flags else ""
+        print(f"| `{name}` | {len(jobs)} | {hashed} | {sum(j['single'] for j in jobs)} | {other}{flag} |", flush=True)
 
 
 if __name__ == "__main__":
