@@ -35,7 +35,7 @@ Tokens: words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end
 per text. Words are identified by 64-bit hashes.
 
 Cases: a null text counts as empty and has the end token only; repeated
-rows are texts of their own; a null id is kept and not trained on; without
+rows are texts of their own; a row whose condition is null is not trained on; without
 training texts all counts are 0; an empty table gives an empty result.
 """
 
