@@ -19,6 +19,7 @@ from tillroll.llm import (
     chat_format, exact_dedup, lm_scoring, lsh_forest, mixing, piece_codec, quality_gam, queries, robust_rules,
     secret_scan, toxicity,
 )
+from tillroll.llm.components import components
 
 WORDS = "the quick brown fox jumps over a lazy dog while many small birds sing songs about old rivers and hills".split()
 
@@ -80,32 +81,55 @@ def _shingles(text):
 
 
 def _links(rows):
-    sets = [(i, _shingles(t)) for i, t in rows if i is not None]
-    out, group = Counter(), {i: i for i, _ in sets}
+    """(id, class, links) of every row; rows without an id count too."""
+    sets, group = [(i, _shingles(t)) for i, t in rows], list(range(len(rows)))
+    out = Counter()
 
-    def find(i):
-        while group[i] != i:
-            i = group[i]
-        return i
+    def find(a):
+        while group[a] != a:
+            a = group[a]
+        return a
 
-    for a in range(len(sets)):
-        for b in range(a):
-            (i, s), (j, t) = sets[a], sets[b]
+    for a, (_, s) in enumerate(sets):
+        for b, (_, t) in enumerate(sets[:a]):
             if s and t and 5 * len(s & t) >= 4 * len(s | t):
                 out[a] += 1
                 out[b] += 1
-                i, j = sorted((find(i), find(j)))
-                group[j] = i
-    return sorted((i, find(i), out[a]) for a, (i, _) in enumerate(sets))
+                group[find(a)] = find(b)
+    least = {}
+    for a, (i, _) in enumerate(sets):
+        least[find(a)] = min((x for x in (i, least.get(find(a))) if x is not None), default=None)
+    return sorted(((i, least[find(a)], out[a]) for a, (i, _) in enumerate(sets)), key=str)
 
 
 def test_jaccard_join_equals_brute_force(docs, spark):
-    got = lsh_forest.join_classes(docs).filter("doc_id IS NOT NULL").select("doc_id", "class_id", "n_links")
-    assert _rows(got) == sorted(_links([(r[0], r[1]) for r in ROWS]), key=str)
+    got = lsh_forest.join_classes(docs).select("doc_id", "class_id", "n_links")
+    assert _rows(got) == _links([(r[0], r[1]) for r in ROWS])
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = lsh_forest.join_classes(table).select("doc_id", "class_id", "n_links")
-    assert _rows(got) == sorted(_links([(r["doc_id"], r["text"]) for r in table.collect()]), key=str)
-    assert lsh_forest.one_of_each(docs).columns == docs.columns
+    assert _rows(got) == _links([(r["doc_id"], r["text"]) for r in table.collect()])
+
+
+def test_links_go_by_text_where_ids_repeat_or_lack(spark):
+    a, b, c = _text(3, 60), _text(5, 60), _text(8, 60)
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (None, "start " + b), (None, c), (None, c), (None, c + " tail"),
+            (4, c + " tail end"), (5, "q w e r"), (None, "q w e r"), (6, None), (None, None), (None, ""), (7, a), (7, a), (7, "other words")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, root int")
+    got = lsh_forest.join_classes(docs).select("doc_id", "class_id", "n_links")
+    assert _rows(got) == _links(rows)
+    left = lsh_forest.one_of_each(docs)
+    assert left.columns == docs.columns
+    # one row of each group; of the texts of 1, each stands for its own
+    assert sorted(r["root"] for r in left.collect()) == [0, 1, 8, 9, 11, 12, 13, 16]
+
+
+def test_components_of_stars_and_chains(spark):
+    """A star with a centre of a large, a small and a middle number."""
+    star = lambda c, low, high: [(c, v) for v in range(low, high) if v != c]
+    edges = star(0, 1, 300) + star(999, 700, 1000) + star(1500, 1400, 1600) + [(k, k + 1) for k in range(2000, 2040)] + [(5, 5)]
+    got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    want = {v: 0 for v in range(1, 300)} | {v: 700 for v in range(701, 1000)} | {v: 1400 for v in range(1401, 1600)}
+    assert got == want | {v: 2000 for v in range(2001, 2041)}
 
 
 def test_a_group_of_many_tiles_keeps_all_links(spark, monkeypatch):
@@ -113,7 +137,7 @@ def test_a_group_of_many_tiles_keeps_all_links(spark, monkeypatch):
     rows = [(k, " ".join(BASE.split()[: 200 - k % 5] + [f"w{k}"])) for k in range(40)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = lsh_forest.join_classes(df).select("doc_id", "class_id", "n_links")
-    assert sorted(map(tuple, got.collect())) == _links(rows)
+    assert _rows(got) == _links(rows)
 
 
 def test_mix(docs):

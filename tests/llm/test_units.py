@@ -6,6 +6,7 @@ import math
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,40 @@ def test_prefix_is_the_longest_that_reaches_the_recall():
     assert 1 - miss(k) >= lsh_forest.RECALL and (k == lsh_forest.DEPTH or 1 - miss(k + 1) < lsh_forest.RECALL)
 
 
+def test_short_texts_stop_at_longer_prefixes():
+    for n in range(1, 25):
+        found = [Fraction(c, n + m - c) for m in range(1, 40) for c in range(1, min(n, m) + 1) if 4 * (n + m - c) <= 5 * c < 5 * (n + m - c)]
+        assert lsh_forest.least_similarity(n) == min(found, default=None)
+        assert (n < lsh_forest.FEWEST) == (not found)
+    sizes = np.arange(lsh_forest.FEWEST, 200)
+    deep = lsh_forest.depths(sizes)
+    assert deep[-1] == lsh_forest.prefix_length() and (deep >= deep[-1]).all() and (deep > deep[-1]).any()
+
+
+def test_forest_meets_what_shares_a_prefix():
+    """Sorted tries against a comparison of all pairs."""
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        n = int(rng.integers(1, 40))
+        labels = rng.integers(0, 2, (n, lsh_forest.DEPTH), dtype=np.uint32)
+        group, sizes = rng.integers(0, 3, n), rng.integers(4, 30, n)
+        order = np.lexsort((*labels.T[::-1], group))
+        labels, group, sizes = labels[order], group[order], sizes[order]
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [n]])
+        good = rng.random((n, n)) < 0.3
+        good |= good.T
+        depth = lsh_forest.depths(sizes)
+        got = lsh_forest.matched(labels, sizes, bounds, np.arange(n), lambda i, j: good[i, j])
+        want = np.arange(n)
+        for _ in range(n):
+            for i in range(n):
+                for j in range(n):
+                    k = min(depth[i], depth[j])
+                    if group[i] == group[j] and good[i, j] and (labels[i, :k] == labels[j, :k]).all():
+                        want[i] = want[j] = min(want[i], want[j])
+        assert (got == want).all()
+
+
 def test_viterbi_in_blocks_equals_viterbi_at_once():
     rng = np.random.default_rng(3)
     model = chat_format.MarkovModel([])

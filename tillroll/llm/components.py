@@ -5,6 +5,11 @@ its smaller ones (Kiveris et al., "Connected Components in MapReduce and
 Beyond"); the edges become stars in a logarithmic number of rounds. A
 round is written to the shared checkpoint folder, which cuts the lineage;
 nothing but a count and a checksum reaches the driver.
+
+The centre of a star has as many rows as its component has nodes. Nodes
+with more rows than an average task are cut into pieces, and their row of
+the other side is repeated once per piece (fewer than two such nodes per
+task, which bounds the broadcast).
 """
 
 from __future__ import annotations
@@ -15,17 +20,24 @@ from pyspark.sql import functions as F
 from tillroll.session import materialize
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("least"))
+def _with_least(edges: DataFrame, rows: int) -> DataFrame:
+    """Every edge with the smallest neighbour of its ``a``; ``rows`` is the
+    number of edges."""
+    limit = max(1, rows // int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    near = edges.groupBy("a").agg(F.min("b").alias("least"), F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("pieces"))
+    hot = near.filter("pieces > 1").select("a", "pieces")
+    piece = F.pmod(F.xxhash64("b"), F.coalesce("pieces", F.lit(1))).cast("int")
+    cut = edges.join(F.broadcast(hot), "a", "left").select("a", "b", piece.alias("piece"))
+    return cut.join(near.select("a", "least", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")), ["a", "piece"])
 
 
-def _round(edges: DataFrame) -> DataFrame:
+def _round(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = _least(both).withColumn("least", F.least("a", "least"))
-    large = both.join(near, "a").filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
-    down = _least(large)
-    small = large.join(down, "a").filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return small.unionByName(down.select("a", F.col("least").alias("b"))).filter("a != b").distinct()
+    large = _with_least(both, 2 * rows).filter("b > a").select(F.col("b").alias("a"), F.least("a", "least").alias("b")).distinct()
+    # the smallest neighbour itself gives the edge from the node to it
+    small = _with_least(large, rows).select(
+        F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b"))
+    return small.filter("a != b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -39,4 +51,4 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             return now.select(F.col("a").alias("id"), F.col("b").alias("root"))
         seen = mark
-        now = materialize(_round(now), "star-edges")
+        now = materialize(_round(now, mark[0]), "star-edges")
