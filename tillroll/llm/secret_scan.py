@@ -9,17 +9,24 @@ always stay. The method adds spans of kind ``random``: runs of at least
    chi-squared uniformity over the alphabet, the number of runs above and
    below its middle, and the serial correlation of neighbours. The three
    p-values are combined by Fisher's method and must reach ``PASS``;
-2. are unlikely as words: the likelihood of the run under the byte
-   frequencies of all words of the corpus against a uniform choice from
-   the alphabet bounds the p-value of "this is a word" by Markov's
-   inequality, min(1, p(words) / p(uniform));
-3. hold a digit and a letter, which every random run of this length does
-   almost surely unless its alphabet has none;
-4. survive Benjamini-Hochberg control at ``FALSE_SHARE``, done apart for
-   each class of length, so that the many short runs do not use up the
-   evidence of the long ones and the other way round.
-
-Byte frequencies, the number of tested runs and the thresholds cover the
+2. are unlikely as words. A model of neighbouring characters, learned from
+   the shorter runs of the corpus and with their ends, gives the likelihood
+   of the run, either as it stands or in the folded case, with a share
+   of ``CASE_CHANGE`` of the neighbouring letters changing case (capitals,
+   joined words). Against a uniform choice from the alphabet (of any length
+   n, with a share of 1 / n (n + 1)) it bounds the p-value of "this is a
+   word" by Markov's inequality, p(words) / p(uniform). So letters count by
+   their neighbours, and no kind of character is asked for. Digits count by
+   the length of their run: a number of n digits has a probability of
+   10^(-n NUMBER_DECAY) at least, so cards, phones and times are numbers (and
+   32 digits are a base span already);
+3. stand out when both are combined (the bound over the battery's p-value:
+   a run that is hardly random must be the more unlikely as a word) under
+   Benjamini-Hochberg control at ``FALSE_SHARE``, done apart for each class
+   of length, so that the many short runs do not use up the evidence of the
+   long ones and the other way round.
+
+Neighbour counts, the number of tested runs and the thresholds cover the
 whole table; they reach the driver as histograms of fixed size.
 
 Cases: a null text counts as empty; an empty text has no spans and its
@@ -50,15 +57,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "random")
 
-SHORTEST = 20
-LENGTH_CLASSES = (20, 24, 32, 48, 64, 128)  # least lengths
+SHORTEST = 16
+LENGTH_CLASSES = (16, 20, 24, 32, 48, 64, 128)  # least lengths
 PASS = 1e-3
 FALSE_SHARE = 0.001
+NUMBER_DECAY = 0.25  # decades per digit
+CASE_CHANGE = 0.125  # share of neighbouring letters
 EVIDENCE_BINS, EVIDENCE_STEP = 400, 0.25  # of -log10 p
 DIGITS, CAPITALS, SMALL = b"0123456789", bytes(range(65, 91)), bytes(range(97, 123))
 ALPHABETS = (  # from the smallest
-    DIGITS, DIGITS + b"abcdef", DIGITS + b"ABCDEF", CAPITALS + b"234567=", DIGITS + SMALL, DIGITS + CAPITALS,
-    DIGITS + CAPITALS + SMALL, DIGITS + CAPITALS + SMALL + b"+/=", DIGITS + CAPITALS + SMALL + b"-_=",
+    DIGITS, DIGITS + b"abcdef", DIGITS + b"ABCDEF", SMALL, CAPITALS, CAPITALS + b"234567=", DIGITS + SMALL, DIGITS + CAPITALS,
+    CAPITALS + SMALL, DIGITS + CAPITALS + SMALL, DIGITS + CAPITALS + SMALL + b"+/=", DIGITS + CAPITALS + SMALL + b"-_=",
     DIGITS + CAPITALS + SMALL + b"+/-_=",
 )
 _TOKEN = flat.byte_table(ALPHABETS[-1])
@@ -68,7 +77,12 @@ for _k, _a in enumerate(ALPHABETS):
     _PLACE[_k, list(_a)] = np.arange(len(_a))
 _SIZE = np.array([len(a) for a in ALPHABETS], np.float64)
 _HEX_BYTE = flat.byte_table(DIGITS + b"abcdef")
-_LETTER, _DIGIT = flat.byte_table(CAPITALS + SMALL), flat.byte_table(DIGITS)
+_SMALL, _CAPITAL = flat.byte_table(SMALL), flat.byte_table(CAPITALS)
+END = len(ALPHABETS[-1])  # stands before and after every run
+_SYMBOL = np.full(256, END, np.int64)
+_SYMBOL[list(ALPHABETS[-1])] = np.arange(END)
+_FOLD = np.arange(END + 1)
+_FOLD[_SYMBOL[list(CAPITALS)]] = _SYMBOL[list(SMALL)]
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -136,11 +150,39 @@ def battery(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return np.exp(-x) * (1 + x + x * x / 2), alphabet
 
 
-def evidence(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, alphabet: np.ndarray, log_freq: np.ndarray) -> np.ndarray:
+def word_models(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability of a symbol after another (add one), as counted
+    and in the folded case."""
+    folded = np.zeros_like(counts)
+    np.add.at(folded, (_FOLD[:, None], _FOLD[None, :]), counts)
+    kinds = len(np.unique(_FOLD))
+    plain = np.log10((counts + 1) / (counts.sum(1, keepdims=True) + len(counts)))
+    return plain, np.log10((folded + 1) / (folded.sum(1, keepdims=True) + kinds))
+
+
+def evidence(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, alphabet: np.ndarray, models: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """-log10 of the bound on the p-value of "these are words"."""
     lengths = ends - starts
-    words = flat.segment_sums(log_freq[data[flat.positions(starts, lengths)]], lengths)
-    return np.maximum(0.0, -lengths * np.log10(_SIZE[alphabet]) - words)
+    chars = data[flat.positions(starts, lengths)]
+    first = np.cumsum(lengths) - lengths
+    symbols = _SYMBOL[chars]
+    before = np.concatenate([[END], symbols[:-1]])
+    before[first] = END
+    last = symbols[first + lengths - 1]
+    plain, folded = models
+    as_is = flat.segment_sums(plain[before, symbols], lengths) + plain[last, END]
+    one = flat.segment_sums(folded[_FOLD[before], _FOLD[symbols]], lengths) + folded[_FOLD[last], END]
+    # the case of two letters beside each other changes or stays
+    letter, capital = _SMALL[chars] | _CAPITAL[chars], _CAPITAL[chars]
+    both = np.concatenate([[False], letter[1:] & letter[:-1]])
+    both[first] = False
+    changed = both & np.concatenate([[False], capital[1:] != capital[:-1]])
+    case = np.where(changed, np.log10(CASE_CHANGE), np.log10(1 - CASE_CHANGE)) * both
+    words = np.maximum(as_is, one + flat.segment_sums(case, lengths))
+    digits = flat.segment_sums((~_MEMBER[0][chars]).astype(np.int64), lengths) == 0
+    words = np.where(digits, np.maximum(words, -(1 + NUMBER_DECAY) * lengths), words)
+    uniform = -lengths * np.log10(_SIZE[alphabet]) - np.log10(lengths * (lengths + 1.0)) - np.log10(len(ALPHABETS))
+    return np.maximum(0.0, uniform - words)
 
 
 def length_class(lengths: np.ndarray) -> np.ndarray:
@@ -164,24 +206,35 @@ def cutoffs(histogram: np.ndarray) -> np.ndarray:
 # --- the jobs ----------------------------------------------------------------------
 
 
-def byte_frequencies(docs: DataFrame) -> np.ndarray:
-    """log10 frequency of each byte among all token characters (add one)."""
+def neighbour_counts(docs: DataFrame) -> np.ndarray:
+    """How often each symbol follows each other one in the runs of all texts
+    that are too short to be tested."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256, np.int64)
+        total = np.zeros((END + 1) ** 2, np.int64)
         for batch in batches:
-            for _, _, data, _ in flat.text_slices(batch.column("text")):
-                total += np.bincount(data[_TOKEN[data]], minlength=256)
-        yield pa.RecordBatch.from_pydict({"byte": pa.array(np.arange(256, dtype=np.int32)), "n": pa.array(total)})
-
-    rows = docs.select("text").mapInArrow(run, "byte int, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    n = np.ones(256)
-    for r in rows:
-        n[r["byte"]] += r["n"]
-    return np.log10(n / n[_TOKEN].sum())
-
-
-def _scan_slice(data: np.ndarray, offsets: np.ndarray, log_freq: np.ndarray):
+            for _, _, data, offsets in flat.text_slices(batch.column("text")):
+                starts, ends = flat.runs(_TOKEN[data], offsets)
+                short = ends - starts < SHORTEST
+                starts, ends = starts[short], ends[short]
+                if len(starts):
+                    symbols = _SYMBOL[data[flat.positions(starts, ends - starts)]]
+                    # every run with END after it
+                    at = np.cumsum(ends - starts)
+                    symbols = np.insert(symbols, at, END)
+                    before = np.concatenate([[END], symbols[:-1]])
+                    total += np.bincount(before * (END + 1) + symbols, minlength=len(total))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"pair": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen])})
+
+    rows = docs.select("text").mapInArrow(run, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros((END + 1) ** 2)
+    for r in rows:  # at most one per pair of symbols
+        counts[r["pair"]] = r["n"]
+    return counts.reshape(END + 1, END + 1)
+
+
+def _scan_slice(data: np.ndarray, offsets: np.ndarray, models: tuple[np.ndarray, np.ndarray]):
     """Per text its base spans, and its tested runs as rows (text, start,
     end in code points, length class, evidence bin)."""
     n = len(offsets) - 1
@@ -201,12 +254,10 @@ def _scan_slice(data: np.ndarray, offsets: np.ndarray, log_freq: np.ndarray):
     if not len(starts):
         return spans, [np.zeros(0, np.int64)] * 5
     lengths = ends - starts
-    chars = data[flat.positions(starts, lengths)]
-    mixed = (flat.segment_sums(_LETTER[chars].astype(np.int64), lengths) > 0) & (flat.segment_sums(_DIGIT[chars].astype(np.int64), lengths) > 0)
     p, alphabet = battery(data, starts, ends)
-    found = evidence(data, starts, ends, alphabet, log_freq)
-    bins = np.minimum(found / EVIDENCE_STEP, EVIDENCE_BINS - 1).astype(np.int64)
-    bins[(p < PASS) | ~mixed] = 0  # tested, and no discovery
+    found = evidence(data, starts, ends, alphabet, models) + np.log10(np.maximum(p, 1e-300))
+    bins = np.clip(found / EVIDENCE_STEP, 0, EVIDENCE_BINS - 1).astype(np.int64)
+    bins[p < PASS] = 0  # tested, and no discovery
     text = np.searchsorted(offsets, starts, side="right") - 1
     heads = np.concatenate([[0], np.cumsum(~flat.CONTINUATION[data])])
     start = heads[starts] - heads[offsets[text]]
@@ -218,12 +269,12 @@ def _scan_slice(data: np.ndarray, offsets: np.ndarray, log_freq: np.ndarray):
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, base (list of kind:start:end), tested runs (classes, bins and
     spans), one row per document."""
-    log_freq = byte_frequencies(docs)
+    models = word_models(neighbour_counts(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in flat.text_slices(batch.column("text")):
-                spans, (text, start, stop, classes, bins) = _scan_slice(data, offsets, log_freq)
+                spans, (text, start, stop, classes, bins) = _scan_slice(data, offsets, models)
                 at = np.searchsorted(text, np.arange(end - row + 1))
                 lists = lambda v: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(v.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
