@@ -331,7 +331,8 @@ def classified(docs: DataFrame) -> DataFrame:
     width = groups.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("width"))
     members = materialize(everyone.join(width, "root").join(reps.select("rep", "copies", *TEXT), "rep"), "forest-members")
     texts = docs.select(*text_names(), "text")
-    bodies = texts.join(members, same(texts, members, TEXT)).select("rep", "root", "width", "copies", "text").dropDuplicates(["rep"])
+    # one plan at every size: the texts are shuffled once by their names
+    bodies = texts.join(members.hint("merge"), same(texts, members, TEXT)).select("rep", "root", "width", "copies", "text").dropDuplicates(["rep"])
     tiles = tiled(bodies, "root", "width", "rep").select(*TILE_KEYS, "block", "rep", "copies", "text")
     verified = materialize(_by_tile(tiles, "rep").mapInArrow(_verified, "rep bigint, links bigint, root bigint"), "forest-links")
     final = components(verified.select(F.col("rep").alias("a"), F.col("root").alias("b")))
