@@ -8,8 +8,8 @@ the registered queries.
 
 Cases (null or empty texts, repeated rows, further columns, empty tables)
 are those of the operators. The toxicity stage judges every row by its own
-text, with or without an id; the near-copy stage goes by doc_id and keeps
-rows without one.
+text, with or without an id; the near-copy stage goes by id and text, so a
+row without an id goes only if a linked row stays.
 """
 
 from __future__ import annotations
