@@ -5,14 +5,17 @@ runs in a single task. That is fine for a table whose size is bounded
 (``rank_global``: the rows of a top-k report) but not for one that grows
 with the data. ``rank_rows`` takes ranks from row positions, at every size:
 
-1. range-partition the rows on the *whole* sort key (e.g. NetRevenue and
+1. write the rows once to the shared checkpoint folder: dealing them out by
+   ranges reads them twice (a sample for the bounds, then the rows), and what
+   made them, an aggregate over the lines, would run twice,
+2. range-partition the rows on the *whole* sort key (e.g. NetRevenue and
    StockCode, so a revenue shared by a third of all rows is still split),
-   sort each range, and write it once to the shared checkpoint folder with
-   the number of its range and the position of each row in it. Spark numbers
-   the rows of a partition in their order; no window and no second sort,
-2. take the number of rows of each range from the written positions: one
+   sort each range, and write it with the number of its range and the
+   position of each row in it. Spark numbers the rows of a partition in their
+   order; no window and no second sort,
+3. take the number of rows of each range from the written positions: one
    number per range, and ``ranges`` of them whatever the size of the input,
-3. rank = rows of all earlier ranges + position.
+4. rank = rows of all earlier ranges + position.
 
 Ranges follow the order of the key, so the result equals the single-task
 ``row_number``. The write pins the assignment: a task that runs again
@@ -66,7 +69,7 @@ def rank_rows(df: DataFrame, keys: list[SortKey], rank_col: str, *, ranges: int
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [k.order() for k in keys]
     in_range, place, range_, before = free_names([*df.columns, rank_col], "range", "place", "of_range", "before")
-    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumns({
+    placed = materialize(df, "unranked").repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumns({
         in_range: F.spark_partition_id(),
         # the lower 33 bits count the rows of a partition
         place: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
