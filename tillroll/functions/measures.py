@@ -7,7 +7,7 @@ on doubles, so the results do not depend on the engine's float rounding.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,12 @@ def calendar_columns(ts: str = "InvoiceDate") -> dict[str, Column]:
     }
 
 
+def _line_classes() -> tuple[Column, Column, Column]:
+    """Is a Silver line a sale, a return, a cancelled line?"""
+    normal, qty = F.col("TransactionType") == NORMAL, F.col("Quantity")
+    return normal & (qty > 0), normal & (qty < 0), F.col("TransactionType") == CANCELLED
+
+
 def line_metrics() -> dict[str, Column]:
     """Per-line measures over a Silver line.
 
@@ -42,12 +48,8 @@ def line_metrics() -> dict[str, Column]:
     CancelledAmount: every cancelled line, whatever its sign, as abs(Revenue).
     A cancelled line with negative quantity is not a return.
     """
-    normal = F.col("TransactionType") == NORMAL
-    cancelled = F.col("TransactionType") == CANCELLED
-    qty = F.col("Quantity")
-    rev = F.col("Revenue")
-    sale = normal & (qty > 0)
-    ret = normal & (qty < 0)
+    qty, rev = F.col("Quantity"), F.col("Revenue")
+    sale, ret, cancelled = _line_classes()
     return {
         "GrossSales": F.when(sale, rev).otherwise(_zero_money()),
         "ReturnAmount": F.when(ret, F.abs(rev)).otherwise(_zero_money()),
@@ -57,6 +59,86 @@ def line_metrics() -> dict[str, Column]:
     }
 
 
+# A sum of decimals of more than 18 digits makes several objects for every
+# row. Sums over lines therefore take an amount as two longs, ``High`` * _PIECE
+# + ``Low`` ten-thousandths, both with its sign. The sums of the pairs hold
+# what SUM_TYPE holds, to 9e22, and the lower one 9e10 lines.
+_PIECE = 100_000_000
+_ORDINARY = 1e10  # below it the double times 10,000 is less than 0.02 off an integer
+MONEY_SUMS = ("GrossSales", "ReturnAmount", "CancelledAmount")
+UNIT_SUMS = ("SoldUnits", "ReturnUnits")
+
+
+def _high_low(amount: str) -> tuple[Column, Column]:
+    """An amount (a decimal column of scale 4) as High and Low."""
+    value = F.col(amount).cast("double")
+    ticks = F.rint(value * 10000).cast("bigint")
+    exact = F.expr(f"CAST(`{amount}` * 10000BD AS DECIMAL(28,0))")
+    piece, ordinary = F.lit(_PIECE).cast("bigint"), F.abs(value) < _ORDINARY
+    high = F.when(ordinary, F.call_function("div", ticks, piece)).otherwise(
+        F.call_function("div", exact, piece.cast("decimal(20,0)")))
+    return high, F.when(ordinary, ticks % piece).otherwise((exact % piece).cast("bigint"))
+
+
+def with_line_pieces(lines: DataFrame) -> DataFrame:
+    """Silver lines with the measures of ``line_metrics`` in the form that
+    ``piece_sums`` adds up: units, and money as High and Low."""
+    high, low = _high_low("Revenue")
+    split = lines.withColumns({"_high": high, "_low": low})
+    sale, ret, cancelled = _line_classes()
+    none, units = F.lit(0).cast("bigint"), line_metrics()
+    pieces = {c: units[c] for c in UNIT_SUMS}
+    for side in ("High", "Low"):
+        amount = F.col(f"_{side.lower()}")
+        pieces |= {
+            f"GrossSales{side}": F.when(sale, amount).otherwise(none),
+            f"ReturnAmount{side}": F.when(ret, F.abs(amount)).otherwise(none),
+            f"CancelledAmount{side}": F.when(cancelled, F.abs(amount)).otherwise(none),
+        }
+    return split.withColumns({f"_{c}": e for c, e in pieces.items()}).drop("_high", "_low")
+
+
+def with_sum_pieces(grain: DataFrame) -> DataFrame:
+    """The same columns from a pre-aggregate with the five measures."""
+    pieces = {f"_{c}": F.col(c) for c in UNIT_SUMS}
+    for m in MONEY_SUMS:
+        pieces[f"_{m}High"], pieces[f"_{m}Low"] = _high_low(m)
+    return grain.withColumns(pieces)
+
+
+PIECE_COLUMNS = [f"_{c}" for c in UNIT_SUMS] + [f"_{m}{side}" for m in MONEY_SUMS for side in ("High", "Low")]
+
+
+def piece_sums() -> list[Column]:
+    """Sums of line pieces that keep their names, for a pre-aggregate."""
+    return [F.sum(c).alias(c) for c in PIECE_COLUMNS]
+
+
+def money_of_pieces(measure: str, where: Column | None = None) -> Column:
+    """The exact sum of a money measure over line pieces or sums of them."""
+    high, low = [F.sum(_where(f"_{measure}{side}", where)) for side in ("High", "Low")]
+    ticks = high.cast("decimal(20,0)") * F.expr(f"{_PIECE}BD") + low.cast("decimal(20,0)")
+    return (ticks * F.expr("0.0001BD")).cast(SUM_TYPE)
+
+
+def units_of_pieces(measure: str, where: Column | None = None) -> Column:
+    return F.sum(_where(f"_{measure}", where)).cast(T.LongType())
+
+
+def _where(column: str, where: Column | None) -> Column:
+    return F.col(column) if where is None else F.when(where, F.col(column))
+
+
+def sums_of_pieces(sold_name: str = "SoldUnits") -> list[Column]:
+    """The five additive measures every mart carries, from line pieces, sums
+    of them, or the pieces of a pre-aggregate."""
+    return [
+        units_of_pieces("SoldUnits").alias(sold_name),
+        units_of_pieces("ReturnUnits").alias("ReturnUnits"),
+        *[money_of_pieces(m).alias(m) for m in MONEY_SUMS],
+    ]
+
+
 def transaction_class() -> Column:
     """Sale / Return / Cancelled / Zero: the three business classes plus
     lines that move no units (quantity 0 or unknown)."""
@@ -69,33 +151,6 @@ def transaction_class() -> Column:
     )
 
 
-def mart_sums(units_name: str = "UnitsSold") -> list[Column]:
-    """The five additive measures every mart carries.
-
-    Works on line metrics and on any pre-aggregate that keeps the
-    line-metric column names (sums of sums are exact on decimals).
-    """
-    return [
-        F.sum("SoldUnits").cast(T.LongType()).alias(units_name),
-        F.sum("ReturnUnits").cast(T.LongType()).alias("ReturnUnits"),
-        F.sum("GrossSales").cast(SUM_TYPE).alias("GrossSales"),
-        F.sum("ReturnAmount").cast(SUM_TYPE).alias("ReturnAmount"),
-        F.sum("CancelledAmount").cast(SUM_TYPE).alias("CancelledAmount"),
-    ]
-
-
-def partial_sums() -> list[Column]:
-    """The same five sums, keeping the line-metric names, for a
-    pre-aggregate that later marts re-aggregate with ``mart_sums``."""
-    return [
-        F.sum("SoldUnits").cast(T.LongType()).alias("SoldUnits"),
-        F.sum("ReturnUnits").cast(T.LongType()).alias("ReturnUnits"),
-        F.sum("GrossSales").cast(SUM_TYPE).alias("GrossSales"),
-        F.sum("ReturnAmount").cast(SUM_TYPE).alias("ReturnAmount"),
-        F.sum("CancelledAmount").cast(SUM_TYPE).alias("CancelledAmount"),
-    ]
-
-
 def net_revenue() -> Column:
     return (F.col("GrossSales") - F.col("ReturnAmount") - F.col("CancelledAmount")).cast(SUM_TYPE)
 

@@ -10,7 +10,9 @@ Plan shape, with scale in mind:
   smaller table; their distinct counts (Orders, Customers) are exact
   because the set of invoices and customers per group is unchanged.
 * The product mart needs StockCode, so it aggregates the lines itself, to
-  (StockCode, Invoice) and from there to the product.
+  (StockCode, Invoice) and from there to the product; its descriptions go
+  apart, so that the lines are hashed and not sorted.
+* Sums of money over many rows are taken as pairs of longs (``piece_sums``).
 * Ranks go through ``rank_rows`` (range-partitioned);
   top-k reports use a distributed top-k instead of ranking every row.
 * Year, Month and MonthName are functions of SaleDate: the daily mart
@@ -29,13 +31,16 @@ from tillroll.constants import MONTH_NAME_FORMAT, TOP_K
 from tillroll.functions.measures import (
     average_order_value,
     calendar_columns,
+    PIECE_COLUMNS,
     line_metrics,
-    mart_sums,
     net_revenue,
-    partial_sums,
+    piece_sums,
     return_rate,
     round_money,
+    sums_of_pieces,
     transaction_class,
+    with_line_pieces,
+    with_sum_pieces,
 )
 from tillroll.operators.ranking import rank_global, rank_rows, revenue_order
 from tillroll.schemas import (
@@ -62,14 +67,9 @@ def gold_base(silver: DataFrame) -> DataFrame:
 
 def invoice_grain(silver: DataFrame) -> DataFrame:
     """Line metrics summed per (SaleDate, Country, Invoice, Customer ID)."""
-    lines = silver.select(
-        F.to_date("InvoiceDate").alias("SaleDate"),
-        "Country",
-        "Invoice",
-        F.col(CID),
-        *[expr.alias(name) for name, expr in line_metrics().items()],
-    )
-    return lines.groupBy("SaleDate", "Country", "Invoice", CUSTOMER_ID).agg(*partial_sums())
+    lines = with_line_pieces(silver).select(
+        F.to_date("InvoiceDate").alias("SaleDate"), "Country", "Invoice", F.col(CID), *PIECE_COLUMNS)
+    return lines.groupBy("SaleDate", "Country", "Invoice", CUSTOMER_ID).agg(*sums_of_pieces())
 
 
 PUBLISHED_COLUMNS = {
@@ -90,11 +90,11 @@ def _round(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def daily_sales(silver: DataFrame, *, grain: DataFrame | None = None,
                 rounded: bool = True) -> DataFrame:
-    g = grain if grain is not None else invoice_grain(silver)
+    g = with_sum_pieces(grain if grain is not None else invoice_grain(silver))
     agg = g.groupBy("SaleDate", "Country").agg(
         F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
         F.countDistinct(F.col(CID)).cast(T.LongType()).alias("Customers"),
-        *mart_sums("UnitsSold"),
+        *sums_of_pieces("UnitsSold"),
     )
     mart = agg.withColumns(
         {
@@ -115,22 +115,23 @@ def product_unranked(silver: DataFrame) -> DataFrame:
     Description: the smallest non-empty description, else '' if only
     blank ones exist, else null; deterministic unlike "first".
     """
-    # One scan and one shuffle of the size of the lines: per (StockCode,
-    # Invoice) the sums and the smallest descriptions, combined map-side, so
-    # a hot product is spread over its invoices; a product then counts its
-    # rows, without a distinct.
-    lines = silver.select(
-        "StockCode", "Invoice", "Description", *[expr.alias(name) for name, expr in line_metrics().items()]
-    )
+    # One shuffle of the size of the lines: the sums per (StockCode, Invoice),
+    # combined map-side, so a hot product is spread over its invoices; a
+    # product then counts its rows, without a distinct. The least of a text
+    # cannot be kept in a hash table and would sort all lines: descriptions
+    # go apart, each once per product before the least is taken, and meet the
+    # sums by StockCode (Silver has no line without one).
+    lines = with_line_pieces(silver).select("StockCode", "Invoice", *PIECE_COLUMNS)
+    grain = lines.groupBy("StockCode", "Invoice").agg(*piece_sums())
+    sums = grain.groupBy("StockCode").agg(
+        F.count("Invoice").cast(T.LongType()).alias("Orders"), *sums_of_pieces("UnitsSold"))
     text = F.col("Description")
-    grain = lines.groupBy("StockCode", "Invoice").agg(
-        *partial_sums(), F.min(F.nullif(text, F.lit(""))).alias("worded"), F.min(text).alias("blank")
-    )
-    agg = grain.groupBy("StockCode").agg(
-        F.count("Invoice").cast(T.LongType()).alias("Orders"),
-        F.coalesce(F.min("worded"), F.min("blank")).alias("Description"),
-        *mart_sums("UnitsSold"),
-    )
+    # (a plain distinct would be optimised away before a least value)
+    once = silver.groupBy("StockCode", "Description").agg(F.count(F.lit(1)).alias("_lines")).filter("_lines > 0")
+    texts = once.groupBy("StockCode").agg(
+        F.coalesce(F.min(F.nullif(text, F.lit(""))), F.min(text)).alias("Description"))
+    agg = sums.join(texts, "StockCode", "left").select(
+        "StockCode", "Orders", "Description", *[c for c in sums.columns if c not in ("StockCode", "Orders")])
     return agg.withColumns(
         {"NetRevenue": net_revenue(), "ReturnRate": return_rate("ReturnUnits", "UnitsSold")}
     )
@@ -155,9 +156,9 @@ def customer_unranked(silver: DataFrame, *, grain: DataFrame | None = None,
     """
     measures = [
         F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
-        *mart_sums("UnitsPurchased"),
+        *sums_of_pieces("UnitsPurchased"),
     ]
-    g = grain if grain is not None else invoice_grain(silver)
+    g = with_sum_pieces(grain if grain is not None else invoice_grain(silver))
     if shared_plan:
         agg = (
             g.groupBy(CUSTOMER_ID, "Country")
@@ -186,11 +187,11 @@ def customer_mart(silver: DataFrame, *, grain: DataFrame | None = None,
 
 
 def country_unranked(silver: DataFrame, *, grain: DataFrame | None = None) -> DataFrame:
-    g = grain if grain is not None else invoice_grain(silver)
+    g = with_sum_pieces(grain if grain is not None else invoice_grain(silver))
     agg = g.groupBy("Country").agg(
         F.countDistinct("Invoice").cast(T.LongType()).alias("Orders"),
         F.countDistinct(F.col(CID)).cast(T.LongType()).alias("Customers"),
-        *mart_sums("UnitsSold"),
+        *sums_of_pieces("UnitsSold"),
     )
     return agg.withColumn("NetRevenue", net_revenue())
 

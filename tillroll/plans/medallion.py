@@ -71,6 +71,9 @@ class LayerPaths:
     def mart_stats(self) -> str:
         return self._p("gold", "_stats")
 
+    def check(self, name: str) -> str:
+        return self._p("gold", f"_check_{name}")
+
     @property
     def ledger(self) -> str:
         return self._p("_ledger")
@@ -117,16 +120,16 @@ def run_silver(spark: SparkSession, paths: LayerPaths) -> DataFrame:
     are applied once, even when tasks are retried.
     """
     bronze = read_layer(spark, paths.bronze)
-    clean = silver.clean_lines(bronze)
-    quality, totals = silver.quality_metrics(), silver.kept_totals_metrics()
+    judged = silver.judged_lines(silver.clean_lines(bronze))
+    quality, totals = silver.quality_metrics(F.col(silver.KEPT)), silver.kept_totals_metrics()
     obs = Observation("silver_quality")
-    observed = clean.observe(obs, *quality, *totals)
-    lines = silver.quality_filter(observed).select(*[F.col(f"`{c}`") for c in SILVER_COLUMNS])
+    observed = judged.observe(obs, *quality, *totals)
+    lines = observed.filter(F.col(silver.KEPT)).select(*[F.col(f"`{c}`") for c in SILVER_COLUMNS])
 
     def keep_report() -> None:
         # the kept-line totals feed the validation gate (no Silver scan there)
         for metrics, path in ((totals, paths.silver_totals), (quality, paths.silver_quality)):
-            schema = clean.agg(*metrics).schema
+            schema = judged.agg(*metrics).schema
             write_layer(spark.createDataFrame([{f.name: obs.get[f.name] for f in schema}], schema), path)
 
     _recorded(paths, "silver", Ledger(spark, paths.ledger).identity("bronze"), lines, paths.silver, keep_report)
@@ -198,11 +201,18 @@ def run_validation(spark: SparkSession, paths: LayerPaths, *, enforce: bool = Tr
     # the checks below read that tiny table, the grain check groups the marts
     st = checks.stats_table(m, paths.mart_stats)
     totals = read_layer(spark, paths.mart_totals)
+
+    def once(name: str, check: DataFrame) -> DataFrame:
+        # a few rows from a scan of whole layers: written, so that enforcing
+        # them and reading them afterwards is one scan
+        write_layer(check.coalesce(1), paths.check(name))
+        return read_layer(spark, paths.check(name))
+
     result = {
-        "rows": layer_fingerprints(spark, paths),
+        "rows": once("rows", layer_fingerprints(spark, paths)),
         "gate": checks.gate_rows(s, totals, read_layer(spark, paths.silver_totals)),
         "published": checks.published_checks(st, totals),
-        "grain": checks.grain_checks(m),
+        "grain": once("grain", checks.grain_checks(m)),
         "null_keys": checks.null_key_checks(m, st),
         "ranks": checks.rank_checks(m, st),
         "negative_net": checks.negative_net(m, st),

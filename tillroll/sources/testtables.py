@@ -37,7 +37,9 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    # cast once per part: a double becomes a decimal by way of its text
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", F.col("p_retailprice").cast(PRICE_TYPE).alias("p_retailprice"))
 
     joined = (
         li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -70,9 +72,8 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("Description"),
         F.when(negative, -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("int").alias("Quantity"),
         F.col("o_orderdate").alias("InvoiceDate"),
-        F.when((ln == 7) & (F.col("l_returnflag") == "A"), F.lit(0))
+        F.when((ln == 7) & (F.col("l_returnflag") == "A"), F.lit(0).cast(PRICE_TYPE))
         .otherwise(F.col("p_retailprice"))
-        .cast(PRICE_TYPE)
         .alias("Price"),
         F.when(F.col("o_custkey") % 5 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
